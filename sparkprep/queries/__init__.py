@@ -1,7 +1,7 @@
 """Registered queries: one per operator of the inventory, each with the DuckDB
 oracle SQL that checks it (``None`` where only a rows check is possible)."""
 
-from . import contacts, relational, snapshots, standardize  # noqa: F401  (registers queries)
+from . import contacts, process, relational, snapshots, sources, standardize  # noqa: F401  (registers queries)
 from .common import REGISTRY
 
 
