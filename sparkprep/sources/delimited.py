@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .raw_lines import _charset, read_raw_lines
+from .raw_lines import _charset, allow_charset, read_raw_lines
 
 # Text read as missing (the reader's default NA literals).
 NA_LITERALS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -66,6 +66,7 @@ def read_delimited(spark: SparkSession, path: str, header_row: int = 0, delimite
                           + [T.StructField(_OVERFLOW, T.StringType())])
     opts = {"sep": delimiter, "quote": quote or "\u0000", "encoding": _charset(encoding),
             "nullValue": _NEVER, "emptyValue": "", "mode": "PERMISSIVE", "multiLine": "false"}
+    allow_charset(spark, _charset(encoding))
     if header_row == 0:
         rows = spark.read.options(header=True, enforceSchema=True, **opts).schema(schema).csv(path)
     else:

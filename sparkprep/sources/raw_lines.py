@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 ENCODING_ALIASES = {"ansi": "windows-1252", "utf": "utf-8", "utf8": "utf-8", "utf-8-sig": "utf-8"}
 
 
+# The charsets Spark's CSV source accepts without the legacy flag.
+STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
+
+
+def allow_charset(spark: SparkSession, charset: str) -> None:
+    """Other Java charsets (windows-1252, ...) need the legacy charset flag."""
+    if charset not in STANDARD_CHARSETS and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
 def _charset(encoding: str | None) -> str:
     e = (encoding or "utf-8").lower()
     return ENCODING_ALIASES.get(e, e)
@@ -28,6 +38,7 @@ def _scan(spark: SparkSession, path: str, encoding: str) -> DataFrame:
         df = spark.read.text(path).withColumnRenamed("value", "line")
     else:
         # The text source is UTF-8 only; the CSV source decodes any charset.
+        allow_charset(spark, cs)
         # One column: a separator and quote that never occur in text.
         df = (spark.read.option("encoding", cs).option("sep", "\u0000").option("quote", "\u0000")
               .option("escape", "\u0000").option("nullValue", "\u0000").option("emptyValue", "")
