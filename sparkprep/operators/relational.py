@@ -32,8 +32,13 @@ def restrict_to_universe(main: DataFrame, universe: DataFrame | None, join_on: l
 
     The strategy is left to the optimizer: AQE turns the sort-merge join into
     a broadcast join at run time when the universe is measured small, and
-    splits skewed key partitions. ``broadcast_universe=True`` forces the
-    broadcast for a universe whose size the caller has bounded."""
+    splits skewed key partitions of the main table. AQE can split the main
+    side only for inner, left, semi and anti joins, so right and full joins
+    are rewritten as that join plus the universe rows no main row matches
+    (an anti join against the main table's distinct keys, which are combined
+    map-side first): a key holding a third of the main table stays
+    splittable. ``broadcast_universe=True`` forces the broadcast for a
+    universe whose size the caller has bounded."""
     if universe is None or not join_on:
         return main
     kind = JOIN_TYPES.get(how.lower().replace("_", " ").strip())
@@ -41,11 +46,22 @@ def restrict_to_universe(main: DataFrame, universe: DataFrame | None, join_on: l
         raise ValueError(f"unknown join type {how!r}")
     pairs = [p.split(":") for p in join_on]
     u = F.broadcast(universe) if broadcast_universe else universe
-    cond = None
-    for a, b in pairs:
-        c = main[a] == u[b]
-        cond = c if cond is None else cond & c
-    return main.join(u, cond, kind)
+
+    def cond(m, uu):
+        c = None
+        for a, b in pairs:
+            e = m[a] == uu[b]
+            c = e if c is None else c & e
+        return c
+
+    if kind not in ("right", "full") or set(main.columns) & set(universe.columns):
+        return main.join(u, cond(main, u), kind)
+    matched = main.join(u, cond(main, u), "inner" if kind == "right" else "left")
+    keys = main.select(*[F.col(a) for a, _ in pairs]).dropDuplicates()
+    lonely = u.join(keys, cond(keys, u), "left_anti")
+    lonely = lonely.select(*[F.lit(None).cast(main.schema[c].dataType).alias(c) for c in main.columns],
+                           *[F.col(c) for c in universe.columns])
+    return matched.unionByName(lonely)
 
 
 def group_by_date_part(df: DataFrame, ts: str, date_part: str, *aggs: Column,

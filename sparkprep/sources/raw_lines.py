@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 ENCODING_ALIASES = {"ansi": "windows-1252", "utf": "utf-8", "utf8": "utf-8", "utf-8-sig": "utf-8"}
 
 
+BROADCAST_LIMIT = 64 << 20
+
 # The charsets Spark's CSV source accepts without the legacy flag.
 STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
 
@@ -60,5 +62,14 @@ def read_raw_lines(spark: SparkSession, path: str, encoding: str = "utf-8", acro
     w = (Window.orderBy("file", "__block") if across_files else Window.partitionBy("file").orderBy("__block"))
     w = w.rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    out = scan.join(splits.select("file", "__block", "__offset", "__first"), ["file", "__block"])
+    splits = splits.select("file", "__block", "__offset", "__first")
+    # Proven bound on the split table: a split ends at a file or a partition
+    # boundary, so it has at most files + partitions rows. Under the bound it
+    # is broadcast and the lines never move; above it AQE decides.
+    files = scan.inputFiles()
+    rows = len(files) + scan.rdd.getNumPartitions()
+    width = max((len(f) for f in files), default=0) + 64
+    if rows * width <= BROADCAST_LIMIT:
+        splits = F.broadcast(splits)
+    out = scan.join(splits, ["file", "__block"])
     return out.select("file", (F.col("__offset") + F.col("__mid") - F.col("__first")).alias("line_no"), "line")
