@@ -7,9 +7,14 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import balance
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def table(spark: SparkSession, sf_dir: str, name: str, balanced: bool = False) -> DataFrame:
+    """A driver table; ``balanced=True`` for queries whose cost is per-row
+    CPU work (see ``session.balance``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balance(df) if balanced else df
 
 
 def register(spark: SparkSession, sf_dir: str, *names: str) -> None:

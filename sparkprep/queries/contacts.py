@@ -55,7 +55,7 @@ with l as (select doc_id, {duck_phones('text')} as nums from documents)
 select doc_id, cast(unnest(generate_series(0, len(nums) - 1)) as bigint) as pos, unnest(nums) as phone from l""")
 def extract_phones(spark, sf_dir):
     """D4 over whole document texts, one row per number found."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", balanced=True)
     return _explode(docs, "doc_id", C.phone_numbers("text"), "phone")
 
 
@@ -64,7 +64,7 @@ with l as (select doc_id, {duck_emails('text')} as mails from documents)
 select doc_id, cast(unnest(generate_series(0, len(mails) - 1)) as bigint) as pos, unnest(mails) as email from l""")
 def extract_emails(spark, sf_dir):
     """D6 over whole document texts, one row per address found."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", balanced=True)
     return _explode(docs, "doc_id", C.emails("text"), "email")
 
 
@@ -114,7 +114,7 @@ _LINE_DUCK = """concat_ws(';',
 
 def contact_lines(spark, sf_dir):
     """``(line_no, line)``: a header line and one dirty line per customer."""
-    cust = table(spark, sf_dir, "customer")
+    cust = table(spark, sf_dir, "customer", balanced=True)
     header = spark.range(1).select(F.lit(0).cast("bigint").alias("line_no"), F.lit(_HEADER_LINE).alias("line"))
     body = cust.select((F.col("c_custkey") + 1).cast("bigint").alias("line_no"), F.expr(_LINE_SPARK).alias("line"))
     return header.unionByName(body)

@@ -92,7 +92,7 @@ F1_TYPES = {
 
 
 def messy_table(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer")
+    cust = table(spark, sf_dir, "customer", balanced=True)
     return cust.selectExpr(*[e.strip() for e in _split_select(_MESSY_CUSTOMER_SPARK)], *_F1_EXTRA_SPARK) \
         .select(*F1_COLUMNS)
 

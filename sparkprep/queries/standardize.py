@@ -26,7 +26,7 @@ select doc_id, lang, {_duck_clean_string('text')} as text_std, {_duck_clean_stri
 from documents""")
 def std_strings(spark, sf_dir):
     """C1 on whole document texts (the heavy case: long Unicode text)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "source")
+    docs = table(spark, sf_dir, "documents", balanced=True).select("doc_id", "lang", "text", "source")
     return (S.strings(docs.withColumnsRenamed({"text": "text_std", "source": "source_std"}),
                       ["text_std", "source_std"]))
 
@@ -175,7 +175,7 @@ _MESSY_FLOATS_DUCK = """
 
 
 def messy_floats(spark, sf_dir):
-    return table(spark, sf_dir, "orders").selectExpr(*_MESSY_FLOATS_SPARK)
+    return table(spark, sf_dir, "orders", balanced=True).selectExpr(*_MESSY_FLOATS_SPARK)
 
 
 def _cnt(v: str, ch: str) -> str:
@@ -258,7 +258,7 @@ _MESSY_DATES_DUCK = """
 
 
 def messy_dates(spark, sf_dir):
-    return table(spark, sf_dir, "orders").selectExpr(*_MESSY_DATES_SPARK)
+    return table(spark, sf_dir, "orders", balanced=True).selectExpr(*_MESSY_DATES_SPARK)
 
 
 def _duck_date(v: str, fmt: str, trim: str | None = None) -> str:

@@ -75,3 +75,16 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         local = path[len("file:"):] if path.startswith("file:") else path
         os.makedirs(local, exist_ok=True)
     return path
+
+
+def balance(df, min_partitions: int | None = None):
+    """Spread CPU-heavy row-wise work over every task slot when a scan yields
+    fewer partitions than there are slots (one unsplittable file, one parquet
+    row group). Call it on a scan, before the heavy expressions. The
+    round-robin repartition is deterministic on retry (rows are sorted before
+    they are dealt out). When the input already has enough partitions, as
+    with any large input, this does nothing."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
