@@ -30,7 +30,7 @@ def clean_int(c: Column | str, on_error: str = "fail") -> Column:
     v = F.coalesce(_text(c), F.lit(""))
     v = F.replace(F.replace(v, F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
     v = F.replace(F.regexp_replace(v, r"[.][^.]*$", ""), F.lit("."), F.lit(""))
-    as_long = F.try_cast(v, "bigint") if hasattr(F, "try_cast") else v.try_cast("bigint")
+    as_long = v.try_cast("bigint")
     if on_error == "fail":
         as_long = F.coalesce(as_long, F.raise_error(F.concat(F.lit("int out of range: "), v)).cast("bigint"))
     else:
@@ -108,6 +108,19 @@ def float_step4(v: Column) -> Column:
              .otherwise(v))
 
 
+def float_fails(v: Column) -> Column:
+    """True when step 5 cannot cast the (step 4) text."""
+    return ~F.trim(v).rlike(FLOAT_TEXT)
+
+
+def int_overflows(c: Column | str) -> Column:
+    """True when a C4 value is all digits but does not fit a BIGINT."""
+    v = F.coalesce(_text(c), F.lit(""))
+    v = F.replace(F.replace(v, F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
+    v = F.replace(F.regexp_replace(v, r"[.][^.]*$", ""), F.lit("."), F.lit(""))
+    return v.rlike(DIGITS) & v.try_cast("bigint").isNull()
+
+
 def float_cast(v: Column, on_error: str = "fail") -> Column:
     """Step 5: cast to double (failure aborts, or -1 with 'sentinel'), then -1 -> 0."""
     t = F.trim(v)

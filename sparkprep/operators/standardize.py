@@ -33,6 +33,25 @@ def _q(c: str) -> str:
     return f"`{c.replace('`', '``')}`"
 
 
+ERRORS = "_errors"
+
+
+def _with_errors(df: DataFrame, failed: dict[str, "F.Column"]) -> DataFrame:
+    """``on_error='quarantine'``: append to ``_errors`` the names of the
+    columns whose value failed (computed on the input, before replacement)."""
+    if not failed:
+        return df
+    base = F.col(ERRORS) if ERRORS in df.columns else F.array().cast("array<string>")
+    flags = F.filter(F.array(*[F.when(e, F.lit(c)) for c, e in failed.items()]), lambda x: x.isNotNull())
+    return df.withColumn(ERRORS, F.concat(base, flags))
+
+
+def _policy(on_error: str) -> str:
+    if on_error not in ("fail", "sentinel", "quarantine"):
+        raise ValueError("on_error must be 'fail', 'sentinel' or 'quarantine'")
+    return "sentinel" if on_error == "quarantine" else on_error
+
+
 def strings(df: DataFrame, cols: list[str], optional: int = 0, whole_value_only: bool = False) -> DataFrame:
     cols = present_columns(cols, df.columns, optional)
     return df.withColumns({c: T.clean_string(F.col(_q(c)), whole_value_only) for c in cols})
@@ -45,7 +64,9 @@ def tax_ids(df: DataFrame, cols: list[str], optional: int = 0) -> DataFrame:
 
 def ints(df: DataFrame, cols: list[str], optional: int = 0, on_error: str = "fail") -> DataFrame:
     cols = present_columns(cols, df.columns, optional)
-    return df.withColumns({c: N.clean_int(F.col(_q(c)), on_error) for c in cols})
+    if on_error == "quarantine":
+        df = _with_errors(df, {c: N.int_overflows(F.col(_q(c))) for c in cols})
+    return df.withColumns({c: N.clean_int(F.col(_q(c)), _policy(on_error)) for c in cols})
 
 
 def dates(df: DataFrame, date_params: dict, optional: int = 0, on_error: str = "fail",
@@ -55,8 +76,10 @@ def dates(df: DataFrame, date_params: dict, optional: int = 0, on_error: str = "
     cols = date_params["cols"]
     cols = cols.split(",") if isinstance(cols, str) else list(cols)
     cols = present_columns(cols, df.columns, optional)
+    if on_error == "quarantine":
+        df = _with_errors(df, {c: D.date_fails(F.col(_q(c)), D.choose_format(c, date_params)) for c in cols})
     return df.withColumns({
-        c: D.clean_date(F.col(_q(c)), D.choose_format(c, date_params), on_error, as_timestamp)
+        c: D.clean_date(F.col(_q(c)), D.choose_format(c, date_params), _policy(on_error), as_timestamp)
         for c in cols
     })
 
@@ -82,8 +105,11 @@ def floats(df: DataFrame, cols: list[str], optional: int = 1, decimal: str | Non
                            for c, p in names.items()})
     out = out.withColumns({c: N.float_step3(F.col(_q(c)), F.col(f"{p}__pc")) for c, p in names.items()})
     out = out.withColumns({c: N.float_step4(F.col(_q(c))) for c in cols})
-    out = out.withColumns({c: N.float_cast(F.col(_q(c)), on_error) for c in cols})
-    return out.select(*[_q(c) for c in df.columns])
+    if on_error == "quarantine":
+        out = _with_errors(out, {c: N.float_fails(F.col(_q(c))) for c in cols})
+    out = out.withColumns({c: N.float_cast(F.col(_q(c)), _policy(on_error)) for c in cols})
+    keep = df.columns + ([ERRORS] if on_error == "quarantine" and ERRORS not in df.columns else [])
+    return out.select(*[_q(c) for c in keep])
 
 
 # Class tag -> standardiser, in the fixed order the pipeline applies them.

@@ -50,6 +50,10 @@ def standardize_table(df: DataFrame, data_types: dict, mask_data: dict | None =
     if_needed = spec.get("standardize_cols_names", True)
     names = spec.get("names")
     new_names = NM._split(names) if names else None
+    if S.ERRORS in df.columns:
+        data = [c for c in df.columns if c != S.ERRORS]
+        renamed = NM.standardize_names(df.select(*[f"`{c}`" for c in data]), new_names, if_needed).columns
+        return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(data, renamed)], S.ERRORS)
     return NM.standardize_names(df, new_names, if_needed)
 
 
@@ -132,7 +136,10 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
                                max_cells=q.get("max_cells", 26))
         src = file_path or f"{load['path'].rstrip('/')}/{load['file_name']}.{load['file_type']}"
         lines = RL.read_raw_lines(spark, src, load.get("encoding", "utf-8"), across_files=True)
-        df = L.lines_to_table(lines.drop("file"), line_spec)
+        row_errors = q.get("on_error", "fail")
+        df = L.lines_to_table(lines.drop("file"), line_spec, on_error=row_errors)
+        if row_errors != "fail":
+            types["names"] = ",".join(header + ["_extra"])
     else:
         if file_path:
             src = file_path

@@ -68,3 +68,42 @@ def test_run_script(spark):
     df = SC.run_script(spark, steps, ["n", "top"], args={"lim": 7})
     assert df.columns == ["n", "top"]
     assert tuple(df.collect()[0]) == (4, 6)
+
+
+def test_process_source_quality_path(spark, sf_dir):
+    """F2 on a dirty contacts file: raw lines -> repair chain -> standardise -> snapshot."""
+    from sparkprep.queries import contacts as Q
+    from tests import bruteforce as B
+
+    base = work_path(spark, "test-quality", unique=True)
+    lines = Q.contact_lines(spark, sf_dir)
+    lines.orderBy("line_no").select("line").write.mode("overwrite").text(f"{base}/in/contacts.txt")
+    s = Q.CONTACT_SPEC
+    spec = {
+        "raw_source": {"load_parameters": {"path": f"{base}/in", "file_name": "contacts", "file_type": "txt",
+                                           "delimiter": ";", "encoding": "utf-8", "special_char": '"'},
+                       "type": {"specifics": "file",
+                                "quality": {"email_position": s.email_pos, "phone_position": s.phone_pos,
+                                            "id_position": s.id_pos, "name_position": s.name_pos,
+                                            "possible_content_after_name": ",".join(s.content_after_name),
+                                            "max_cells": s.max_cells}}},
+        "data_types": {"names": ",".join(s.header), "str_cols": "segment", "contact_cols": "email,phone"},
+        "processed_source": {"save_parameters": {"path": f"{base}/out", "tag": "contacts"}},
+    }
+    spec["raw_source"]["type"]["quality"]["on_error"] = "keep"
+    raw = [r.line for r in lines.orderBy("line_no").collect()]
+    want = B.chain(raw[1:], s)
+    assert any(len(c) > s.width for c in want)   # the fixture has over-wide rows
+    res = P.process_source(spark, spec, src_time="20240301_000000")
+    got = sorted(tuple(r[c] for c in s.header + ["_extra"]) for r in res.data.collect())
+    import re
+
+    def clean(v):
+        v = (v or "").replace(" ", "").lower().replace("nan", "").replace("none", "")
+        return re.sub(r"[^\w]", "", v)
+
+    exp = []
+    for c in want:
+        cells = c[:s.width] + [None] * (s.width - len(c))
+        exp.append(tuple(cells[:4]) + (clean(cells[4]),) + (";".join(c[s.width:]) or None,))
+    assert got == sorted(exp)

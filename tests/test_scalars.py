@@ -138,3 +138,16 @@ def test_look_back(spark):
     assert r.a == dt.datetime(2020, 3, 17)
     assert r.b == dt.datetime(2020, 2, 29)
     assert r.c == dt.datetime(2020, 3, 26)
+
+
+def test_quarantine(spark):
+    from sparkprep.plans import process as P
+    df = spark.createDataFrame([("2020-01-02", "1,5", "7"), ("2020-02-30", ":15", "99999999999999999999"),
+                                (None, None, None)], "d string, f string, i string")
+    out = P.standardize_table(df, {"date_cols": {"cols": "d", "global_format": "%Y-%m-%d"},
+                                   "float_cols": "f", "int_cols": "i"}, on_error="quarantine")
+    got = [tuple(r) for r in out.collect()]
+    assert out.columns == ["d", "f", "i", "_errors"]
+    assert got[0] == ("20200102_000000", 1.5, 7, [])
+    assert got[1] == ("", 0.0, 0, ["d", "f", "i"])
+    assert got[2] == ("", 0.0, 0, [])
