@@ -9,10 +9,10 @@ key for the same value; readers resolve that with ``min(key)`` per value, so
 every run agrees. Columns naming the same dictionary share its keys. A null
 is masked as its text form ``'nan'``.
 
-The dictionary grows with the data, so it is never broadcast on faith: the
-join is a plain equi-join that AQE turns into a broadcast when the measured
-dictionary is small, and splits when one value (say ``'nan'``) holds a large
-share of the rows.
+The dictionary grows with the data, so it is never broadcast on faith: its
+size is measured after it is extended, and only a dictionary under the limit
+is broadcast. A larger one is a shuffle join, where AQE splits the partition
+of a value (say ``'nan'``) holding a large share of the rows.
 
 ``mask_keyed`` is the dictionary-free variant: ``sha2(salt || value)``."""
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 NULL_TEXT = "nan"
+BROADCAST_LIMIT = 256 << 20
 
 
 def _as_text(c: str) -> Column:
@@ -57,9 +58,23 @@ def extend_dictionary(df: DataFrame, cols: list[str], references_path: str, name
     new.write.mode("append").parquet(dictionary_path(references_path, name))
 
 
-def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str]) -> DataFrame:
+def dictionary_bytes(spark: SparkSession, references_path: str, name: str) -> int:
+    """Measured size of a dictionary (values plus 32-char keys): one
+    aggregate over the dictionary files only, never over the data."""
+    try:
+        raw = spark.read.parquet(dictionary_path(references_path, name))
+    except AnalysisException:
+        return 0
+    row = raw.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("b")).collect()[0]
+    return int(row["b"] or 0) + 48 * int(row["n"] or 0)
+
+
+def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str],
+                 broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Replace each column in ``mask_cols`` (column -> dictionary name) by its
-    key. Dictionaries are extended first (one write each), then joined."""
+    key. Dictionaries are extended first (one write each), then joined: as a
+    broadcast when the measured dictionary is under ``broadcast_limit``
+    bytes (no shuffle of the table), else as a shuffle join."""
     spark = df.sparkSession
     by_dict: dict[str, list[str]] = {}
     for c, d in mask_cols.items():
@@ -72,6 +87,8 @@ def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str])
     order = df.columns
     for d, cols in by_dict.items():
         dictionary = read_dictionary(spark, references_path, d)
+        if dictionary_bytes(spark, references_path, d) <= broadcast_limit:
+            dictionary = F.broadcast(dictionary)
         for c in cols:
             tmp = f"__mask_{c}"
             right = dictionary.select(F.col("value").alias(f"{tmp}_v"), F.col("key").alias(tmp))

@@ -23,3 +23,13 @@ def test_mask_keyed(spark):
     got = [r.x for r in M.mask_keyed(df, ["x"], "s").collect()]
     import hashlib
     assert got == [hashlib.sha256(b"sa").hexdigest(), hashlib.sha256(b"snan").hexdigest()]
+
+
+def test_mask_shuffle_path_matches_broadcast(spark):
+    refs = work_path(spark, "test-dicts", unique=True)
+    df = spark.range(200).selectExpr("id", "cast(id % 7 as string) as v")
+    a = {r.id: r.v for r in M.mask_columns(df, refs, {"v": "d"}).collect()}
+    b = {r.id: r.v for r in M.mask_columns(df, refs, {"v": "d"}, broadcast_limit=0).collect()}
+    assert a == b and len(set(a.values())) == 7
+    plan = M.mask_columns(df, refs, {"v": "d"}, broadcast_limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
