@@ -7,10 +7,15 @@ a row generated by step ``g`` from a parent is ``[g] ++ parent.ord ++ [pos]``,
 so generated rows sort after every original row and in the order they were
 made - the order a later step's "first seen" rule depends on.
 
-"First seen per entity" is an aggregate (``min(ord)`` per entity and value)
-joined back to the candidate rows only: it shuffles by (entity, value), is
-partially aggregated map-side, and a hot entity is split by AQE's skew join
-instead of landing whole in one window task."""
+"First seen per entity" is one aggregate over the candidate rows only:
+``min(struct(ord, position, cells))`` per (entity, value). It is combined
+map-side before the shuffle, so an entity holding a third of the rows never
+lands whole in one task (a window over the entity would), and the winning
+row's cells travel inside the aggregate: nothing is joined back.
+
+Each step's pass-through rows stay on one chain of narrow projections; the
+rows a step generates are a small side result, written once to the shared
+folder and pushed through the remaining steps on their own."""
 
 from __future__ import annotations
 
@@ -158,21 +163,24 @@ def excess_map(rows: DataFrame, spec: LineSpec) -> DataFrame:
 def excess_copies(mapped: DataFrame, spec: LineSpec) -> DataFrame:
     """Generated part of D3: a pulled number becomes a copy of its row when
     the row is the entity's first over-wide row showing that number, either
-    pulled or as the phone left on the row. Two aggregates, both combined
-    map-side; no row of the big input is shuffled, only the events."""
+    pulled or as the phone left on the row. A number pulled twice from one
+    row gives two copies, so each row first groups its pulled cells by value
+    (positions kept in an array, no shuffle); then one aggregate per
+    (entity, number), combined map-side, picks the first row."""
     pp = spec.phone_pos
     remain = _cell(F.col("cells"), pp)
-    ev = F.concat(
-        F.transform(F.col("__pulled"), lambda x, i: F.struct(x.alias("num"), F.lit(0).alias("kind"), i.alias("pos"))),
-        F.when(F.length(remain) > 0, F.array(F.struct(remain.alias("num"), F.lit(1).alias("kind"),
-                                                      F.lit(-1).alias("pos"))))
-         .otherwise(F.array().cast("array<struct<num:string,kind:int,pos:int>>")))
+    pulled = F.col("__pulled")
+    idx = F.sequence(F.lit(0), F.size(pulled) - 1)
+    by_value = F.transform(F.array_distinct(pulled), lambda x: F.struct(
+        x.alias("num"), F.lit(0).alias("kind"),
+        F.filter(idx, lambda i: F.element_at(pulled, i + 1) == x).alias("poses")))
+    left = F.when(F.length(remain) > 0, F.array(F.struct(
+        remain.alias("num"), F.lit(1).alias("kind"), F.array().cast("array<int>").alias("poses"))))
+    ev = F.concat(by_value, F.coalesce(left, F.array().cast("array<struct<num:string,kind:int,poses:array<int>>>")))
     events = (mapped.where(F.col("__diff") > 0)
               .select("__entity", "ord", "cells", F.explode(ev).alias("e"))
-              .select("__entity", "ord", "cells", "e.num", "e.kind", "e.pos"))
-    per_row = (events.groupBy("__entity", "num", "ord", "kind")
-               .agg(F.collect_list("pos").alias("poses"), F.first("cells").alias("cells")))
-    first = (per_row.groupBy("__entity", "num")
+              .select("__entity", "ord", "cells", "e.num", "e.kind", "e.poses"))
+    first = (events.groupBy("__entity", "num")
              .agg(F.min(F.struct("ord", "kind", "poses", "cells")).alias("f"))
              .where(F.col("f.kind") == 0))
     return (first.select("num", "f.ord", "f.cells", F.explode("f.poses").alias("pos"))

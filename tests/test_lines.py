@@ -59,3 +59,12 @@ def test_chain_matches_bruteforce(spark, sf_dir):
     want = B.chain(raw[1:], spec)
     want = [tuple(c[:spec.width] + [None] * (spec.width - len(c))) + (spec.delimiter.join(c[spec.width:]) or None,) for c in want]
     assert got == want
+
+
+def test_excess_same_number_twice(spark):
+    spec = L.LineSpec(header=["id", "name", "email", "phone"], delimiter="|", email_pos=2, phone_pos=3)
+    df = lines_df(spark, ["id|name|email|phone", "E1|Ana|911111111|911111111|a@x.pt|2", "E1|Ana|911111111|a@x.pt|3"])
+    rows = L.repair_excess_cells(L.to_rows(df, "|"), spec)
+    got = sorted((tuple(r.ord), "|".join(r.cells)) for r in rows.collect())
+    assert got == [((0, 1), "E1|Ana|a@x.pt|2"), ((0, 2), "E1|Ana|a@x.pt|3"),
+                   ((1, 0, 1, 0), "E1|Ana|a@x.pt|911111111"), ((1, 0, 1, 1), "E1|Ana|a@x.pt|911111111")]
