@@ -84,7 +84,9 @@ def balance(df, min_partitions: int | None = None):
     round-robin repartition is deterministic on retry (rows are sorted before
     they are dealt out). When the input already has enough partitions, as
     with any large input, this does nothing."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the plan as it is
         return df
-    return df.repartition(target)
+    return df if have >= target else df.repartition(target)
