@@ -51,10 +51,12 @@ def write_snapshot(df: DataFrame, root: str, tag: str, date_tag: str, product: s
 
 def write_snapshots_by(df: DataFrame, path: str, snapshot: Column, file_type: str = "parquet") -> str:
     """Write many snapshots at once, named by a column expression (used to
-    backfill history). Rows are clustered by snapshot first so each snapshot
-    is written by few tasks instead of every task writing every snapshot."""
+    backfill history). Rows are clustered by snapshot so each snapshot is
+    written by few tasks, not by every task; the ``rebalance`` hint lets AQE
+    split a snapshot holding a large share of the rows over several tasks
+    and merge small ones, instead of one task per snapshot."""
     out = df.withColumn(SNAPSHOT, snapshot)
-    (out.repartition(SNAPSHOT).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.hint("rebalance", SNAPSHOT).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(SNAPSHOT).format(file_type).save(path))
     return path
 
