@@ -59,3 +59,26 @@ def flatten_multilevel_header(df: DataFrame, macro_tags: list[str], micro_tags:
         elif hits:
             picked += [(cols[i], f"{micro}_{sub_header[i]}") for i in span(hits[-1])]
     return body.select(*[F.col(f"`{o}`").alias(n) for o, n in picked])
+
+
+def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: list[str],
+                        duplicated_macro_tag: str | None = None, delimiter: str = ",", quote: str = '"',
+                        encoding: str = "utf-8") -> DataFrame:
+    """A5 straight from a delimited file whose first two lines are the top
+    and sub headers. Only those two lines reach the driver; the body is
+    parsed on the executors."""
+    from . import delimited as DL
+    from .raw_lines import read_raw_lines
+
+    lines = read_raw_lines(spark, path, encoding, across_files=True)
+    head = {r["line_no"]: r["line"] for r in lines.where(F.col("line_no") < 2).select("line_no", "line").collect()}
+    if len(head) < 2:
+        raise ValueError("a two-row header needs two header lines")
+    top = DL.unnamed_blanks(DL._parse_header(head[0], delimiter, quote))
+    sub = DL._parse_header(head[1], delimiter, quote)
+    schema = ", ".join(f"`__c{i}` string" for i in range(len(top)))
+    body = (lines.where(F.col("line_no") >= 2)
+            .select(F.from_csv("line", schema, {"sep": delimiter, "quote": quote}).alias("r")).select("r.*"))
+    body = body.toDF(*DL.dedupe_names(top))
+    return flatten_multilevel_header(body, macro_tags, micro_tags, duplicated_macro_tag,
+                                     sub_header=sub + [""] * (len(top) - len(sub)))

@@ -68,3 +68,10 @@ def test_flatten_header_fixture(spark):
     last = H.flatten_multilevel_header(df, ["Sales"], ["s"])
     assert last.columns == ["s_q1", "s_q2"]
     assert [tuple(r) for r in last.collect()] == [("3", "4")]
+
+
+def test_read_two_row_header(spark):
+    p = _write("Sales 2019,,Sales 2020,\nq1,q2,q1,q2\n1,2,3,4\n5,6,7,8\n")
+    df = H.read_two_row_header(spark, p, ["Sales"], ["s"], "year")
+    assert df.columns == ["s_q1_2019", "s_q2_2019", "s_q1_2020", "s_q2_2020"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "2", "3", "4"), ("5", "6", "7", "8")]
