@@ -31,28 +31,29 @@ select 'segments', (select count(*) from customer),
 def mask_dictionary(spark, sf_dir):
     """Names and segments masked with persistent dictionaries (two
     columns share 'segments'); reports rows, distinct values, distinct keys
-    and conflicts (a value with two keys or a key with two values)."""
+    and conflicts (a value with two keys or a key with two values).
+
+    The raw values ride along through the mask, so one pass gives the
+    distinct (dictionary, value, key) pairs; one grouping-sets aggregate
+    then counts keys per value and values per key."""
     refs = work_path(spark, "dictionaries", _key(sf_dir), unique=True)
-    cust = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_mktsegment", F.lower("c_mktsegment").alias("segment_lower"))
-    raw = cust.select("c_custkey", *[F.col(c).alias(f"raw_{c}") for c in ("c_name", "c_mktsegment", "segment_lower")])
-    masked = M.mask_columns(cust, refs, {"c_name": "names", "c_mktsegment": "segments", "segment_lower": "segments"})
-    pairs = masked.join(raw, "c_custkey")
-
-    def side(dictionary, cols):
-        p = None
-        for c in cols:
-            q = pairs.select(F.coalesce(F.col(f"raw_{c}"), F.lit("nan")).alias("v"), F.col(c).alias("k"))
-            p = q if p is None else p.unionByName(q)
-        p = p.distinct()
-        v_conf = p.groupBy("v").agg(F.count_distinct("k").alias("n")).where("n > 1")
-        k_conf = p.groupBy("k").agg(F.count_distinct("v").alias("n")).where("n > 1")
-        stats = p.agg(F.count_distinct("v").alias("n_values"), F.count_distinct("k").alias("n_keys"))
-        conflicts = v_conf.select("n").unionByName(k_conf.select("n")).agg(F.count(F.lit(1)).alias("n_conflicts"))
-        return (stats.crossJoin(conflicts).crossJoin(masked.agg(F.count(F.lit(1)).alias("n_rows")))
-                .select(F.lit(dictionary).alias("dictionary"), "n_rows", "n_values", "n_keys", "n_conflicts"))
-
-    return side("names", ["c_name"]).unionByName(side("segments", ["c_mktsegment", "segment_lower"]))
+    base = table(spark, sf_dir, "customer")
+    cols = {"c_name": "names", "c_mktsegment": "segments", "segment_lower": "segments"}
+    cust = base.select("c_name", "c_mktsegment", F.lower("c_mktsegment").alias("segment_lower"))
+    cust = cust.select("*", *[F.coalesce(F.col(c), F.lit("nan")).alias(f"raw_{c}") for c in cols])
+    masked = M.mask_columns(cust, refs, cols)
+    pairs = (masked.select(F.explode(F.array(*[
+                F.struct(F.lit(d).alias("dictionary"), F.col(f"raw_{c}").alias("v"), F.col(c).alias("k"))
+                for c, d in cols.items()])).alias("p"))
+             .select("p.*").distinct())
+    per = (pairs.groupingSets([["dictionary", "v"], ["dictionary", "k"]], "dictionary", "v", "k")
+           .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g")))
+    by_value = F.col("g") == 1   # grouped by (dictionary, v): k aggregated away
+    stats = per.groupBy("dictionary").agg(
+        F.count_if(by_value).alias("n_values"), F.count_if(~by_value).alias("n_keys"),
+        F.count_if(F.col("n") > 1).alias("n_conflicts"))
+    n_rows = base.agg(F.count(F.lit(1)).alias("n_rows"))
+    return stats.crossJoin(n_rows).select("dictionary", "n_rows", "n_values", "n_keys", "n_conflicts")
 
 
 _SALT = "sparkprep-demo-salt"
