@@ -107,3 +107,18 @@ def test_process_source_quality_path(spark, sf_dir):
         cells = c[:s.width] + [None] * (s.width - len(c))
         exp.append(tuple(cells[:4]) + (clean(cells[4]),) + (";".join(c[s.width:]) or None,))
     assert got == sorted(exp)
+
+
+def test_cli_runs_a_spec(spark, tmp_path):
+    import json
+    from sparkprep import cli
+
+    base = work_path(spark, "test-cli", unique=True)
+    (spark.createDataFrame([("Ana", "1")], "name string, qty string").write.option("header", True)
+     .csv(f"{base}/in/src_20240101_000000.csv"))
+    spec_file = tmp_path / "spec.json"
+    spec_file.write_text(json.dumps(_spec(base)))
+    assert cli.main([str(spec_file), "--src-time", "20240105_000000"]) == 0
+    out = spark.read.parquet(f"{base}/out/master/src")
+    assert [(r.name, r.qty, r.snapshot) for r in out.collect()] == [("ana", 1, "20240105_000000")]
+    assert cli.main([str(spec_file), "--src-time", "20230101_000000"]) == 1   # no input that old
