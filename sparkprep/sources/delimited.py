@@ -55,7 +55,8 @@ def read_delimited(spark: SparkSession, path: str, header_row: int = 0, delimite
     """Read delimited text as strings. ``names`` replaces the header names
     (the header row is still skipped). Only the header line reaches the
     driver; rows are parsed by the CSV source on the executors."""
-    lines = read_raw_lines(spark, path, encoding)
+    # blank lines are skipped and do not count for ``header_row``
+    lines = read_raw_lines(spark, path, encoding, skip_blank=True)
     first = lines.where(F.col("line_no") == header_row).select("line").limit(1).collect()
     if not first:
         raise ValueError(f"no header row {header_row} in {path}")

@@ -34,7 +34,7 @@ def _charset(encoding: str | None) -> str:
     return ENCODING_ALIASES.get(e, e)
 
 
-def _scan(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+def _scan(spark: SparkSession, path: str, encoding: str, skip_blank: bool = False) -> DataFrame:
     cs = _charset(encoding)
     if cs in ("utf-8", "us-ascii"):
         df = spark.read.text(path).withColumnRenamed("value", "line")
@@ -46,17 +46,23 @@ def _scan(spark: SparkSession, path: str, encoding: str) -> DataFrame:
               .option("escape", "\u0000").option("nullValue", "\u0000").option("emptyValue", "")
               .schema("line string").csv(path))
         df = df.withColumn("line", F.coalesce("line", F.lit("")))
+    if skip_blank:
+        # before the row ids are taken, so kept lines stay consecutive
+        df = df.where(F.length(F.trim(F.col("line"))) > 0)
     return df.select(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("__block"),
                      F.monotonically_increasing_id().alias("__mid"), "line")
 
 
-def read_raw_lines(spark: SparkSession, path: str, encoding: str = "utf-8", across_files: bool = False) -> DataFrame:
+def read_raw_lines(spark: SparkSession, path: str, encoding: str = "utf-8", across_files: bool = False,
+                   skip_blank: bool = False) -> DataFrame:
     """Lines of the file(s) at ``path`` with 0-based per-file ``line_no``;
     ``across_files=True`` numbers the lines of all files as one sequence in
     file-name order (a directory written in parts by Spark reads back as the
-    ordered whole). Line terminators (LF, CRLF, CR) are not part of ``line``."""
-    scan = _scan(spark, path, encoding)
+    ordered whole). ``skip_blank=True`` drops empty (or whitespace-only)
+    lines and numbers the rest. Line terminators (LF, CRLF, CR) are not part
+    of ``line``."""
+    scan = _scan(spark, path, encoding, skip_blank)
     splits = scan.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     # one row per input split: small even for a very large input
     w = (Window.orderBy("file", "__block") if across_files else Window.partitionBy("file").orderBy("__block"))

@@ -75,3 +75,12 @@ def test_read_two_row_header(spark):
     df = H.read_two_row_header(spark, p, ["Sales"], ["s"], "year")
     assert df.columns == ["s_q1_2019", "s_q2_2019", "s_q1_2020", "s_q2_2020"]
     assert sorted(tuple(r) for r in df.collect()) == [("1", "2", "3", "4"), ("5", "6", "7", "8")]
+
+
+def test_read_delimited_blank_lines(spark):
+    p = _write("\njunk\n\nx,y\n1,2\n\n3,4\n")
+    df = DL.read_delimited(spark, p, header_row=1)
+    assert df.columns == ["x", "y"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("3", "4")]
+    p0 = _write("x,y\n\n1,2\n")
+    assert [tuple(r) for r in DL.read_delimited(spark, p0).collect()] == [("1", "2")]
