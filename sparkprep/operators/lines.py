@@ -113,17 +113,13 @@ def to_rows(lines: DataFrame, delimiter: str) -> DataFrame:
 
 # ------------------------------------------------------------ side results
 def _materialize(df: DataFrame, enabled: bool) -> DataFrame:
-    """Generated rows are few; writing them once as a parquet table in the
-    shared folder (``spark.checkpoint.dir``) and reading that back keeps
-    every later step from recomputing the chain that produced them. One
-    job, unlike ``checkpoint()``, which computes its input twice when the
-    input is not cached; the files survive the loss of any executor."""
+    """Generated rows are few; written once to the shared folder and read
+    back (``session.materialize``), they keep every later step from
+    recomputing the chain that produced them."""
     if not enabled:
         return df
-    from ..session import work_path
-    path = work_path(df.sparkSession, "side", unique=True)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    from ..session import materialize
+    return materialize(df)
 
 
 def _gen_ord(gen: int, ord_: Column, pos: Column) -> Column:

@@ -9,10 +9,11 @@ key for the same value; readers resolve that with ``min(key)`` per value, so
 every run agrees. Columns naming the same dictionary share its keys. A null
 is masked as its text form ``'nan'``.
 
-The dictionary grows with the data, so it is never broadcast on faith: its
-size is measured after it is extended, and only a dictionary under the limit
-is broadcast. A larger one is a shuffle join, where AQE splits the partition
-of a value (say ``'nan'``) holding a large share of the rows.
+The dictionary grows with the data, so it is never broadcast on faith: the
+lookup a table needs (its own distinct values with their keys) is written
+and measured, and only a lookup under the limit is broadcast. A larger one
+is a shuffle join, where AQE splits the partition of a value (say ``'nan'``)
+holding a large share of the rows.
 
 ``mask_keyed`` is the dictionary-free variant: ``sha2(salt || value)``."""
 
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..session import materialize
+
 NULL_TEXT = "nan"
 BROADCAST_LIMIT = 256 << 20
 
@@ -43,55 +46,58 @@ def read_dictionary(spark: SparkSession, references_path: str, name: str) -> Dat
     return raw.groupBy("value").agg(F.min("key").alias("key"))
 
 
-def extend_dictionary(df: DataFrame, cols: list[str], references_path: str, name: str) -> None:
-    """Add keys for the values of ``cols`` not yet in the dictionary: one
-    write job appending a new part. The distinct values are combined
-    map-side before the shuffle, so a hot value costs one row per task."""
-    spark = df.sparkSession
+def column_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct text values of ``cols`` (nulls as 'nan'), combined map-side:
+    a value holding a large share of the rows costs one row per task."""
     values = None
     for c in cols:
         v = df.select(_as_text(c).alias("value"))
         values = v if values is None else values.unionByName(v)
-    values = values.distinct()
+    return values.distinct()
+
+
+def extend_dictionary(values: DataFrame, references_path: str, name: str) -> None:
+    """Give a fresh key to each value not yet in the dictionary: one write
+    job appending a new part (a retried task rewrites its own part only)."""
+    spark = values.sparkSession
     known = read_dictionary(spark, references_path, name).select("value")
     new = values.join(known, "value", "left_anti").withColumn("key", F.replace(F.uuid(), F.lit("-"), F.lit("")))
     new.write.mode("append").parquet(dictionary_path(references_path, name))
 
 
-def dictionary_bytes(spark: SparkSession, references_path: str, name: str) -> int:
-    """Measured size of a dictionary (values plus 32-char keys): one
-    aggregate over the dictionary files only, never over the data."""
-    try:
-        raw = spark.read.parquet(dictionary_path(references_path, name))
-    except AnalysisException:
-        return 0
-    row = raw.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("b")).collect()[0]
+def lookup_bytes(lookup: DataFrame) -> int:
+    """Measured size of a (value, key) lookup: one small aggregate."""
+    row = lookup.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("b")).collect()[0]
     return int(row["b"] or 0) + 48 * int(row["n"] or 0)
 
 
 def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str],
                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Replace each column in ``mask_cols`` (column -> dictionary name) by its
-    key. Dictionaries are extended first (one write each), then joined: as a
-    broadcast when the measured dictionary is under ``broadcast_limit``
-    bytes (no shuffle of the table), else as a shuffle join."""
+    key. Per dictionary: the table's distinct values are written once; the
+    dictionary is extended with the new ones; the lookup the table needs
+    (its values joined to the dictionary) is written and measured. A lookup
+    under ``broadcast_limit`` bytes is broadcast (the table is not
+    shuffled); a larger one is a shuffle join. Measuring the needed lookup,
+    not the whole dictionary, keeps the broadcast as a long-lived dictionary
+    grows."""
     spark = df.sparkSession
     by_dict: dict[str, list[str]] = {}
     for c, d in mask_cols.items():
         if c not in df.columns:
             raise KeyError(f"column {c!r} not in the table")
         by_dict.setdefault(d, []).append(c)
-    for d, cols in by_dict.items():
-        extend_dictionary(df, cols, references_path, d)
     out = df
     order = df.columns
     for d, cols in by_dict.items():
-        dictionary = read_dictionary(spark, references_path, d)
-        if dictionary_bytes(spark, references_path, d) <= broadcast_limit:
-            dictionary = F.broadcast(dictionary)
+        values = materialize(column_values(df, cols))
+        extend_dictionary(values, references_path, d)
+        lookup = materialize(values.join(read_dictionary(spark, references_path, d), "value"))
+        if lookup_bytes(lookup) <= broadcast_limit:
+            lookup = F.broadcast(lookup)
         for c in cols:
             tmp = f"__mask_{c}"
-            right = dictionary.select(F.col("value").alias(f"{tmp}_v"), F.col("key").alias(tmp))
+            right = lookup.select(F.col("value").alias(f"{tmp}_v"), F.col("key").alias(tmp))
             out = (out.join(right, _as_text(c) == F.col(f"{tmp}_v"), "left")
                    .drop(f"{tmp}_v").drop(c).withColumnRenamed(tmp, c))
     return out.select(*[f"`{c}`" for c in order])

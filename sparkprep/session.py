@@ -90,3 +90,13 @@ def balance(df, min_partitions: int | None = None):
     except Exception:  # sessions without RDD access: leave the plan as it is
         return df
     return df if have >= target else df.repartition(target)
+
+
+def materialize(df):
+    """Write ``df`` once as a parquet table in the shared folder and return
+    it read back: later plans start from the files, so they neither
+    recompute ``df`` nor depend on its lineage (the files survive the loss
+    of any executor). One job, unlike an uncached ``checkpoint()``."""
+    path = work_path(df.sparkSession, "side", unique=True)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
