@@ -15,7 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Wide standardisation projections generate long methods; above the
     # JIT's 8000-bytecode limit HotSpot would interpret them, so let Spark
     # fall back to per-expression code for such stages instead.
