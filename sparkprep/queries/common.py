@@ -17,12 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, balanced: bool = False) -
     return balance(df) if balanced else df
 
 
-def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Expose driver tables as temp views for SQL-text operators."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 @dataclass
 class Query:
     run: Callable[[SparkSession, str], DataFrame]

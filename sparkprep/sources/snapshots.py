@@ -142,8 +142,3 @@ def stale_sources(last: DataFrame, now: Column | _dt.datetime, last_col: str = "
     for u in D.FRESHNESS_UNITS:
         cases = cases.when(F.col(unit_col) == u, D.elapsed_units(last_ts, n, u) > F.col(rate_col))
     return last.withColumn("stale", cases.otherwise(F.raise_error(F.lit("invalid freshness unit")).cast("boolean")))
-
-
-def snapshot_time(name: Column) -> Column:
-    """The time a snapshot name stands for."""
-    return F.to_timestamp(name, D.OUT_SPARK)
