@@ -80,11 +80,19 @@ def declared_classes(spec: dict) -> list[tuple[str, str]]:
     return pairs
 
 
+PARSED_CLASSES = ("date_cols", "float_cols", "int_cols", "n_client_cols")
+
+
 def type_coverage(df: DataFrame, spec: dict) -> DataFrame:
     """B5 as data work: one row per column of the table or of the spec with
     its declared classes, a status (``ok``, ``undeclared``, ``multiple``,
-    ``missing``) and, for columns present, ``n_rows`` and ``n_null`` from
-    one aggregate over the table (partial per task, tiny final shuffle)."""
+    ``missing``) and, for columns present, ``n_rows``, ``n_null`` and
+    ``n_unparsable`` (values the declared date/float/int standardiser
+    rejects; 0 for classes that cannot fail). The parse check runs the
+    standardisers in quarantine mode; all counts come from one aggregate
+    (partial per task, one row per task shuffled)."""
+    from . import standardize as S
+
     spark = df.sparkSession
     pairs = declared_classes(spec)
     declared: dict[str, list[str]] = {}
@@ -92,16 +100,37 @@ def type_coverage(df: DataFrame, spec: dict) -> DataFrame:
         declared.setdefault(c, []).append(k)
     names = list(dict.fromkeys(list(df.columns) + list(declared)))
     present = [c for c in names if c in df.columns]
-    stats = df.agg(F.count(F.lit(1)).alias("__rows"),
-                   *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__null{i}") for i, c in enumerate(present)])
+    checked = df.select("*", *[F.col(f"`{c}`").isNull().alias(f"__isnull{i}") for i, c in enumerate(present)])
+    parse_spec = {"optional": 1}
+    for tag in PARSED_CLASSES:
+        if tag not in spec or not spec[tag]:
+            continue
+        if tag == "date_cols":
+            dp = dict(spec[tag])
+            cols = [c for c in _split(dp["cols"]) if c in df.columns]
+            has_fmt = [c for c in cols if c in dp or any(k in dp for k in ("other_formats", "mix", "global_format"))]
+            if has_fmt:
+                parse_spec[tag] = {**dp, "cols": ",".join(has_fmt)}
+        else:
+            parse_spec[tag] = spec[tag]
+    for tag in S.CLASS_ORDER:
+        if tag in parse_spec:
+            checked = S.transform(checked, tag, parse_spec, optional=1, on_error="quarantine")
+    errors = F.col(S.ERRORS) if S.ERRORS in checked.columns else F.array().cast("array<string>")
+    stats = checked.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        F.array(*[F.count_if(f"__isnull{i}") for i in range(len(present))]).alias("__nulls"),
+        F.array(*[F.count_if(F.array_contains(errors, c)) for c in present]).alias("__bad"))
     meta = spark.createDataFrame(
         [(c, ",".join(declared.get(c, [])), len(declared.get(c, [])),
           "missing" if c not in df.columns else "undeclared" if c not in declared
           else "multiple" if len(declared[c]) > 1 else "ok", present.index(c) if c in df.columns else -1)
          for c in names],
         "column string, classes string, n_classes int, status string, idx int")
-    nulls = F.array(*[F.col(f"__null{i}") for i in range(len(present))]) if present else F.array().cast("array<bigint>")
-    out = meta.crossJoin(F.broadcast(stats.select("__rows", nulls.alias("__nulls"))))
+    out = meta.crossJoin(F.broadcast(stats))
+    here = F.col("idx") >= 0
     return out.select("column", "classes", "n_classes", "status",
-                      F.when(F.col("idx") >= 0, F.col("__rows")).alias("n_rows"),
-                      F.when(F.col("idx") >= 0, F.try_element_at("__nulls", F.col("idx") + 1)).alias("n_null"))
+                      F.when(here, F.col("__rows")).alias("n_rows"),
+                      F.when(here, F.try_element_at("__nulls", F.col("idx") + 1)).alias("n_null"),
+                      F.when(here & (F.col("n_classes") > 0),
+                             F.try_element_at("__bad", F.col("idx") + 1)).alias("n_unparsable"))

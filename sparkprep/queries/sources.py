@@ -132,7 +132,7 @@ def wildcard_select(spark, sf_dir):
 # ------------------------------------------------------------------ B5
 _COVER_SPEC = {"int_cols": "o_orderkey", "n_client_cols": "o_custkey", "str_cols": "o_orderstatus,o_orderpriority",
                "nif_cols": "o_orderstatus", "float_cols": "o_totalprice",
-               "date_cols": {"cols": "o_orderdate,o_comment"}}
+               "date_cols": {"cols": "o_orderdate,o_comment", "global_format": "%Y-%m-%d %H:%M:%S"}}
 _COVER_ROWS = [("o_orderkey", "int_cols", 1, "ok"), ("o_custkey", "n_client_cols", 1, "ok"),
                ("o_orderstatus", "str_cols,nif_cols", 2, "multiple"), ("o_totalprice", "float_cols", 1, "ok"),
                ("o_orderdate", "date_cols", 1, "ok"), ("o_orderpriority", "str_cols", 1, "ok"),
@@ -147,13 +147,14 @@ s as (select count(*) as n_rows, {', '.join(f"count(*) - count({c}) as {c}" for
       from orders)
 select col_name, classes, cast(n_classes as integer) as n_classes, status,
   case when status = 'missing' then null else n_rows end as n_rows,
-  case col_name {' '.join(f"when '{c}' then {c}" for c, *_ in _COVER_ROWS if c != 'o_comment')} end as n_null
+  case col_name {' '.join(f"when '{c}' then {c}" for c, *_ in _COVER_ROWS if c != 'o_comment')} end as n_null,
+  case when status = 'missing' then null else 0::bigint end as n_unparsable
 from v, s"""
 
 
 @query("type_coverage", oracle=_cover_oracle())
 def type_coverage(spark, sf_dir):
-    """Declared classes per column, status and null counts in one pass."""
+    """Declared classes per column, status, null and unparsable counts."""
     o = table(spark, sf_dir, "orders")
     return NM.type_coverage(o, _COVER_SPEC).withColumnRenamed("column", "col_name")
 

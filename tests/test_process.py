@@ -19,10 +19,13 @@ def test_expand_wildcards():
 
 
 def test_type_coverage(spark):
-    df = spark.createDataFrame([(1, None, "x")], "a int, b string, c string")
-    rep = NM.type_coverage(df, {"int_cols": "a", "str_cols": "b,a", "nif_cols": "z"})
-    got = {r.column: (r.status, r.n_null) for r in rep.collect()}
-    assert got == {"a": ("multiple", 0), "b": ("ok", 1), "c": ("undeclared", 0), "z": ("missing", None)}
+    df = spark.createDataFrame([(1, None, "x", "2020-01-01"), (2, "y", "z", "2020-02-30")],
+                               "a int, b string, c string, d string")
+    rep = NM.type_coverage(df, {"int_cols": "a", "str_cols": "b,a", "nif_cols": "z",
+                                "date_cols": {"cols": "d", "global_format": "%Y-%m-%d"}})
+    got = {r.column: (r.status, r.n_null, r.n_unparsable) for r in rep.collect()}
+    assert got == {"a": ("multiple", 0, 0), "b": ("ok", 1, 0), "c": ("undeclared", 0, None),
+                   "d": ("ok", 0, 1), "z": ("missing", None, None)}
 
 
 def test_standardize_table_names(spark):
