@@ -100,8 +100,8 @@ def malformed_lines(lines: DataFrame, delimiter: str, width: int | None = None)
     data = lines.where(F.col("line_no") > 0).withColumn("n_cells", n)
     if width is not None:
         return data.where(F.col("n_cells") != width)
-    header = lines.where(F.col("line_no") == 0).select(n.alias("width"))
-    return data.join(F.broadcast(header), data["n_cells"] != header["width"]).drop("width")
+    width = lines.where(F.col("line_no") == 0).select(F.max(n)).scalar()
+    return data.where(F.col("n_cells") != width)
 
 
 def to_rows(lines: DataFrame, delimiter: str) -> DataFrame:

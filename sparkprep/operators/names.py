@@ -93,7 +93,6 @@ def type_coverage(df: DataFrame, spec: dict) -> DataFrame:
     (partial per task, one row per task shuffled)."""
     from . import standardize as S
 
-    spark = df.sparkSession
     pairs = declared_classes(spec)
     declared: dict[str, list[str]] = {}
     for c, k in pairs:
@@ -121,16 +120,19 @@ def type_coverage(df: DataFrame, spec: dict) -> DataFrame:
         F.count(F.lit(1)).alias("__rows"),
         F.array(*[F.count_if(f"__isnull{i}") for i in range(len(present))]).alias("__nulls"),
         F.array(*[F.count_if(F.array_contains(errors, c)) for c in present]).alias("__bad"))
-    meta = spark.createDataFrame(
-        [(c, ",".join(declared.get(c, [])), len(declared.get(c, [])),
-          "missing" if c not in df.columns else "undeclared" if c not in declared
-          else "multiple" if len(declared[c]) > 1 else "ok", present.index(c) if c in df.columns else -1)
-         for c in names],
-        "column string, classes string, n_classes int, status string, idx int")
-    out = meta.crossJoin(F.broadcast(stats))
-    here = F.col("idx") >= 0
-    return out.select("column", "classes", "n_classes", "status",
-                      F.when(here, F.col("__rows")).alias("n_rows"),
-                      F.when(here, F.try_element_at("__nulls", F.col("idx") + 1)).alias("n_null"),
-                      F.when(here & (F.col("n_classes") > 0),
-                             F.try_element_at("__bad", F.col("idx") + 1)).alias("n_unparsable"))
+    # The report rows are labelled with literals from the spec and filled
+    # from the single aggregate row: no join at all.
+    rows = []
+    for c in names:
+        i = present.index(c) if c in df.columns else -1
+        classes = declared.get(c, [])
+        status = ("missing" if i < 0 else "undeclared" if not classes
+                  else "multiple" if len(classes) > 1 else "ok")
+        null_n = F.lit(None).cast("bigint")
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.lit(",".join(classes)).alias("classes"),
+            F.lit(len(classes)).alias("n_classes"), F.lit(status).alias("status"),
+            (F.col("__rows") if i >= 0 else null_n).alias("n_rows"),
+            (F.col("__nulls")[i] if i >= 0 else null_n).alias("n_null"),
+            (F.col("__bad")[i] if i >= 0 and classes else null_n).alias("n_unparsable")))
+    return stats.select(F.inline(F.array(*rows)))

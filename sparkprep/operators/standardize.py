@@ -2,7 +2,7 @@
 
 Each function keeps the plan one projection (``withColumns``); only the float
 rule adds work: one global aggregate for the column-wide flags of every float
-column, brought back as a one-row broadcast (its size is fixed: one row)."""
+column (five small integers per column), used as literals."""
 
 from __future__ import annotations
 
@@ -84,26 +84,38 @@ def dates(df: DataFrame, date_params: dict, optional: int = 0, on_error: str = "
     })
 
 
+FLAG_KEYS = ("md", "d1", "mc", "c1", "pc")
+
+
+def float_flags(df: DataFrame, cols: list[str]) -> dict[str, dict[str, int]]:
+    """C3's column-wide flags for every float column from one aggregate:
+    a partial aggregate per task and one final row of five small integers
+    per column. That row is all that reaches the driver."""
+    names = {c: f"__f{i}" for i, c in enumerate(cols)}
+    row = df.agg(*[e for c in cols for e in N.float_flags(F.col(_q(c)), names[c])]).first()
+    return {c: {k: int(row[f"{p}__{k}"] or 0) for k in FLAG_KEYS} for c, p in names.items()}
+
+
 def floats(df: DataFrame, cols: list[str], optional: int = 1, decimal: str | None = None,
-           on_error: str = "fail", flags: DataFrame | None = None) -> DataFrame:
-    """C3. The column-wide flags come from one aggregate over the input
-    (``flags`` may be given instead, e.g. from a spec on a stream). The
-    aggregate is a partial+final global agg: no shuffle of rows."""
+           on_error: str = "fail", flags: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """C3. The column-wide flags come from one aggregate over the input, or
+    are given (declared in the spec, e.g. on a stream). They enter the plan
+    as literals, so the optimizer folds away the rules that do not apply and
+    the rows are transformed in one pass of narrow projections: no join, no
+    shuffle of rows."""
     cols = present_columns(cols, df.columns, optional)
     if not cols:
         return df
-    names = {c: f"__f{i}" for i, c in enumerate(cols)}
     if flags is None:
-        flags = df.agg(*[e for c in cols for e in N.float_flags(F.col(_q(c)), names[c])])
-    out = df.crossJoin(F.broadcast(flags))
+        flags = float_flags(df, cols)
+    lit = {c: {k: F.lit(int(flags[c].get(k, 0))) for k in FLAG_KEYS} for c in cols}
     # Each step is its own projection: the steps use their input several
     # times, and separate projections keep Catalyst from inlining them into
     # one exponentially large expression.
-    out = out.withColumns({c: N.float_prepared(F.col(_q(c))) for c in cols})
-    out = out.withColumns({c: N.float_step2(F.col(_q(c)), F.col(f"{p}__md"), F.col(f"{p}__d1"),
-                                            F.col(f"{p}__mc"), F.col(f"{p}__c1"), decimal)
-                           for c, p in names.items()})
-    out = out.withColumns({c: N.float_step3(F.col(_q(c)), F.col(f"{p}__pc")) for c, p in names.items()})
+    out = df.withColumns({c: N.float_prepared(F.col(_q(c))) for c in cols})
+    out = out.withColumns({c: N.float_step2(F.col(_q(c)), lit[c]["md"], lit[c]["d1"], lit[c]["mc"], lit[c]["c1"],
+                                            decimal) for c in cols})
+    out = out.withColumns({c: N.float_step3(F.col(_q(c)), lit[c]["pc"]) for c in cols})
     out = out.withColumns({c: N.float_step4(F.col(_q(c))) for c in cols})
     if on_error == "quarantine":
         out = _with_errors(out, {c: N.float_fails(F.col(_q(c))) for c in cols})

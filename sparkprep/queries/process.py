@@ -52,8 +52,8 @@ def mask_dictionary(spark, sf_dir):
     stats = per.groupBy("dictionary").agg(
         F.count_if(by_value).alias("n_values"), F.count_if(~by_value).alias("n_keys"),
         F.count_if(F.col("n") > 1).alias("n_conflicts"))
-    n_rows = base.agg(F.count(F.lit(1)).alias("n_rows"))
-    return stats.crossJoin(n_rows).select("dictionary", "n_rows", "n_values", "n_keys", "n_conflicts")
+    n_rows = base.agg(F.count(F.lit(1))).scalar()
+    return stats.select("dictionary", n_rows.alias("n_rows"), "n_values", "n_keys", "n_conflicts")
 
 
 _SALT = "sparkprep-demo-salt"

@@ -28,18 +28,6 @@ from ..plans import process as P
 from ..session import work_path
 
 
-def flags_frame(spark, cols: list[str], float_flags: dict[str, dict]) -> DataFrame:
-    """A one-row flags table from declared flags, e.g.
-    ``{'amount': {'md': 1, 'd1': 1, 'mc': 0, 'c1': 0, 'pc': 0}}``."""
-    row, names = [], []
-    for i, c in enumerate(cols):
-        f = float_flags[c]
-        for k in ("md", "d1", "mc", "c1", "pc"):
-            row.append(int(f.get(k, 0)))
-            names.append(f"__f{i}__{k}")
-    return spark.createDataFrame([tuple(row)], names)
-
-
 def standardize_stream(stream: DataFrame, data_types: dict, float_flags: dict[str, dict] | None = None,
                        on_error: str = "sentinel") -> DataFrame:
     """Row-wise part of F1 on a streaming DataFrame (dates, floats with
@@ -57,8 +45,7 @@ def standardize_stream(stream: DataFrame, data_types: dict, float_flags: dict[st
                 continue
             if float_flags is None:
                 raise ValueError("float columns on a stream need declared flags (or use standardize_batches)")
-            flags = flags_frame(df.sparkSession, cols, float_flags)
-            df = S.floats(df, cols, 1, spec.get("decimal"), on_error, flags=flags)
+            df = S.floats(df, cols, 1, spec.get("decimal"), on_error, flags=float_flags)
         else:
             df = S.transform(df, tag, spec, on_error=on_error)
     return df
