@@ -125,3 +125,12 @@ def test_cli_runs_a_spec(spark, tmp_path):
     out = spark.read.parquet(f"{base}/out/master/src")
     assert [(r.name, r.qty, r.snapshot) for r in out.collect()] == [("ana", 1, "20240105_000000")]
     assert cli.main([str(spec_file), "--src-time", "20230101_000000"]) == 1   # no input that old
+
+
+def test_process_source_date_part(spark):
+    base = work_path(spark, "test-part", unique=True)
+    (spark.createDataFrame([("Ana", "1")], "name string, qty string").write.option("header", True)
+     .csv(f"{base}/in/src_20240101_000000.csv"))
+    res = P.process_source(spark, _spec(base), src_time="20240102_000000", date_part="north")
+    assert res.path.endswith("/out/master/src/src_north")
+    assert [(r.name, r.qty) for r in res.data.collect()] == [("ana", 1)]

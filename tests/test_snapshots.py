@@ -59,3 +59,20 @@ def test_stale_sources(spark):
                                "src string, last_snapshot timestamp, unit string, rate int")
     got = {r.src: r.stale for r in SN.stale_sources(df, now).collect()}
     assert got == {"a": False, "b": True, "c": True, "d": True}
+
+
+def test_read_named_modes_and_csv(spark):
+    r = work_path(spark, "test-named", unique=True)
+    for t in TAGS:
+        SN.write_snapshot(spark.range(2).withColumn("tag", F.lit(t)), r, "a", t, product="p")
+        SN.write_snapshot(spark.range(1).withColumn("tag", F.lit(t)), r, "b", t, product="p", file_type="csv")
+    cat = {"src": {"root": r, "product": "p", "tags": ["a"]},
+           "csv": {"root": r, "product": "p", "tags": ["b"], "file_type": "csv"}}
+    assert _one(SN.read_named(spark, cat, "src")) == {TAGS[2]}
+    assert _one(SN.read_named(spark, cat, "src", selection_mode="by_date", filter_date="20240215")) == {TAGS[1]}
+    a, b = SN.read_named(spark, {"both": {"root": r, "product": "p", "tags": ["a", "a"]}}, "both")
+    assert _one(a) == _one(b) == {TAGS[2]}
+    csv_latest = SN.read_named(spark, cat, "csv")
+    assert [(r_.id, r_.tag) for r_ in csv_latest.collect()] == [("0", TAGS[2])]
+    with pytest.raises(KeyError):
+        SN.read_named(spark, cat, "nope")
