@@ -64,3 +64,24 @@ def test_first_seen_combines_map_side(spark):
     # the hot entity E1 shows each number at most once among the copies
     hot = [r.cells[1] for r in got if r.cells[0] == "E1"]
     assert len(hot) == len(set(hot))
+
+
+def test_hot_value_mask_join(spark):
+    from sparkprep.operators import mask as M
+    from sparkprep.session import work_path
+
+    refs = work_path(spark, "test-skew-dicts", unique=True)
+    df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None))
+                                   .otherwise((F.col("id") % 500).cast("string")).alias("v"))
+
+    def run():
+        out = M.mask_columns(df, refs, {"v": "d"}, broadcast_limit=0)
+        rows = out.collect()
+        return rows, out._jdf.queryExecution().executedPlan().toString()
+
+    rows, plan = _with_conf(spark, SKEW_CONF, run)
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.v, set()).add(None if r.id % 3 == 0 else str(r.id % 500))
+    assert len(rows) == 30000 and all(len(vs) == 1 for vs in by_key.values()) and len(by_key) == 501
+    assert "SortMergeJoin" in plan and "skew=true" in plan
