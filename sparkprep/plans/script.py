@@ -45,6 +45,30 @@ def run_script(spark: SparkSession, steps: list[Step | tuple], final_columns: li
     return df
 
 
+def run_sql_script(spark: SparkSession, script: str, result_view: str, final_columns: list[str] | None = None,
+                   args: dict | None = None) -> DataFrame:
+    """E8 for script text: ``;``-separated Spark SQL statements run as one
+    SQL script (``BEGIN ... END``, Spark's own statement handling) with
+    named parameters. The statements define temporary views, the last one
+    ``result_view``; its rows are returned lazily under ``final_columns``.
+
+    The script must end with a view, not a bare SELECT: the script engine
+    collects the rows of a final query to the driver, which is refused here."""
+    body = script.strip().rstrip(";")
+    if not body.upper().startswith("BEGIN"):
+        body = f"BEGIN\n{body};\nEND"
+    ran = spark.sql(body, args=args) if args else spark.sql(body)
+    if ran.columns:
+        raise ValueError("the script ends with a query; end it with CREATE TEMPORARY VIEW "
+                         f"{result_view} AS ... so the result stays distributed")
+    df = spark.table(result_view)
+    if final_columns:
+        if len(final_columns) != len(df.columns):
+            raise ValueError(f"{len(final_columns)} names for {len(df.columns)} columns")
+        df = df.toDF(*final_columns)
+    return df
+
+
 def register_aux(df: DataFrame, view: str, columns: list[str] | None = None,
                  names: list[str] | None = None, types: list[str] | None = None) -> DataFrame:
     """Expose an auxiliary source to SQL: needed columns, de-duplicated,

@@ -164,3 +164,23 @@ def script_two_steps(spark, sf_dir):
                join IDENTIFIER(:customers) on o_custkey = c_custkey group by c_nationkey"""),
     ]
     return S.run_script(spark, steps, ["nation", "n_customers", "n_orders"], args={"customers": "sp_customer"})
+
+
+@query("script_text", oracle="""with per_customer as (
+  select o_custkey, count(*) as n from orders where o_orderdate >= timestamp '1998-01-01' group by o_custkey)
+select c_nationkey as nation, count(*) as n_customers, cast(sum(n) as bigint) as n_orders
+from per_customer join customer on o_custkey = c_custkey group by c_nationkey""")
+def script_text(spark, sf_dir):
+    """E8 as script text: the two steps as one Spark SQL script with a
+    named parameter, run by Spark's own script support."""
+    _views(spark, sf_dir, "orders", "customer")
+    script = """
+      CREATE OR REPLACE TEMPORARY VIEW sp_script_per_customer AS
+        SELECT o_custkey, count(*) AS n FROM sp_orders
+        WHERE o_orderdate >= cast(:since AS timestamp_ntz) GROUP BY o_custkey;
+      CREATE OR REPLACE TEMPORARY VIEW sp_script_per_nation AS
+        SELECT c_nationkey, count(*), sum(n) FROM sp_script_per_customer
+        JOIN sp_customer ON o_custkey = c_custkey GROUP BY c_nationkey;
+    """
+    return S.run_sql_script(spark, script, "sp_script_per_nation", ["nation", "n_customers", "n_orders"],
+                            args={"since": "1998-01-01 00:00:00"})

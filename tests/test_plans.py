@@ -5,7 +5,7 @@ import __spark_entry__ as E
 
 def test_registry_shape():
     q, o = E.queries(), E.oracle_sql()
-    assert len(q) >= 59
+    assert len(q) >= 60
     assert set(o) <= set(q)
 
 

@@ -134,3 +134,15 @@ def test_process_source_date_part(spark):
     res = P.process_source(spark, _spec(base), src_time="20240102_000000", date_part="north")
     assert res.path.endswith("/out/master/src/src_north")
     assert [(r.name, r.qty) for r in res.data.collect()] == [("ana", 1)]
+
+
+def test_run_sql_script_lazy(spark):
+    import pytest
+    spark.range(10).createOrReplaceTempView("sp_t_src")
+    script = """CREATE OR REPLACE TEMPORARY VIEW sp_t_v1 AS SELECT id FROM sp_t_src WHERE id >= :lo;
+                CREATE OR REPLACE TEMPORARY VIEW sp_t_v2 AS SELECT count(*) AS c FROM sp_t_v1"""
+    df = SC.run_sql_script(spark, script, "sp_t_v2", ["n"], args={"lo": 4})
+    assert "LocalTableScan" not in df._jdf.queryExecution().executedPlan().toString()
+    assert df.collect()[0].n == 6
+    with pytest.raises(ValueError):
+        SC.run_sql_script(spark, "SELECT 1", "sp_t_v2")
