@@ -146,3 +146,25 @@ def test_run_sql_script_lazy(spark):
     assert df.collect()[0].n == 6
     with pytest.raises(ValueError):
         SC.run_sql_script(spark, "SELECT 1", "sp_t_v2")
+
+
+def test_process_source_query_input(spark, sf_dir):
+    from sparkprep.queries.common import table
+    table(spark, sf_dir, "orders").createOrReplaceTempView("sp_t_orders")
+    base = work_path(spark, "test-query-src", unique=True)
+    spec = {
+        "raw_source": {"load_parameters": {"query": """select o_custkey, count(*) from sp_t_orders
+                                                        where o_orderdate >= cast(:since as timestamp_ntz)
+                                                          and o_orderstatus = :status group by o_custkey"""},
+                       "type": {"specifics": "query"}},
+        "query_manipulation": {"time": {"since": {"format": "%Y-%m-%d %H:%M:%S", "ref": "yyyy0101_000000"}},
+                               "substitute_values": {"status": "F"}},
+        "data_types": {"names": "Cliente,N Encomendas", "n_client_cols": "Cliente", "int_cols": "N Encomendas"},
+        "processed_source": {"save_parameters": {"path": f"{base}/out", "tag": "orders_by_customer"}},
+    }
+    res = P.process_source(spark, spec, src_time="19990615_000000")
+    got = sorted((r.cliente, r.n_encomendas) for r in res.data.collect())
+    spark.sql("""select o_custkey, count(*) as n from sp_t_orders where o_orderdate >= timestamp '1999-01-01'
+                 and o_orderstatus = 'F' group by o_custkey""").createOrReplaceTempView("sp_t_want")
+    want = sorted((r.o_custkey, r.n) for r in spark.table("sp_t_want").collect())
+    assert got == want and got
