@@ -118,7 +118,8 @@ def _last_snapshot(spark: SparkSession, path: str) -> str | None:
 
 
 def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_path: str = "",
-                   now: _dt.datetime | None = None, product: str = "master", date_part: str = "") -> RunResult:
+                   now: _dt.datetime | None = None, product: str = "master", date_part: str = "",
+                   test: bool = False, data_folder_tests: str | None = None) -> RunResult:
     """F2. ``spec`` keys: ``raw_source`` {load_parameters, type}, ``data_types``,
     ``mask_data``, ``processed_source`` {save_parameters}, ``conf_file``
     {refresh_rate 'unit,rate'}.
@@ -126,14 +127,20 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
     Freshness: with no explicit time or input file, the run is skipped while
     the last snapshot is younger than the refresh rate. The input is the
     explicit file, else the newest file of the input folder (or the last one
-    at or before ``src_time``)."""
+    at or before ``src_time``). ``test=True`` writes under
+    ``data_folder_tests`` and applies the spec's ``tests_params`` overrides
+    (``standardize_cols_names``)."""
     if src_time:
         SN.validate_tag(src_time)
         when, date_tag = _dt.datetime.strptime(src_time, SN.TAG_FORMAT), src_time
     else:
         when = now or _dt.datetime.now()
         date_tag = when.strftime(SN.TAG_FORMAT)
-    save = spec["processed_source"]["save_parameters"]
+    save = dict(spec["processed_source"]["save_parameters"])
+    if test:
+        if not data_folder_tests:
+            raise ValueError("test runs need data_folder_tests")
+        save["path"] = data_folder_tests
     out_path = SN.snapshot_path(save["path"], save["tag"], product, date_part)
 
     refresh = spec.get("conf_file", {}).get("refresh_rate")
@@ -151,6 +158,9 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
     load = spec["raw_source"]["load_parameters"]
     kind = spec["raw_source"].get("type", {})
     types = dict(spec["data_types"])
+    overrides = spec.get("tests_params") or {}
+    if test and overrides.get("standardize_cols_names") is not None:
+        types["standardize_cols_names"] = bool(overrides["standardize_cols_names"])
     if "quality" in kind:
         q = kind["quality"]
         header = [h.strip() for h in types["names"].replace("\n ", "").split(",")]

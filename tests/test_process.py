@@ -168,3 +168,18 @@ def test_process_source_query_input(spark, sf_dir):
                  and o_orderstatus = 'F' group by o_custkey""").createOrReplaceTempView("sp_t_want")
     want = sorted((r.o_custkey, r.n) for r in spark.table("sp_t_want").collect())
     assert got == want and got
+
+
+def test_process_source_test_mode(spark):
+    base = work_path(spark, "test-mode", unique=True)
+    (spark.createDataFrame([("Ana", "1")], "Nome string, Qtd string").write.option("header", True)
+     .csv(f"{base}/in/src_20240101_000000.csv"))
+    spec = _spec(base)
+    spec["data_types"] = {"str_cols": "Nome", "int_cols": "Qtd"}
+    spec["tests_params"] = {"standardize_cols_names": False}
+    res = P.process_source(spark, spec, src_time="20240102_000000", test=True,
+                           data_folder_tests=f"{base}/tests")
+    assert res.path.startswith(f"{base}/tests")
+    assert [c for c in res.data.columns if c != "snapshot"] == ["Nome", "Qtd"]
+    normal = P.process_source(spark, spec, src_time="20240102_000000")
+    assert [c for c in normal.data.columns if c != "snapshot"] == ["nome", "qtd"]
