@@ -151,3 +151,19 @@ def test_quarantine(spark):
     assert got[0] == ("20200102_000000", 1.5, 7, [])
     assert got[1] == ("", 0.0, 0, ["d", "f", "i"])
     assert got[2] == ("", 0.0, 0, [])
+
+
+def test_look_back_fixture_units(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2020, 3, 31),)], "t timestamp")
+    r = df.select((F.col("t") - D.look_back_interval("date_part", 5, "DOY")).alias("doy"),
+                  (F.col("t") - D.look_back_interval("date_part", 5, "DAY")).alias("day"),
+                  (F.col("t") - D.look_back_interval("date_part", 3, "MONTH")).alias("month"),
+                  (F.col("t") - D.look_back_interval("hours", 6)).alias("hours")).collect()[0]
+    assert r.doy == r.day == dt.datetime(2020, 3, 26)
+    assert r.month == dt.datetime(2019, 12, 31)
+    assert r.hours == dt.datetime(2020, 3, 30, 18)
+    with pytest.raises(ValueError):
+        D.look_back_interval("fortnight", 1)
+    with pytest.raises(ValueError):
+        D.look_back_interval("date_part", 1, "QUARTER")
