@@ -14,8 +14,9 @@ lands whole in one task (a window over the entity would), and the winning
 row's cells travel inside the aggregate: nothing is joined back.
 
 Each step's pass-through rows stay on one chain of narrow projections; the
-rows a step generates are a small side result, written once to the shared
-folder and pushed through the remaining steps on their own."""
+candidate rows of every step are written once to the shared folder, and the
+rows a step generates are small side results pushed through the remaining
+steps on their own."""
 
 from __future__ import annotations
 
@@ -282,28 +283,44 @@ def rows_to_table(rows: DataFrame, spec: LineSpec, keep_order: bool = False,
 def repair_rows(lines: DataFrame, spec: LineSpec, materialize: bool = True) -> DataFrame:
     """D1 -> D3 -> D5 -> D7 -> strip -> D8, as ``(ord, cells)``.
 
-    The big rows go through one chain of narrow projections; each step's
-    generated rows are a small side result (materialized), pushed through
-    the remaining steps on their own. So the raw lines are read once per
-    step instead of once per path through the steps."""
-    lines = repair_quoted_delimiters(lines, spec.delimiter, spec.quote)
-    main = excess_map(to_rows(lines, spec.delimiter), spec)
-    extra = [_materialize(excess_copies(main, spec), materialize)]
-    main = main.select("ord", "cells")
-    for pos, extract, gen, blank in ((spec.phone_pos, C.phone_numbers, GEN_PHONES, False),
-                                     (spec.email_pos, C.emails, GEN_EMAILS, True)):
-        main = contacts_map(main, pos, extract, blank)
-        side = [contacts_map(e, pos, extract, blank) for e in extra]
-        cands = main
-        for sd in side:
-            cands = cands.unionByName(sd)
-        copies = _materialize(contacts_copies(cands, pos, spec.id_pos, gen), materialize)
-        main = main.select("ord", "cells")
-        extra = [sd.select("ord", "cells") for sd in side] + [copies]
-    rows = main
-    for e in extra:
-        rows = rows.unionByName(e)
-    return merge_split_name(strip_rows(rows, spec.delimiter), spec)
+    The big rows go through one chain of narrow projections that keeps each
+    step's cells and found values. A single pass writes the candidate rows of
+    all three steps (over-wide rows, rows with several phones or e-mails) to
+    one small table. Each step's generated rows come from that table and the
+    earlier generated rows, so the raw lines are read twice: once for the
+    candidates and once for the output."""
+    d = spec.delimiter
+    lines = repair_quoted_delimiters(lines, d, spec.quote)
+    m = excess_map(to_rows(lines, d), spec).withColumnRenamed("cells", "__cells_x")
+    m = contacts_map(m.withColumn("cells", F.col("__cells_x")), spec.phone_pos, C.phone_numbers, False)
+    m = m.withColumnsRenamed({"cells": "__cells_p", "__vals": "__vals_p"})
+    m = contacts_map(m.withColumn("cells", F.col("__cells_p")), spec.email_pos, C.emails, True)
+    m = m.withColumnRenamed("__vals", "__vals_e")
+    cand = m.where((F.col("__diff") > 0) | (F.size("__vals_p") >= 2) | (F.size("__vals_e") >= 2))
+    cand = _materialize(cand.select("ord", "__cells_x", "__diff", "__entity", "__pulled", "__cells_p", "__vals_p",
+                                    F.col("cells").alias("__cells_e"), "__vals_e"), materialize)
+
+    def step_rows(cells, vals):
+        return cand.select("ord", F.col(cells).alias("cells"), F.col(vals).alias("__vals"))
+
+    def via(rows, pos, extract, blank):
+        return contacts_map(rows.select("ord", "cells"), pos, extract, blank)
+
+    # generated rows come from the candidate table; the ones read by several
+    # later steps are written once, the last one stays lazy (read once)
+    c1 = _materialize(excess_copies(cand.where(F.col("__diff") > 0).select(
+        "ord", F.col("__cells_x").alias("cells"), "__diff", "__entity", "__pulled"), spec), materialize)
+    c1p = via(c1, spec.phone_pos, C.phone_numbers, False)
+    c2 = _materialize(contacts_copies(step_rows("__cells_p", "__vals_p").unionByName(c1p.select("ord", "cells", "__vals")),
+                                      spec.phone_pos, spec.id_pos, GEN_PHONES), materialize)
+    c1e = via(c1p, spec.email_pos, C.emails, True)
+    c2e = via(c2, spec.email_pos, C.emails, True)
+    e_cands = (step_rows("__cells_e", "__vals_e").unionByName(c1e.select("ord", "cells", "__vals"))
+               .unionByName(c2e.select("ord", "cells", "__vals")))
+    c3 = contacts_copies(e_cands, spec.email_pos, spec.id_pos, GEN_EMAILS)
+    rows = (m.select("ord", "cells").unionByName(c1e.select("ord", "cells"))
+            .unionByName(c2e.select("ord", "cells")).unionByName(c3))
+    return merge_split_name(strip_rows(rows, d), spec)
 
 
 def lines_to_table(lines: DataFrame, spec: LineSpec, keep_order: bool = False,
