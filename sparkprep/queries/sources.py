@@ -6,7 +6,6 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import names as NM
 from ..operators import standardize as S
 from ..session import work_path
@@ -158,5 +157,3 @@ def type_coverage(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return NM.type_coverage(o, _COVER_SPEC).withColumnRenamed("column", "col_name")
 
-
-__all__ = ["T"]
