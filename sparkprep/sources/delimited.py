@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .raw_lines import _charset, allow_charset, read_raw_lines
+from .raw_lines import _charset, _scan, allow_charset, read_raw_lines
 
 # Text read as missing (the reader's default NA literals).
 NA_LITERALS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -55,12 +55,13 @@ def read_delimited(spark: SparkSession, path: str, header_row: int = 0, delimite
     """Read delimited text as strings. ``names`` replaces the header names
     (the header row is still skipped). Only the header line reaches the
     driver; rows are parsed by the CSV source on the executors."""
-    # blank lines are skipped and do not count for ``header_row``
-    lines = read_raw_lines(spark, path, encoding, skip_blank=True)
-    first = lines.where(F.col("line_no") == header_row).select("line").limit(1).collect()
-    if not first:
+    # Blank lines are skipped and do not count for ``header_row``. The header
+    # comes from the first lines of the first input split, the way Spark's own
+    # CSV reader finds a header: the limit reads from the first partition only.
+    head = _scan(spark, path, encoding, skip_blank=True).select("line").limit(header_row + 1).collect()
+    if len(head) <= header_row:
         raise ValueError(f"no header row {header_row} in {path}")
-    header = unnamed_blanks(_parse_header(first[0]["line"], delimiter, quote))
+    header = unnamed_blanks(_parse_header(head[header_row]["line"], delimiter, quote))
     cols = dedupe_names(names if names else header)
     n = len(cols)
     schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(n)]
@@ -71,6 +72,7 @@ def read_delimited(spark: SparkSession, path: str, header_row: int = 0, delimite
     if header_row == 0:
         rows = spark.read.options(header=True, enforceSchema=True, **opts).schema(schema).csv(path)
     else:
+        lines = read_raw_lines(spark, path, encoding, skip_blank=True)
         data = lines.where(F.col("line_no") > header_row)
         parsed = F.from_csv(F.col("line"), schema.simpleString(), {k: v for k, v in opts.items()
                                                                     if k not in ("encoding", "multiLine")})
