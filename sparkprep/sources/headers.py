@@ -68,12 +68,14 @@ def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: lis
     and sub headers. Only those two lines reach the driver; the body is
     parsed on the executors."""
     from . import delimited as DL
-    from .raw_lines import read_raw_lines
+    from .raw_lines import _scan, read_raw_lines
 
-    lines = read_raw_lines(spark, path, encoding, across_files=True)
-    head = {r["line_no"]: r["line"] for r in lines.where(F.col("line_no") < 2).select("line_no", "line").collect()}
+    # the two header lines from the first input split only (a limit reads
+    # from the first partition), as Spark's CSV reader finds its header
+    head = [r["line"] for r in _scan(spark, path, encoding).select("line").limit(2).collect()]
     if len(head) < 2:
         raise ValueError("a two-row header needs two header lines")
+    lines = read_raw_lines(spark, path, encoding, across_files=True)
     top = DL.unnamed_blanks(DL._parse_header(head[0], delimiter, quote))
     sub = DL._parse_header(head[1], delimiter, quote)
     schema = ", ".join(f"`__c{i}` string" for i in range(len(top)))
