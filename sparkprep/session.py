@@ -3,7 +3,6 @@ shared work folder that the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,13 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by the driver and every executor.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset - local tests - a fresh temporary folder is made and registered as
-    the checkpoint dir, so ``DataFrame.checkpoint()`` and our written tables
-    land in the same place."""
-    root = _conf(spark, "spark.checkpoint.dir")
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    unset and Spark runs in one process (a ``local`` master) a fresh temporary
+    folder is made; on a cluster an unset folder is an error, as files in
+    a machine's own folder are not seen by the other machines."""
+    root = _conf(spark, "spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="sparkprep-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -69,11 +68,7 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     segs = [shared_dir(spark), "sparkprep", *parts]
     if unique:
         segs.append(uuid.uuid4().hex)
-    path = "/".join(s.strip("/") if i else s for i, s in enumerate(segs))
-    if path.startswith("/") or path.startswith("file:"):
-        local = path[len("file:"):] if path.startswith("file:") else path
-        os.makedirs(local, exist_ok=True)
-    return path
+    return "/".join(s.strip("/") if i else s for i, s in enumerate(segs))
 
 
 def balance(df, min_partitions: int | None = None):
