@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, token_counts
+from . import byte_bpe, exact_dedup, mixing, simhash, token_counts
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -46,3 +46,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
+    return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
