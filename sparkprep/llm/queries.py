@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, simhash, token_counts
+from . import byte_bpe, exact_dedup, mixing, simhash, token_counts, toxicity
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -52,3 +52,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train_on_labels(docs, table(spark, sf_dir, "labels")))
