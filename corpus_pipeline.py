@@ -9,16 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkprep.llm import byte_bpe, exact_dedup, mixing
+from sparkprep.llm import byte_bpe, exact_dedup, mixing, simhash, toxicity
 from sparkprep.llm.common import table
 from sparkprep.session import materialize
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain doesn't reject."""
+    return toxicity.drop_toxic(docs, toxicity.train_on_labels(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.drop_exact_copies(docs)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.drop_near_copies(docs, words=4, bits=4)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources in their target proportions; a document may come several times."""
     return mixing.mix(docs)
@@ -31,7 +41,8 @@ def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("exact_dedup", exact_dedup_stage), ("mixing", mixing_stage), ("byte_bpe", byte_bpe_stage)]
+STAGES = [("toxicity", toxicity_stage), ("exact_dedup", exact_dedup_stage), ("simhash", simhash_stage),
+          ("mixing", mixing_stage), ("byte_bpe", byte_bpe_stage)]
 
 #: No SQL: the stages train a classifier, link fingerprints and encode by byte pairs.
 ORACLE_SQL = None
