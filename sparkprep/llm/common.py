@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: White space of the word rule: blank and \t \n \v \f \r (also what ``bytes.split()`` splits on).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
@@ -47,8 +47,17 @@ def texts(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def plain(value: str) -> str:
-    return re.sub(r"\W+", "_", value)
+def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, text, quality, toxic) of sampled labels that have a document.
+
+    The labels whose ids hash lowest are taken before the join, so the joined
+    side is of bounded size; three times the sample allows for labels of
+    documents that are not there. A document labelled twice is toxic if one
+    label says so, and of the lower quality."""
+    rows = exact(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+    each = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    first = materialize(each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(3 * sample))
+    return exact(docs, "doc_id", "text").join(F.broadcast(first), "doc_id")
 
 
 def slices(batches, max_bytes: int = 4 << 20, text_col: str = "text"):

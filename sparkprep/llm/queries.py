@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, simhash, token_counts, toxicity
+from . import byte_bpe, exact_dedup, mixing, quality, simhash, token_counts, toxicity
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -58,3 +58,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train_on_labels(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import Memo, exact, slices, strings
+from .common import Memo, exact, labelled_documents, slices, strings
 
 SAMPLE = 8000
 WORDS = 200
@@ -258,17 +258,5 @@ def drop_toxic(df: DataFrame, model: Chain, text_col: str = "text") -> DataFrame
     return flat.mapInArrow(task, flat.schema).toDF(*cols)
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, text, quality, toxic) of the sampled labels that have a document.
-
-    Labels beyond the sample are left out before the join, so the joined side
-    is of bounded size; three times the sample allows for labels of documents
-    that are not there."""
-    l = exact(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
-    first = l.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    first = materialize(first.orderBy(F.xxhash64("doc_id"), "doc_id").limit(3 * sample))
-    return exact(docs, "doc_id", "text").join(F.broadcast(first), "doc_id")
-
-
 def train_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     return train(labelled_documents(docs, labels, sample), F.col("quality") == 0, F.col("toxic") == 1, sample=sample)
