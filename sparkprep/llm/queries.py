@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, quality, simhash, token_counts, toxicity
+from . import byte_bpe, exact_dedup, html_text, mixing, quality, simhash, token_counts, toxicity
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -38,6 +38,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
