@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, html_text, mixing, quality, simhash, token_counts, toxicity
+from . import byte_bpe, class_lm, exact_dedup, html_text, mixing, quality, simhash, token_counts, toxicity
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -48,6 +48,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))

@@ -104,7 +104,11 @@ class Chain:
 
     def features(self, texts: list[str]) -> np.ndarray:
         x = np.zeros((len(texts), len(self.vocabulary) + 5))
-        known = _KNOWN.setdefault(tuple(self.vocabulary), Memo(REMEMBERED))
+        key = tuple(self.vocabulary)
+        if key not in _KNOWN:
+            _KNOWN.clear()  # a worker scores by one model at a time
+            _KNOWN[key] = Memo(REMEMBERED)
+        known = _KNOWN[key]
         for i, t in enumerate(texts):
             words = _words(t)
             x[i, -5:] = _shape(t, words)
