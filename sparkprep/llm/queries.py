@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, class_lm, exact_dedup, html_text, mixing, quality, simhash, token_counts, toxicity
+from . import byte_bpe, class_lm, exact_dedup, html_text, mixing, quality, simhash, substrings, token_counts, toxicity
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -74,3 +74,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(table(spark, sf_dir, "documents"))
