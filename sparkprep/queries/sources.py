@@ -37,6 +37,28 @@ def read_delimited(spark, sf_dir):
     return DL.read_delimited(spark, path, delimiter=";")
 
 
+@query("read_delimited_quoted", oracle="""select cast(c_custkey as varchar) as c_custkey,
+  concat('"', c_name, '"; \\', c_mktsegment) as label, concat(c_mktsegment, '\\') as segment from customer""")
+def read_delimited_quoted(spark, sf_dir):
+    """A1: quotes, delimiters and backslashes inside quoted cells."""
+    path = work_path(spark, "csv", _key(sf_dir), unique=True) + "/customer"
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit('"'), "c_name", F.lit('"; \\'), "c_mktsegment").alias("label"),
+        F.concat("c_mktsegment", F.lit("\\")).alias("segment"))
+    cust.write.options(header=True, sep=";", escape='"', quoteAll=True).csv(path)
+    return DL.read_delimited(spark, path, delimiter=";")
+
+
+@query("read_delimited_multiline", oracle="""select cast(c_custkey as varchar) as c_custkey,
+  concat(c_name, chr(10), '"', c_mktsegment, '",', chr(10), 'end') as note from customer""")
+def read_delimited_multiline(spark, sf_dir):
+    """A1 with line breaks and quotes inside cells."""
+    path = work_path(spark, "csv", _key(sf_dir), unique=True) + "/customer"
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('",\nend'))
+    table(spark, sf_dir, "customer").select("c_custkey", note.alias("note")).write.options(header=True, escape='"').csv(path)
+    return DL.read_delimited(spark, path, multi_line=True)
+
+
 # ------------------------------------------------------------------ A2
 @query("raw_lines", oracle=f"""select 0::bigint as line_no, '{_HEADER_LINE}' as line
 union all select c_custkey + 1, {_LINE_DUCK} from customer""")
@@ -48,6 +70,21 @@ def raw_lines(spark, sf_dir):
     return RL.read_raw_lines(spark, path, across_files=True).select("line_no", "line")
 
 
+@query("raw_lines_ansi", oracle="""select c_custkey as line_no,
+  case when c_custkey % 5 = 0 then '' when c_custkey % 5 = 1 then '  ' else concat(c_name, ' café ', c_mktsegment) end as line
+from customer""")
+def raw_lines_ansi(spark, sf_dir):
+    """A2 in windows-1252 with blank lines, which count."""
+    path = work_path(spark, "text", _key(sf_dir), unique=True) + "/ansi"
+    k = F.col("c_custkey") % 5
+    line = F.when(k == 0, "").when(k == 1, "  ").otherwise(F.concat("c_name", F.lit(" café "), "c_mktsegment"))
+    RL.allow_charset(spark, "windows-1252")
+    # The text sink writes a string's bytes as they are.
+    encoded = F.encode(line, "windows-1252").cast("string")
+    table(spark, sf_dir, "customer").orderBy("c_custkey").select(encoded.alias("value")).write.text(path)
+    return RL.read_raw_lines(spark, path, "ANSI", across_files=True).select("line_no", "line")
+
+
 # ------------------------------------------------------------------ A4
 @query("drop_unnamed", oracle="""select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, o_orderpriority
 from orders""")
@@ -129,31 +166,42 @@ def wildcard_select(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ B5
-_COVER_SPEC = {"int_cols": "o_orderkey", "n_client_cols": "o_custkey", "str_cols": "o_orderstatus,o_orderpriority",
-               "nif_cols": "o_orderstatus", "float_cols": "o_totalprice",
-               "date_cols": {"cols": "o_orderdate,o_comment", "global_format": "%Y-%m-%d %H:%M:%S"}}
-_COVER_ROWS = [("o_orderkey", "int_cols", 1, "ok"), ("o_custkey", "n_client_cols", 1, "ok"),
-               ("o_orderstatus", "str_cols,nif_cols", 2, "multiple"), ("o_totalprice", "float_cols", 1, "ok"),
-               ("o_orderdate", "date_cols", 1, "ok"), ("o_orderpriority", "str_cols", 1, "ok"),
-               ("o_comment", "date_cols", 1, "missing")]
+_COVER_SPEC = {"int_cols": "o_orderkey, o_code", "n_client_cols": "o_custkey", "str_cols": "o_orderstatus,\n o_orderpriority",
+               "nif_cols": "o_orderstatus", "float_cols": "o_totalprice,o_amount",
+               "date_cols": {"cols": "o_orderdate,o_comment,o_due", "o_due": "%d-%m-%Y",
+                             "global_format": "%Y-%m-%d %H:%M:%S"}}
+#: column, classes, how many, status, condition of values that can't be parsed
+_COVER_ROWS = [("o_orderkey", "int_cols", 1, "ok", "false"), ("o_code", "int_cols", 1, "ok", "o_orderkey % 6 = 0"),
+               ("o_custkey", "n_client_cols", 1, "ok", "false"),
+               ("o_orderstatus", "str_cols,nif_cols", 2, "multiple", "false"),
+               ("o_totalprice", "float_cols", 1, "ok", "false"), ("o_amount", "float_cols", 1, "ok", "o_orderkey % 4 = 1"),
+               ("o_orderdate", "date_cols", 1, "ok", "false"), ("o_orderpriority", "str_cols", 1, "ok", "false"),
+               ("o_due", "date_cols", 1, "ok", "o_orderkey % 11 > 0 and o_orderkey % 7 = 0"),
+               ("o_comment", "date_cols", 1, "missing", "false")]
+#: The same text in both engines; columns with values that no class accepts.
+_COVER_EXTRA = """case when o_orderkey % 11 = 0 then null when o_orderkey % 7 = 0 then '31-02-2020' else '28-02-2020' end as o_due,
+  case when o_orderkey % 4 = 1 then 'n/k' when o_orderkey % 4 = 2 then null else '12,50' end as o_amount,
+  case when o_orderkey % 6 = 0 then '99999999999999999999' else '17' end as o_code"""
 
 
 def _cover_oracle():
-    vals = ", ".join(f"('{c}', '{k}', {n}, '{s}')" for c, k, n, s in _COVER_ROWS)
-    nulls = " ".join(f"when '{c}' then count(*) - count({c})" for c, *_ in _COVER_ROWS if c != "o_comment")
+    vals = ", ".join(f"('{c}', '{k}', {n}, '{s}')" for c, k, n, s, _ in _COVER_ROWS)
+    there = [r for r in _COVER_ROWS if r[3] != "missing"]
+    nulls = " ".join(f"when '{c}' then n_{c}" for c, *_ in there)
+    bads = " ".join(f"when '{c}' then b_{c}" for c, *_ in there)
+    counts = ", ".join(f"count(*) - count({c}) as n_{c}, count(*) filter (where {b}) as b_{c}" for c, _, _, _, b in there)
     return f"""with v(col_name, classes, n_classes, status) as (values {vals}),
-s as (select count(*) as n_rows, {', '.join(f"count(*) - count({c}) as {c}" for c, *_ in _COVER_ROWS if c != 'o_comment')}
-      from orders)
+o as (select *, {_COVER_EXTRA} from orders),
+s as (select count(*) as n_rows, {counts} from o)
 select col_name, classes, cast(n_classes as integer) as n_classes, status,
   case when status = 'missing' then null else n_rows end as n_rows,
-  case col_name {' '.join(f"when '{c}' then {c}" for c, *_ in _COVER_ROWS if c != 'o_comment')} end as n_null,
-  case when status = 'missing' then null else 0::bigint end as n_unparsable
+  case col_name {nulls} end as n_null, case col_name {bads} end as n_unparsable
 from v, s"""
 
 
 @query("type_coverage", oracle=_cover_oracle())
 def type_coverage(spark, sf_dir):
     """Declared classes per column, status, null and unparsable counts."""
-    o = table(spark, sf_dir, "orders")
+    extra = [e.strip() for e in _COVER_EXTRA.split(",\n")]
+    o = table(spark, sf_dir, "orders").selectExpr("*", *extra)
     return NM.type_coverage(o, _COVER_SPEC).withColumnRenamed("column", "col_name")
-

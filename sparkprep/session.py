@@ -71,19 +71,14 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join(s.strip("/") if i else s for i, s in enumerate(segs))
 
 
-def balance(df, min_partitions: int | None = None):
-    """Spread CPU-heavy row-wise work over every task slot when a scan yields
-    fewer partitions than there are slots (one unsplittable file, one parquet
-    row group). Call it on a scan, before the heavy expressions. The
-    round-robin repartition is deterministic on retry (rows are sorted before
-    they are dealt out). When the input already has enough partitions, as
-    with any large input, this does nothing."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as it is
-        return df
-    return df if have >= target else df.repartition(target)
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder, sorted: one directory listing, through
+    the file system that the path belongs to. A missing folder is empty."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(place))
 
 
 def materialize(df):

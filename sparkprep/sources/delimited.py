@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .raw_lines import _charset, _scan, allow_charset, read_raw_lines
+from .raw_lines import _charset, _scan, allow_charset
 
 # Text read as missing (the reader's default NA literals).
 NA_LITERALS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -49,35 +50,81 @@ def _parse_header(line: str, delimiter: str, quote: str) -> list[str]:
     return next(csv.reader(io.StringIO(line), delimiter=delimiter, quotechar=quote or None))
 
 
+def _closed(delimiter: str, quote: str) -> str:
+    """A pattern for a line whose quoted cells all end on it. A cell is
+    quoted if it begins with the quote; a doubled quote inside is one."""
+    d, q = re.escape(delimiter), re.escape(quote)
+    cell = f"(?:{q}(?:[^{q}]++|{q}{q})*+{q}[^{d}]*+|(?!{q})[^{d}]*+)"
+    return f"{cell}(?:{d}{cell})*+"
+
+
 def read_delimited(spark: SparkSession, path: str, header_row: int = 0, delimiter: str = ",",
                    encoding: str = "utf-8", quote: str = '"', names: list[str] | None = None,
-                   na_values: list[str] | None = None) -> DataFrame:
+                   na_values: list[str] | None = None, multi_line: bool = False,
+                   long_rows: str = "drop") -> DataFrame:
     """Read delimited text as strings. ``names`` replaces the header names
-    (the header row is still skipped). Only the header line reaches the
-    driver; rows are parsed by the CSV source on the executors."""
+    (the header row is still skipped; as many names as header cells). Only the
+    header lines reach the driver; rows are parsed on the executors.
+
+    A doubled quote inside a quoted cell is one quote; a backslash is a
+    character like others. Cells with line breaks need ``multi_line=True``,
+    which reads each file in one task; otherwise a row whose quote does not
+    end on its line fails the job. ``long_rows`` says what happens to rows
+    with more cells than the header: 'drop' them, 'fail', or 'keep' them with
+    their next cell in ``_extra`` (null for other rows)."""
+    if long_rows not in ("drop", "fail", "keep"):
+        raise ValueError("long_rows must be 'drop', 'fail' or 'keep'")
+    if multi_line and header_row:
+        raise ValueError("multi_line needs the header in the first row")
     # Blank lines are skipped and do not count for ``header_row``. The header
     # comes from the first lines of the first input split, the way Spark's own
     # CSV reader finds a header: the limit reads from the first partition only.
-    head = _scan(spark, path, encoding, skip_blank=True).select("line").limit(header_row + 1).collect()
+    scan = _scan(spark, path, encoding, skip_blank=True)
+    head = scan.select("line").limit(header_row + 1).collect()
     if len(head) <= header_row:
         raise ValueError(f"no header row {header_row} in {path}")
     header = unnamed_blanks(_parse_header(head[header_row]["line"], delimiter, quote))
+    if names and len(names) != len(header):
+        raise ValueError(f"{len(names)} names for {len(header)} header cells in {path}")
     cols = dedupe_names(names if names else header)
     n = len(cols)
     schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(n)]
                           + [T.StructField(_OVERFLOW, T.StringType())])
-    opts = {"sep": delimiter, "quote": quote or "\u0000", "encoding": _charset(encoding),
-            "nullValue": _NEVER, "emptyValue": "", "mode": "PERMISSIVE", "multiLine": "false"}
-    allow_charset(spark, _charset(encoding))
-    if header_row == 0:
-        rows = spark.read.options(header=True, enforceSchema=True, **opts).schema(schema).csv(path)
+    cells = csv_options(delimiter, quote)
+    charset = _charset(encoding)
+    allow_charset(spark, charset)
+    if multi_line:
+        rows = (spark.read.options(header=True, enforceSchema=True, multiLine=True, encoding=charset, **cells)
+                .schema(schema).csv(path))
     else:
-        lines = read_raw_lines(spark, path, encoding, skip_blank=True)
-        data = lines.where(F.col("line_no") > header_row)
-        parsed = F.from_csv(F.col("line"), schema.simpleString(), {k: v for k, v in opts.items()
-                                                                    if k not in ("encoding", "multiLine")})
-        rows = data.select(parsed.alias("r")).select("r.*")
+        if header_row == 0:
+            # Whole lines through the CSV source, which skips the header of each file.
+            lines = spark.read.options(header=True, enforceSchema=True, encoding=charset, **csv_options("\u0000", "")) \
+                .schema("line string").csv(path)
+        else:
+            # Only the first split of a file can hold its header.
+            top = scan.where(F.col("__block") == 0)
+            first = top.groupBy("file").agg(F.min("__mid").alias("__first"))
+            top = top.join(first, "file").where(F.col("__mid") - F.col("__first") > header_row)
+            lines = scan.where(F.col("__block") != 0).select("line").unionByName(top.select("line"))
+        line = F.col("line")
+        if quote:
+            broken = F.contains(line, F.lit(quote)) & ~line.rlike(f"\\A{_closed(delimiter, quote)}\\z")
+            line = F.when(broken, F.raise_error(F.concat(F.lit("a quote is not closed on its line (multi_line=True reads "
+                                                               "such cells): "), line)).cast("string")).otherwise(line)
+        rows = lines.select(F.from_csv(line, schema.simpleString(), cells).alias("r")).select("r.*")
     na = na_values if na_values is not None else NA_LITERALS
-    rows = rows.where(F.col(_OVERFLOW).isNull())
-    return rows.select(*[F.when(F.col(f"__c{i}").isin(na), F.lit(None)).otherwise(F.col(f"__c{i}")).alias(c)
-                         for i, c in enumerate(cols)])
+    out = [F.when(F.col(f"__c{i}").isin(na), F.lit(None)).otherwise(F.col(f"__c{i}")).alias(c) for i, c in enumerate(cols)]
+    if long_rows == "keep":
+        return rows.select(*out, F.col(_OVERFLOW).alias("_extra"))
+    if long_rows == "fail":
+        guard = F.when(F.col(_OVERFLOW).isNotNull(), F.raise_error(F.lit(f"a row has more than {n} cells")).cast("boolean"))
+        return rows.where(F.coalesce(guard, F.lit(True))).select(*out)
+    return rows.where(F.col(_OVERFLOW).isNull()).select(*out)
+
+
+def csv_options(delimiter: str, quote: str) -> dict[str, str]:
+    """Cell rules of both CSV parsers (source and ``from_csv``): a quote inside
+    a quoted cell is doubled, and no text but a blank cell is missing."""
+    q = quote or "\u0000"
+    return {"sep": delimiter, "quote": q, "escape": q, "nullValue": _NEVER, "emptyValue": "", "mode": "PERMISSIVE"}

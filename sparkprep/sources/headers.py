@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,32 +34,27 @@ def flatten_multilevel_header(df: DataFrame, macro_tags: list[str], micro_tags:
         raise ValueError("macro_tags and micro_tags must have the same length")
     cols = [c for c in df.columns if c != order_col]
     if sub_header is None:
-        first = df.orderBy(order_col).select(*[F.col(f"`{c}`") for c in cols]).limit(1).collect()
-        if not first:
+        first = df.agg(F.min_by(F.struct(*[F.col(f"`{c}`").cast("string") for c in cols]), order_col).alias("r"),
+                       F.min(order_col).alias("at")).first()
+        if first["at"] is None:
             raise ValueError("no sub-header row")
-        sub_header = ["" if v is None else str(v) for v in first[0]]
-        body = df.where(F.col(order_col) > df.agg(F.min(order_col)).scalar())
-    else:
-        body = df
-    named = [c for c in cols if not c.startswith("Unnamed")]
-
-    def span(col):
-        start = cols.index(col)
-        k = named.index(col)
-        stop = len(cols) if k == len(named) - 1 else cols.index(named[k + 1])
-        return range(start, stop)
-
+        sub_header = ["" if v is None else v for v in first["r"]]
+        df = df.where(F.col(order_col) > F.lit(first["at"]))
+    # Each column belongs to the last named header at or left of it.
+    owner = list(accumulate(cols, lambda left, c: left if c.startswith("Unnamed") else c))
     picked: list[tuple[str, str]] = []
     for macro, micro in zip(macro_tags, micro_tags):
-        hits = [c for c in named if c.startswith(macro)]
-        if len(hits) > 1 and duplicated_macro_tag is not None:
-            for h in hits:
-                years = re.findall(r"\d{4,}", h) if duplicated_macro_tag == "year" else []
-                suffix = years[-1] if years else ""
-                picked += [(cols[i], f"{micro}_{sub_header[i]}_{suffix}") for i in span(h)]
-        elif hits:
-            picked += [(cols[i], f"{micro}_{sub_header[i]}") for i in span(hits[-1])]
-    return body.select(*[F.col(f"`{o}`").alias(n) for o, n in picked])
+        groups = [g for g in dict.fromkeys(owner) if g.startswith(macro) and not g.startswith("Unnamed")]
+        every = duplicated_macro_tag is not None and len(groups) > 1
+        for group in groups if every else groups[-1:]:
+            tail = "_" + _year(group, duplicated_macro_tag) if every else ""
+            picked += [(c, f"{micro}_{sub}{tail}") for c, o, sub in zip(cols, owner, sub_header) if o == group]
+    return df.select(*[F.col(f"`{o}`").alias(n) for o, n in picked])
+
+
+def _year(header: str, kind: str) -> str:
+    """The last digit run of four or more, for the duplicate tag 'year'."""
+    return next(reversed(re.findall(r"[0-9]{4,}", header)), "") if kind == "year" else ""
 
 
 def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: list[str],
@@ -70,9 +66,10 @@ def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: lis
     from . import delimited as DL
     from .raw_lines import _scan, read_raw_lines
 
-    # the two header lines from the first input split only (a limit reads
-    # from the first partition), as Spark's CSV reader finds its header
-    head = [r["line"] for r in _scan(spark, path, encoding).select("line").limit(2).collect()]
+    # The two header lines are the first lines of the first file by name,
+    # where the numbering across files begins too.
+    first = min(_scan(spark, path, encoding).inputFiles())
+    head = [r["line"] for r in _scan(spark, first, encoding).select("line").limit(2).collect()]
     if len(head) < 2:
         raise ValueError("a two-row header needs two header lines")
     lines = read_raw_lines(spark, path, encoding, across_files=True)
@@ -80,7 +77,7 @@ def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: lis
     sub = DL._parse_header(head[1], delimiter, quote)
     schema = ", ".join(f"`__c{i}` string" for i in range(len(top)))
     body = (lines.where(F.col("line_no") >= 2)
-            .select(F.from_csv("line", schema, {"sep": delimiter, "quote": quote}).alias("r")).select("r.*"))
+            .select(F.from_csv("line", schema, DL.csv_options(delimiter, quote)).alias("r")).select("r.*"))
     body = body.toDF(*DL.dedupe_names(top))
     return flatten_multilevel_header(body, macro_tags, micro_tags, duplicated_macro_tag,
                                      sub_header=sub + [""] * (len(top) - len(sub)))

@@ -3,10 +3,12 @@
 Line numbers follow file order and are 0-based per file, computed without
 moving lines: every input split knows its file and byte offset
 (``_metadata.file_block_start``) and, inside a task, rows keep their order
-(``monotonically_increasing_id`` is consecutive within a partition). A small
+(``monotonically_increasing_id`` is consecutive within a partition). An
 aggregate counts lines per split; a window over those few rows per file gives
-each split's first line number. Only the split table (one row per split) is
-shuffled, never the lines."""
+each split's first line number. The split table is keyed by two numbers and
+has one row per split (a split ends where its file or its partition ends, so
+there are at most files + partitions of them), 24 bytes each: a million splits
+are 24 MB. That bound is why it can always be broadcast; lines never move."""
 
 from __future__ import annotations
 
@@ -16,9 +18,6 @@ from pyspark.sql import functions as F
 # The reference's default encoding name and its Java charset.
 ENCODING_ALIASES = {"ansi": "windows-1252", "utf": "utf-8", "utf8": "utf-8", "utf-8-sig": "utf-8"}
 
-
-BROADCAST_LIMIT = 64 << 20
-
 # The charsets Spark's CSV source accepts without the legacy flag.
 STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
 
@@ -34,18 +33,25 @@ def _charset(encoding: str | None) -> str:
     return ENCODING_ALIASES.get(e, e)
 
 
-def _scan(spark: SparkSession, path: str, encoding: str, skip_blank: bool = False) -> DataFrame:
+#: Charsets whose line feed is not the byte 0x0A; their lines come through the
+#: CSV source, which decodes them but gives no blank lines.
+WIDE_CHARSETS = {"utf-16", "utf-16be", "utf-16le", "utf-32"}
+
+
+def _scan(spark: SparkSession, path, encoding: str, skip_blank: bool = False) -> DataFrame:
     cs = _charset(encoding)
-    if cs in ("utf-8", "us-ascii"):
-        df = spark.read.text(path).withColumnRenamed("value", "line")
-    else:
-        # The text source is UTF-8 only; the CSV source decodes any charset.
-        allow_charset(spark, cs)
+    if cs in WIDE_CHARSETS:
         # One column: a separator and quote that never occur in text.
         df = (spark.read.option("encoding", cs).option("sep", "\u0000").option("quote", "\u0000")
               .option("escape", "\u0000").option("nullValue", "\u0000").option("emptyValue", "")
               .schema("line string").csv(path))
         df = df.withColumn("line", F.coalesce("line", F.lit("")))
+    else:
+        df = spark.read.text(path).withColumnRenamed("value", "line")
+        if cs not in ("utf-8", "us-ascii"):
+            # The text source passes a line's bytes on as they are.
+            allow_charset(spark, cs)
+            df = df.withColumn("line", F.decode(F.col("line").cast("binary"), cs))
     if skip_blank:
         # before the row ids are taken, so kept lines stay consecutive
         df = df.where(F.length(F.trim(F.col("line"))) > 0)
@@ -62,20 +68,14 @@ def read_raw_lines(spark: SparkSession, path: str, encoding: str = "utf-8", acro
     ordered whole). ``skip_blank=True`` drops empty (or whitespace-only)
     lines and numbers the rest. Line terminators (LF, CRLF, CR) are not part
     of ``line``."""
-    scan = _scan(spark, path, encoding, skip_blank)
-    splits = scan.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
-    # one row per input split: small even for a very large input
+    # A partition's ids begin at a multiple of 2**33; the hash tells its splits apart.
+    keys = {"__task": F.shiftright("__mid", 33), "__split": F.xxhash64("file", "__block")}
+    scan = _scan(spark, path, encoding, skip_blank).withColumns(keys)
+    splits = scan.groupBy("file", "__block", "__task", "__split").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     w = (Window.orderBy("file", "__block") if across_files else Window.partitionBy("file").orderBy("__block"))
     w = w.rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    splits = splits.select("file", "__block", "__offset", "__first")
-    # Proven bound on the split table: a split ends at a file or a partition
-    # boundary, so it has at most files + partitions rows. Under the bound it
-    # is broadcast and the lines never move; above it AQE decides.
-    files = scan.inputFiles()
-    rows = len(files) + scan.rdd.getNumPartitions()
-    width = max((len(f) for f in files), default=0) + 64
-    if rows * width <= BROADCAST_LIMIT:
-        splits = F.broadcast(splits)
-    out = scan.join(splits, ["file", "__block"])
-    return out.select("file", (F.col("__offset") + F.col("__mid") - F.col("__first")).alias("line_no"), "line")
+    shift = F.coalesce(F.sum("__n").over(w), F.lit(0)) - F.col("__first")
+    splits = splits.select("__task", "__split", shift.alias("__shift"))
+    out = scan.join(F.broadcast(splits), ["__task", "__split"])
+    return out.select("file", (F.col("__shift") + F.col("__mid")).alias("line_no"), "line")

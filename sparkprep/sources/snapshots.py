@@ -2,10 +2,10 @@
 table (A6); readers resolve "all", "latest", "on a date", "as of" and
 named sources (A7-A11). A12's freshness gate is ``stale_sources``.
 
-Layout: ``<root>/<product>/<tag>[/<tag>_<part>]/snapshot=<YYYYmmdd_HHMMSS>/``,
-one dataset per tag, partitioned by the snapshot name. Choosing a snapshot
-is a scalar subquery on the partition column, so the scan reads only the
-chosen partition (run-time partition pruning) and nothing is collected."""
+Layout: ``<root>/<product>/<tag>[/<tag>_<part>]/snapshot=<YYYYmmdd_HHMMSS>/``.
+A snapshot is chosen by its folder's name, from one directory listing, and only
+the chosen folder is opened: its own schema counts, earlier and later
+snapshots (and the folders of parts beside them) are not looked at."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..session import list_folder
 
 SNAPSHOT = "snapshot"
 TAG_FORMAT = "%Y%m%d_%H%M%S"
@@ -35,20 +36,22 @@ def snapshot_path(root: str, tag: str, product: str = "master", part: str = "")
 
 def write_snapshot(df: DataFrame, root: str, tag: str, date_tag: str, product: str = "master",
                    part: str = "", file_type: str = "parquet", delimiter: str = ",") -> str:
-    """Write ``df`` as snapshot ``date_tag`` of ``tag``. Re-running the
-    same snapshot replaces only that partition (dynamic overwrite), so a
-    retried job is idempotent. CSV is written with a header and no BOM."""
+    """Write ``df`` as snapshot ``date_tag`` of ``tag``. The snapshot's
+    folder is replaced as a whole, so a re-run leaves just its own rows, also
+    when it has none. CSV is written with a header and no BOM."""
     validate_tag(date_tag)
     path = snapshot_path(root, tag, product, part)
-    w = (df.withColumn(SNAPSHOT, F.lit(date_tag)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT))
+    w = df.drop(SNAPSHOT).write.mode("overwrite")
     if file_type == "csv":
-        w.option("header", True).option("sep", delimiter).csv(path)
-    else:
-        w.format(file_type).save(path)
+        w = w.option("header", True).option("sep", delimiter).option("escape", '"')
+    w.format(file_type).save(_folder(path, date_tag))
     return path
 
 
+def _folder(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{SNAPSHOT}={name}"
+
+
 def write_snapshots_by(df: DataFrame, path: str, snapshot: Column, file_type: str = "parquet") -> str:
     """Write many snapshots at once, named by a column expression (used to
     backfill history). Rows are clustered by snapshot so each snapshot is
@@ -61,48 +64,67 @@ def write_snapshots_by(df: DataFrame, path: str, snapshot: Column, file_type: st
     return path
 
 
-def read_snapshots(spark: SparkSession, path: str, file_type: str = "parquet") -> DataFrame:
-    """A7 (data): every snapshot of a tag, with its ``snapshot`` column."""
-    r = spark.read.option("basePath", path)
+def snapshot_names(spark: SparkSession, path: str) -> list[str]:
+    """The snapshot names of a tag in order, from one directory listing."""
+    mark = f"{SNAPSHOT}="
+    return [n[len(mark):] for n in list_folder(spark, path) if n.startswith(mark)]
+
+
+def list_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot names of a tag; no file is opened."""
+    return spark.createDataFrame([(n,) for n in snapshot_names(spark, path)], f"{SNAPSHOT} string")
+
+
+def _reader(spark: SparkSession, file_type: str, delimiter: str):
+    r = spark.read.format(file_type)
     if file_type == "csv":
-        return r.option("header", True).csv(path)
-    return r.format(file_type).load(path)
+        # Text snapshots come back with the types their values have.
+        return r.options(header=True, inferSchema=True, sep=delimiter, escape='"')
+    return r.option("mergeSchema", True) if file_type in ("parquet", "orc") else r
+
+
+def read_snapshots(spark: SparkSession, path: str, file_type: str = "parquet", delimiter: str = ",") -> DataFrame:
+    """A7 (data): every snapshot of a tag, with its ``snapshot`` column;
+    columns that only some snapshots have are null in the others."""
+    folders = [_folder(path, n) for n in snapshot_names(spark, path)]
+    if not folders:
+        raise FileNotFoundError(f"no snapshot in {path}")
+    df = _reader(spark, file_type, delimiter).option("basePath", path).load(folders)
+    return df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
 
 
-def list_snapshots(spark: SparkSession, path: str, file_type: str = "parquet") -> DataFrame:
-    """The snapshot names of a tag (only the partition column is read)."""
-    return read_snapshots(spark, path, file_type).select(SNAPSHOT).distinct()
+def read_snapshot(spark: SparkSession, path: str, name: str, file_type: str = "parquet", delimiter: str = ",") -> DataFrame:
+    """One snapshot by its name: only its folder is opened."""
+    df = _reader(spark, file_type, delimiter).load(_folder(path, name))
+    return df.withColumn(SNAPSHOT, F.lit(name))
 
 
-def _pick(df: DataFrame, chosen: DataFrame, what: str) -> DataFrame:
-    """Keep the rows of the snapshot named by the one-row ``chosen``; fail
-    (inside the plan) when there is none."""
-    name = chosen.select(F.coalesce(F.max(SNAPSHOT), F.raise_error(F.lit(f"no snapshot {what}"))
-                                    .cast("string")).alias("s"))
-    return df.where(F.col(SNAPSHOT) == name.scalar())
+def _latest_of(spark, path: str, accept, what: str, file_type: str, delimiter: str) -> DataFrame:
+    names = [n for n in snapshot_names(spark, path) if accept(n)]
+    if not names:
+        raise FileNotFoundError(f"no snapshot {what} in {path}")
+    return read_snapshot(spark, path, names[-1], file_type, delimiter)
 
 
-def read_latest(spark: SparkSession, path: str, file_type: str = "parquet") -> DataFrame:
+def read_latest(spark: SparkSession, path: str, file_type: str = "parquet", delimiter: str = ",") -> DataFrame:
     """The greatest snapshot name."""
-    df = read_snapshots(spark, path, file_type)
-    return _pick(df, df, "at all")
+    return _latest_of(spark, path, lambda n: True, "at all", file_type, delimiter)
 
 
-def read_on_date(spark: SparkSession, path: str, date: str, file_type: str = "parquet") -> DataFrame:
+def read_on_date(spark: SparkSession, path: str, date: str, file_type: str = "parquet", delimiter: str = ",") -> DataFrame:
     """The latest snapshot of a calendar day ``YYYYMMDD``."""
     validate_tag(date, "%Y%m%d")
-    df = read_snapshots(spark, path, file_type)
-    return _pick(df, df.where(F.col(SNAPSHOT).startswith(date)), f"on {date}")
+    return _latest_of(spark, path, lambda n: n.startswith(date), f"on {date}", file_type, delimiter)
 
 
 def read_as_of(spark: SparkSession, path: str, limit: str, inclusive: bool = True,
-               file_type: str = "parquet") -> DataFrame:
+               file_type: str = "parquet", delimiter: str = ",") -> DataFrame:
     """A10: the last snapshot at (or, ``inclusive=False``, strictly before)
     ``limit``; none -> error (reference defect 14: no wrap to the newest)."""
     validate_tag(limit)
-    df = read_snapshots(spark, path, file_type)
-    cond = F.col(SNAPSHOT) <= limit if inclusive else F.col(SNAPSHOT) < limit
-    return _pick(df, df.where(cond), f"{'at or before' if inclusive else 'before'} {limit}")
+    if inclusive:
+        return _latest_of(spark, path, lambda n: n <= limit, f"at or before {limit}", file_type, delimiter)
+    return _latest_of(spark, path, lambda n: n < limit, f"before {limit}", file_type, delimiter)
 
 
 def read_named(spark: SparkSession, catalog: dict, source: str, tags: list[str] | None = None,

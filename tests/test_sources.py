@@ -2,6 +2,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sparkprep.sources import delimited as DL
@@ -84,3 +86,65 @@ def test_read_delimited_blank_lines(spark):
     assert sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("3", "4")]
     p0 = _write("x,y\n\n1,2\n")
     assert [tuple(r) for r in DL.read_delimited(spark, p0).collect()] == [("1", "2")]
+
+
+def test_read_delimited_quotes_and_backslashes(spark):
+    p = _write('a,b\n1,"say ""hi"" now"\n2,"p ""q"", r"\n"C:\\",x\n5" pipe,y\n,"it\'s; ""\n')
+    df = DL.read_delimited(spark, p)
+    with pytest.raises(Exception, match="not closed"):
+        df.collect()
+    p = _write('a,b\n1,"say ""hi"" now"\n2,"p ""q"", r"\n"C:\\",x\n5" pipe,y\n')
+    got = [tuple(r) for r in DL.read_delimited(spark, p).collect()]
+    assert got == [("1", 'say "hi" now'), ("2", 'p "q", r'), ("C:\\", "x"), ('5" pipe', "y")]
+
+
+def test_read_delimited_line_breaks_in_cells(spark):
+    p = _write('a,b\n1,"x\ny"\n2,z\n')
+    assert [tuple(r) for r in DL.read_delimited(spark, p, multi_line=True).collect()] == [("1", "x\ny"), ("2", "z")]
+    with pytest.raises(Exception, match="multi_line"):
+        DL.read_delimited(spark, p).collect()
+
+
+def test_read_delimited_names_must_fit(spark):
+    with pytest.raises(ValueError, match="2 names for 3"):
+        DL.read_delimited(spark, _write("a,b,c\n1,2,3\n"), names=["p", "q"])
+
+
+def test_read_delimited_long_rows(spark):
+    p = _write("a,b\n1,2\n3,4,5,6\n7\n")
+    assert [tuple(r) for r in DL.read_delimited(spark, p).collect()] == [("1", "2"), ("7", None)]
+    kept = DL.read_delimited(spark, p, long_rows="keep")
+    assert [tuple(r) for r in kept.collect()] == [("1", "2", None), ("3", "4", "5"), ("7", None, None)]
+    with pytest.raises(Exception, match="more than 2 cells"):
+        DL.read_delimited(spark, p, long_rows="fail").collect()
+
+
+def test_read_delimited_header_rows_of_every_file(spark):
+    d = tempfile.mkdtemp(prefix="sparkprep-src-")
+    for i in range(3):
+        with open(os.path.join(d, f"p{i}.csv"), "w") as f:
+            f.write(f"note\n\nx,y\n{i},a\nx,y\n")
+    for row, want in ((1, 6), ):
+        df = DL.read_delimited(spark, d, header_row=row)
+        assert df.columns == ["x", "y"]
+        assert sorted(tuple(r) for r in df.collect()) == [("0", "a"), ("1", "a"), ("2", "a")] + [("x", "y")] * 3 and want == df.count()
+
+
+def test_raw_lines_blank_lines_in_any_charset(spark):
+    text = "é\n\n  \nb\n\n"
+    for name in ("utf-8", "windows-1252"):
+        p = _write(text, f"{name}.txt", encoding=name)
+        got = sorted((r.line_no, r.line) for r in RL.read_raw_lines(spark, p, "ANSI" if name != "utf-8" else name).collect())
+        assert got == [(0, "é"), (1, ""), (2, "  "), (3, "b"), (4, "")]
+
+
+def test_two_row_header_on_a_folder(spark):
+    """The header is in the first file by name, also if a later one is larger."""
+    d = tempfile.mkdtemp(prefix="sparkprep-src-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("Sales 2019,,Sales 2020,\nq1,q2,q1,q2\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.writelines(f'{i},"say ""{i}""",{i},4\n' for i in range(2000))
+    df = H.read_two_row_header(spark, d, ["Sales"], ["s"], "year")
+    assert df.columns == ["s_q1_2019", "s_q2_2019", "s_q1_2020", "s_q2_2020"]
+    assert df.count() == 2000 and df.where("s_q1_2019 = '7'").first()["s_q2_2019"] == 'say "7"'
