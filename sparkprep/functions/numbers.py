@@ -3,8 +3,8 @@
 The float rule (C3) has a column-wide part: whether any value of the column
 has several dots, exactly one dot, several commas, one comma or a percent
 sign. ``float_flags`` builds those flags as aggregate expressions (one pass
-for every float column at once); ``clean_float`` takes the flags as columns,
-so the caller can bring them in through a one-row broadcast cross join."""
+for every float column at once); the row steps take the flags as columns, which
+the caller gives as literals."""
 
 from __future__ import annotations
 

@@ -185,7 +185,7 @@ def excess_copies(mapped: DataFrame, spec: LineSpec) -> DataFrame:
                     _set(F.col("cells"), pp, F.col("num")).alias("cells")))
 
 
-def repair_excess_cells(rows: DataFrame, spec: LineSpec, materialize: bool = True) -> DataFrame:
+def repair_excess_cells(rows: DataFrame, spec: LineSpec) -> DataFrame:
     """D3: a row with more cells than the header loses, up to the surplus,
     the digit-only cells (spaces ignored, no '@') found at the e-mail
     position. Each pulled number the entity has not shown before (as a
@@ -193,7 +193,7 @@ def repair_excess_cells(rows: DataFrame, spec: LineSpec, materialize: bool = Tru
     copy of the row with that phone (reference defect 4 fixed: one copy per
     number, the original row keeps its own phone)."""
     mapped = excess_map(rows, spec)
-    copies = _materialize(excess_copies(mapped, spec), materialize)
+    copies = excess_copies(mapped, spec)
     return mapped.select("ord", "cells").unionByName(copies)
 
 
@@ -222,23 +222,22 @@ def contacts_copies(mapped: DataFrame, pos: int, entity_pos: int, gen: int) -> D
                     _set(F.col("f.cells"), pos, F.col("val")).alias("cells")))
 
 
-def _contacts_step(rows: DataFrame, pos: int, entity_pos: int, extract, gen: int, blank: bool,
-                   materialize: bool) -> DataFrame:
+def _contacts_step(rows: DataFrame, pos: int, entity_pos: int, extract, gen: int, blank: bool) -> DataFrame:
     mapped = contacts_map(rows, pos, extract, blank)
-    copies = _materialize(contacts_copies(mapped, pos, entity_pos, gen), materialize)
+    copies = contacts_copies(mapped, pos, entity_pos, gen)
     return mapped.select("ord", "cells").unionByName(copies)
 
 
-def explode_phones(rows: DataFrame, spec: LineSpec, materialize: bool = True) -> DataFrame:
+def explode_phones(rows: DataFrame, spec: LineSpec) -> DataFrame:
     """The first number found in the phone cell stays on the row; each
     further number becomes a new row unless the entity (configured id,
     reference defect 6 fixed) already produced it; no number -> unchanged."""
-    return _contacts_step(rows, spec.phone_pos, spec.id_pos, C.phone_numbers, GEN_PHONES, False, materialize)
+    return _contacts_step(rows, spec.phone_pos, spec.id_pos, C.phone_numbers, GEN_PHONES, False)
 
 
-def explode_emails(rows: DataFrame, spec: LineSpec, materialize: bool = True) -> DataFrame:
+def explode_emails(rows: DataFrame, spec: LineSpec) -> DataFrame:
     """As D5 for the e-mail cell; no address -> the cell becomes ''."""
-    return _contacts_step(rows, spec.email_pos, spec.id_pos, C.emails, GEN_EMAILS, True, materialize)
+    return _contacts_step(rows, spec.email_pos, spec.id_pos, C.emails, GEN_EMAILS, True)
 
 
 # -------------------------------------------------------------------- D8

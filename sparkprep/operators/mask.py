@@ -1,32 +1,35 @@
 """Pseudonymisation.
 
-``mask_columns`` replaces values by stable random keys kept in a persistent
-dictionary per name (a parquet dataset of ``(value, key)`` under
-``references_path``). New values get a fresh 32-hex key; the new pairs are
-written first and read back before the join, because ``uuid()`` would give
-other keys if the plan were evaluated again. Concurrent runs may each mint a
-key for the same value; readers resolve that with ``min(key)`` per value, so
-every run agrees. Columns naming the same dictionary share its keys. A null
-is masked as its text form ``'nan'``.
-
-The dictionary grows with the data, so it is never broadcast on faith: the
-lookup a table needs (its own distinct values with their keys) is written
-and measured, and only a lookup under the limit is broadcast. A larger one
-is a shuffle join, where AQE splits the partition of a value (say ``'nan'``)
-holding a large share of the rows.
+``mask_columns`` replaces values by stable pseudonyms and keeps a persistent
+dictionary of ``(value, key)`` rows for each dictionary name under
+``references_path``. A key is 32 hex digits of a hash of the value, keyed with a
+random secret that the folder gets once, by an exclusive create. So a value's
+key never depends on which run met it first: runs side by side agree, a run that
+is repeated agrees, and masking itself is a projection without a join. Columns
+naming the same dictionary share its keys; other dictionaries give the same
+value other keys. A null is masked as its text form ``'nan'``.
+
+The dictionary is kept for reading back. One pass over the table gives the
+distinct ``(dictionary, value)`` pairs of all masked columns, combined in each
+task, and those not yet known are appended. Two runs may both append a value;
+the rows are equal.
 
 ``mask_keyed`` is the dictionary-free variant: ``sha2(salt || value)``."""
 
 from __future__ import annotations
 
+import secrets
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..session import materialize
+from ..session import list_folder
 
 NULL_TEXT = "nan"
-BROADCAST_LIMIT = 256 << 20
+SECRET = "_secret"
+SECRET_CHARS = 64
 
 
 def _as_text(c: str) -> Column:
@@ -34,73 +37,79 @@ def _as_text(c: str) -> Column:
 
 
 def dictionary_path(references_path: str, name: str) -> str:
-    return f"{references_path.rstrip('/')}/{name}"
+    return f"{references_path.rstrip('/')}/dictionary={name}"
+
+
+def secret_of(spark: SparkSession, references_path: str, wait_seconds: int = 60) -> str:
+    """The folder's secret. Creating the file fails if it is there already,
+    so of several first runs one decides and the others read its secret,
+    waiting for its end if it is just being written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{references_path.rstrip('/')}/{SECRET}")
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        try:
+            out = fs.create(place, False)
+        except Py4JJavaError:
+            if not fs.exists(place):
+                raise
+        else:
+            out.writeBytes(secrets.token_hex(SECRET_CHARS // 2))
+            out.close()
+    for _ in range(wait_seconds * 10):
+        stream = fs.open(place)
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if len(text) == SECRET_CHARS:
+            return text
+        time.sleep(0.1)
+    raise ValueError(f"{place.toString()} is incomplete: the run that made it did not end")
+
+
+def key_of(value: Column, name: str, secret: str) -> Column:
+    """The key of a text value in dictionary ``name``."""
+    return F.substring(F.sha2(F.concat(F.lit(f"{secret}:{len(name)}:{name}:"), value), 256), 1, 32)
 
 
 def read_dictionary(spark: SparkSession, references_path: str, name: str) -> DataFrame:
-    """The resolved dictionary ``(value, key)``: one key per value."""
-    try:
-        raw = spark.read.parquet(dictionary_path(references_path, name))
-    except AnalysisException:
+    """The dictionary ``(value, key)``: one key per value."""
+    if not list_folder(spark, dictionary_path(references_path, name)):
         return spark.createDataFrame([], "value string, key string")
-    return raw.groupBy("value").agg(F.min("key").alias("key"))
-
-
-def column_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct text values of ``cols`` (nulls as 'nan'), combined map-side:
-    a value holding a large share of the rows costs one row per task."""
-    values = None
-    for c in cols:
-        v = df.select(_as_text(c).alias("value"))
-        values = v if values is None else values.unionByName(v)
-    return values.distinct()
-
+    return spark.read.parquet(dictionary_path(references_path, name)).select("value", "key").distinct()
 
-def extend_dictionary(values: DataFrame, references_path: str, name: str) -> None:
-    """Give a fresh key to each value not yet in the dictionary: one write
-    job appending a new part (a retried task rewrites its own part only)."""
-    spark = values.sparkSession
-    known = read_dictionary(spark, references_path, name).select("value")
-    new = values.join(known, "value", "left_anti").withColumn("key", F.replace(F.uuid(), F.lit("-"), F.lit("")))
-    new.write.mode("append").parquet(dictionary_path(references_path, name))
 
+def column_values(df: DataFrame, mask_cols: dict[str, str]) -> DataFrame:
+    """Distinct (dictionary, value) of all masked columns in one pass,
+    combined map-side: a value holding a large share of the rows costs one
+    row per task."""
+    each = F.array(*[F.struct(F.lit(d).alias("dictionary"), _as_text(c).alias("value")) for c, d in mask_cols.items()])
+    return df.select(F.explode(F.array_distinct(each)).alias("m")).select("m.*").distinct()
 
-def lookup_bytes(lookup: DataFrame) -> int:
-    """Measured size of a (value, key) lookup: one small aggregate."""
-    row = lookup.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("b")).collect()[0]
-    return int(row["b"] or 0) + 48 * int(row["n"] or 0)
 
-
-def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str],
-                 broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Replace each column in ``mask_cols`` (column -> dictionary name) by its
-    key. Per dictionary: the table's distinct values are written once; the
-    dictionary is extended with the new ones; the lookup the table needs
-    (its values joined to the dictionary) is written and measured. A lookup
-    under ``broadcast_limit`` bytes is broadcast (the table is not
-    shuffled); a larger one is a shuffle join. Measuring the needed lookup,
-    not the whole dictionary, keeps the broadcast as a long-lived dictionary
-    grows."""
+def extend_dictionaries(df: DataFrame, references_path: str, mask_cols: dict[str, str], secret: str) -> None:
+    """Append the values not yet known to their dictionaries, in one write
+    (a retried task writes its own files again)."""
     spark = df.sparkSession
-    by_dict: dict[str, list[str]] = {}
-    for c, d in mask_cols.items():
+    new = column_values(df, mask_cols)
+    names = sorted(set(mask_cols.values()))
+    known = [read_dictionary(spark, references_path, d).select(F.lit(d).alias("dictionary"), "value") for d in names
+             if list_folder(spark, dictionary_path(references_path, d))]
+    for k in known:
+        new = new.join(k, ["dictionary", "value"], "left_anti")
+    key = F.lit(None).cast("string")
+    for d in names:
+        key = F.when(F.col("dictionary") == d, key_of(F.col("value"), d, secret)).otherwise(key)
+    new.withColumn("key", key).write.mode("append").partitionBy("dictionary").parquet(references_path)
+
+
+def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str]) -> DataFrame:
+    """Replace each column in ``mask_cols`` (column -> dictionary name) by its
+    key and extend the dictionaries by the table's new values."""
+    for c in mask_cols:
         if c not in df.columns:
             raise KeyError(f"column {c!r} not in the table")
-        by_dict.setdefault(d, []).append(c)
-    out = df
-    order = df.columns
-    for d, cols in by_dict.items():
-        values = materialize(column_values(df, cols))
-        extend_dictionary(values, references_path, d)
-        lookup = materialize(values.join(read_dictionary(spark, references_path, d), "value"))
-        if lookup_bytes(lookup) <= broadcast_limit:
-            lookup = F.broadcast(lookup)
-        for c in cols:
-            tmp = f"__mask_{c}"
-            right = lookup.select(F.col("value").alias(f"{tmp}_v"), F.col("key").alias(tmp))
-            out = (out.join(right, _as_text(c) == F.col(f"{tmp}_v"), "left")
-                   .drop(f"{tmp}_v").drop(c).withColumnRenamed(tmp, c))
-    return out.select(*[f"`{c}`" for c in order])
+    secret = secret_of(df.sparkSession, references_path)
+    extend_dictionaries(df, references_path, mask_cols, secret)
+    return df.withColumns({c: key_of(_as_text(c), d, secret) for c, d in mask_cols.items()})
 
 
 def mask_keyed(df: DataFrame, cols: list[str], salt: str) -> DataFrame:

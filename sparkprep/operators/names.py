@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import copy
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,45 +25,35 @@ def standardize_names(df: DataFrame, new_names: list[str] | None = None, if_need
     return df.toDF(*names)
 
 
-def _split(v) -> list[str]:
-    return [c for c in (v.split(",") if isinstance(v, str) else list(v)) if c != ""]
+def split_list(v) -> list[str]:
+    """A column list of a spec: a list, or comma-separated text that may be
+    wrapped over lines; names are trimmed, blank ones skipped."""
+    items = v.split(",") if isinstance(v, str) else v
+    return [c.strip() for c in items if c.strip()]
+
+
+def _expanded(listed, columns: list[str]) -> tuple[list[str], dict[str, list[str]]]:
+    """A class list with its wildcards resolved, and what each stood for."""
+    listed = split_list(listed)
+    found = {t: [c for c in columns if c.startswith(t.replace(f"_{WILDCARD}", ""))] for t in listed if WILDCARD in t}
+    return [c for c in listed if c not in found] + [c for cs in found.values() for c in cs], found
 
 
 def expand_wildcards(spec: dict, columns: list[str]) -> dict:
     """``prefix_#all-cols-starts-with#`` in a class list becomes every
     column starting with ``prefix``, placed after the plain names; a date
     format declared for the wildcard is copied to each expanded column."""
-    out = copy.deepcopy(spec)
-    columns = [c.strip() for c in columns]
+    out, columns = dict(spec), [c.strip() for c in columns]
     for key in CLASS_KEYS:
-        if key not in out or out[key] is None:
+        if spec.get(key) is None:
             continue
-        if key == "date_cols":
-            params = out[key]
-            cols = _split(params["cols"])
-            tagged = [c for c in cols if WILDCARD in c]
-            if not tagged:
-                continue
-            plain = [c for c in cols if c not in tagged]
-            for t in tagged:
-                prefix = t.replace(f"_{WILDCARD}", "")
-                found = [c for c in columns if c.startswith(prefix)]
-                plain += found
-                if t in params:
-                    fmt = params.pop(t)
-                    for c in found:
-                        params.setdefault(c, fmt)
-            params["cols"] = ",".join(plain)
-        else:
-            cols = _split(out[key])
-            tagged = [c for c in cols if WILDCARD in c]
-            if not tagged:
-                continue
-            plain = [c for c in cols if c not in tagged]
-            for t in tagged:
-                prefix = t.replace(f"_{WILDCARD}", "")
-                plain += [c for c in columns if c.startswith(prefix)]
-            out[key] = ",".join(plain)
+        if key != "date_cols":
+            out[key] = ",".join(_expanded(spec[key], columns)[0])
+            continue
+        cols, found = _expanded(spec[key]["cols"], columns)
+        formats = {c: spec[key][t] for t, cs in found.items() if t in spec[key] for c in cs}
+        own = {k: v for k, v in spec[key].items() if k not in found}
+        out[key] = {**formats, **own, "cols": ",".join(cols)}
     return out
 
 
@@ -75,7 +63,7 @@ def declared_classes(spec: dict) -> list[tuple[str, str]]:
     for key in CLASS_KEYS:
         if key == "names" or key not in spec or spec[key] is None:
             continue
-        cols = _split(spec[key]["cols"]) if key == "date_cols" else _split(spec[key])
+        cols = split_list(spec[key]["cols"]) if key == "date_cols" else split_list(spec[key])
         pairs += [(c, key) for c in cols]
     return pairs
 
@@ -106,7 +94,7 @@ def type_coverage(df: DataFrame, spec: dict) -> DataFrame:
             continue
         if tag == "date_cols":
             dp = dict(spec[tag])
-            cols = [c for c in _split(dp["cols"]) if c in df.columns]
+            cols = [c for c in split_list(dp["cols"]) if c in df.columns]
             has_fmt = [c for c in cols if c in dp or any(k in dp for k in ("other_formats", "mix", "global_format"))]
             if has_fmt:
                 parse_spec[tag] = {**dp, "cols": ",".join(has_fmt)}

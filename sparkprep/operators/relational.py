@@ -5,6 +5,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,16 @@ def project_distinct(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols).dropDuplicates()
 
 
+#: A universe is broadcast on request only if it is measured not to be larger.
+UNIVERSE_BYTES = 256 << 20
+
+
+def _bytes_of(df: DataFrame) -> int:
+    """Size of a table's rows as text, from one aggregate."""
+    row = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("b")).first()
+    return row["b"] or 0
+
+
 def restrict_to_universe(main: DataFrame, universe: DataFrame | None, join_on: list[str] | None = None,
                          how: str = "inner", broadcast_universe: bool = False) -> DataFrame:
     """Join the main table to a universe of entities on ``'left:right'``
@@ -37,31 +48,31 @@ def restrict_to_universe(main: DataFrame, universe: DataFrame | None, join_on: l
     are rewritten as that join plus the universe rows no main row matches
     (an anti join against the main table's distinct keys, which are combined
     map-side first): a key holding a third of the main table stays
-    splittable. ``broadcast_universe=True`` forces the broadcast for a
-    universe whose size the caller has bounded."""
+    splittable. Columns have names of their own while they are joined, so
+    tables that share column names take the same way.
+    ``broadcast_universe=True`` measures the universe and broadcasts it up to
+    ``UNIVERSE_BYTES``; a larger one is joined as without the flag."""
     if universe is None or not join_on:
         return main
     kind = JOIN_TYPES.get(how.lower().replace("_", " ").strip())
     if kind is None:
         raise ValueError(f"unknown join type {how!r}")
-    pairs = [p.split(":") for p in join_on]
-    u = F.broadcast(universe) if broadcast_universe else universe
-
-    def cond(m, uu):
-        c = None
-        for a, b in pairs:
-            e = m[a] == uu[b]
-            c = e if c is None else c & e
-        return c
-
-    if kind not in ("right", "full") or set(main.columns) & set(universe.columns):
-        return main.join(u, cond(main, u), kind)
-    matched = main.join(u, cond(main, u), "inner" if kind == "right" else "left")
-    keys = main.select(*[F.col(a) for a, _ in pairs]).dropDuplicates()
-    lonely = u.join(keys, cond(keys, u), "left_anti")
-    lonely = lonely.select(*[F.lit(None).cast(main.schema[c].dataType).alias(c) for c in main.columns],
-                           *[F.col(c) for c in universe.columns])
-    return matched.unionByName(lonely)
+    pairs = [tuple(k.strip() for k in p.split(":")) for p in join_on]
+    m = main.toDF(*[f"__m{i}" for i in range(len(main.columns))])
+    u = universe.toDF(*[f"__u{i}" for i in range(len(universe.columns))])
+    left = [f"__m{main.columns.index(a)}" for a, _ in pairs]
+    right = [f"__u{universe.columns.index(b)}" for _, b in pairs]
+    if broadcast_universe and _bytes_of(u) <= UNIVERSE_BYTES:
+        u = F.broadcast(u)
+    same = reduce(lambda x, y: x & y, [F.col(a) == F.col(b) for a, b in zip(left, right)])
+    if kind in ("left_semi", "left_anti"):
+        return m.join(u, same, kind).toDF(*main.columns)
+    out = m.join(u, same, {"right": "inner", "full": "left"}.get(kind, kind))
+    if kind in ("right", "full"):
+        lonely = u.join(m.select(*left).dropDuplicates(), same, "left_anti")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in m.schema]
+        out = out.unionByName(lonely.select(*empty, *u.columns))
+    return out.toDF(*main.columns, *universe.columns)
 
 
 def group_by_date_part(df: DataFrame, ts: str, date_part: str, *aggs: Column,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import numbers as N
 from ..functions import text as T
+from .names import split_list
 
 log = logging.getLogger(__name__)
 
@@ -73,9 +74,7 @@ def dates(df: DataFrame, date_params: dict, optional: int = 0, on_error: str = "
           as_timestamp: bool = False) -> DataFrame:
     """C2 with the per-column format choice of C2b; ``date_params['cols']``
     is a comma-separated list or a list."""
-    cols = date_params["cols"]
-    cols = cols.split(",") if isinstance(cols, str) else list(cols)
-    cols = present_columns(cols, df.columns, optional)
+    cols = present_columns(split_list(date_params["cols"]), df.columns, optional)
     if on_error == "quarantine":
         df = _with_errors(df, {c: D.date_fails(F.col(_q(c)), D.choose_format(c, date_params)) for c in cols})
     return df.withColumns({
@@ -139,7 +138,7 @@ def transform(df: DataFrame, tag: str, spec: dict, optional: int | None = None,
     value = types[tag]
     if tag == "date_cols":
         return dates(df, value, opt, on_error)
-    cols = value.split(",") if isinstance(value, str) else list(value)
+    cols = split_list(value)
     if tag == "float_cols":
         return floats(df, cols, opt, types.get("decimal"), on_error)
     if tag == "nif_cols":

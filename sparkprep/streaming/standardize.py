@@ -13,8 +13,8 @@ streaming DataFrame. Two operators are column-wide or stateful:
 
 ``standardize_batches`` writes each micro-batch as its own partition
 ``batch_id=<n>`` with dynamic overwrite, so a replayed batch replaces its
-own output: the sink is idempotent and the stream is exactly-once end to end
-with a checkpoint location in the shared folder."""
+own output: the sink is idempotent, and with the checkpoint folder that a
+restart names again each row is in the output once."""
 
 from __future__ import annotations
 
@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import standardize as S
+from ..operators.names import split_list
 from ..plans import process as P
-from ..session import work_path
 
 
 def standardize_stream(stream: DataFrame, data_types: dict, float_flags: dict[str, dict] | None = None,
@@ -39,8 +39,7 @@ def standardize_stream(stream: DataFrame, data_types: dict, float_flags: dict[st
         if tag == "float_cols":
             if not spec.get(tag):
                 continue
-            cols = S.present_columns(spec[tag].split(",") if isinstance(spec[tag], str) else list(spec[tag]),
-                                     df.columns, spec.get("optional", 1))
+            cols = S.present_columns(split_list(spec[tag]), df.columns, spec.get("optional", 1))
             if not cols:
                 continue
             if float_flags is None:
@@ -65,12 +64,13 @@ def standardize_batches(data_types: dict, output_path: str, mask_data: dict | No
 
 
 def start_standardize(stream: DataFrame, data_types: dict, output_path: str, mask_data: dict | None = None,
-                      checkpoint: str | None = None, trigger: dict | None = None):
-    """Start the ``foreachBatch`` query; the checkpoint lives in the shared
-    folder unless given."""
-    ck = checkpoint or work_path(stream.sparkSession, "stream-checkpoints", unique=True)
+                      *, checkpoint: str, trigger: dict | None = None):
+    """Start the ``foreachBatch`` query. ``checkpoint`` is a folder on shared
+    storage that a restart names again: it holds what has been read."""
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder to restart without repeats")
     w = stream.writeStream.foreachBatch(standardize_batches(data_types, output_path, mask_data))
-    w = w.option("checkpointLocation", ck)
+    w = w.option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()

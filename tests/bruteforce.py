@@ -2,6 +2,7 @@
 oracles on small fixtures (they walk a list in file order, the way the
 semantics are defined)."""
 import re
+from itertools import takewhile
 
 ENDS = [".com", ".pt", ".eu", ".biz", ".es", ".org", ".net", ".de"]
 
@@ -49,61 +50,57 @@ def repair_quotes(line, delim, quote):
     return quote.join(parts)
 
 
+# The repair chain, from its definition: a row has a place, generated rows come
+# after all others in the order they were made, and who shows a value first
+# is the least (place, position) of its entity.
+def _first(events):
+    """{(entity, value): least event} of (entity, value, event) triples."""
+    out = {}
+    for entity, value, event in events:
+        out[entity, value] = min(out.get((entity, value), event), event)
+    return out
+
+
+def _with(cells, i, value):
+    return [*cells[:i], value, *cells[i + 1:]]
+
+
+def _pulled(cells, spec):
+    """The digit cells at the e-mail position that a too wide row can spare, and what stays."""
+    at, spare = spec.email_pos, len(cells) - spec.width
+    bare = [c.replace(" ", "") for c in cells[at:at + max(spare, 0)]]
+    out = list(takewhile(lambda c: re.fullmatch("[0-9]+", c), bare))
+    stay = cells[:at] + cells[at + len(out):]
+    if spare > len(out) and "@" not in stay[at]:
+        stay = _with(stay, at, stay[at].replace(" ", ""))
+    return out, stay
+
+
+def excess(rows, spec):
+    wide = {o: _pulled(c, spec) for o, c in rows if len(c) > spec.width}
+    shown = [(stay[spec.id_pos], n, (o, 0)) for o, (out, stay) in wide.items() for n in out]
+    shown += [(stay[spec.id_pos], stay[spec.phone_pos], (o, 1)) for o, (_, stay) in wide.items() if stay[spec.phone_pos]]
+    new = [((1, *o, i), _with(wide[o][1], spec.phone_pos, n)) for (_, num), (o, kind) in _first(shown).items() if kind == 0
+           for i, n in enumerate(wide[o][0]) if n == num]
+    return [(o, wide[o][1] if o in wide else c) for o, c in rows] + sorted(new)
+
+
+def contacts(rows, at, find, spec, step, blank):
+    found = {o: find(c[at]) for o, c in rows}
+    rows = [(o, _with(c, at, found[o][0]) if found[o] else _with(c, at, "") if blank else c) for o, c in rows]
+    shown = [(c[spec.id_pos], v, (o, i)) for o, c in rows if len(found[o]) > 1 for i, v in enumerate(found[o])]
+    cells = dict(rows)
+    new = [((step, *o, i), _with(cells[o], at, v)) for (_, v), (o, i) in _first(shown).items() if i]
+    return rows + sorted(new)
+
+
 def chain(lines, spec):
     """Whole file repair; ``lines`` excludes the header. Returns rows of cells."""
-    d = spec.delimiter
-    rows = [repair_quotes(l, d, spec.quote).split(d) for l in lines]
-    # excess cells
-    present, extra = {}, []
-    for cells in rows:
-        surplus = len(cells) - spec.width
-        if surplus <= 0:
-            continue
-        seen = present.setdefault(cells[spec.id_pos], set())
-        pulled = []
-        for _ in range(surplus):
-            cell = cells[spec.email_pos]
-            if "@" in cell:
-                continue
-            cells[spec.email_pos] = cell.replace(" ", "")
-            if re.fullmatch(r"[0-9]+", cells[spec.email_pos]):
-                if cells[spec.email_pos] not in seen:
-                    pulled.append(cells[spec.email_pos])
-                cells.pop(spec.email_pos)
-        if cells[spec.phone_pos]:
-            seen.add(cells[spec.phone_pos])
-        for num in pulled:
-            copy = list(cells)
-            copy[spec.phone_pos] = num
-            extra.append(copy)
-        seen.update(pulled)
-    rows += extra
-    # phones, then e-mails
-    for pos, fn, blank in ((spec.phone_pos, phones, False), (spec.email_pos, emails, True)):
-        seen_by, extra = {}, []
-        for cells in rows:
-            vals = fn(cells[pos])
-            if not vals:
-                if blank:
-                    cells[pos] = ""
-                continue
-            cells[pos] = vals[0]
-            if len(vals) == 1:
-                continue
-            seen = seen_by.setdefault(cells[spec.id_pos], set())
-            seen.add(vals[0])
-            for v in vals[1:]:
-                if v not in seen:
-                    copy = list(cells)
-                    copy[pos] = v
-                    extra.append(copy)
-                    seen.add(v)
-        rows += extra
-    out = []
-    for cells in rows:
-        cells = d.join(cells).strip().split(d)
-        if len(cells) > spec.max_cells and cells[spec.name_pos + 1] not in spec.content_after_name:
-            cells[spec.name_pos] = cells[spec.name_pos] + " " + cells[spec.name_pos + 1]
-            cells.pop(spec.name_pos + 1)
-        out.append(cells)
-    return out
+    d, name = spec.delimiter, spec.name_pos
+    rows = [((0, i), repair_quotes(x, d, spec.quote).split(d)) for i, x in enumerate(lines, 1)]
+    rows = excess(rows, spec)
+    rows = contacts(rows, spec.phone_pos, phones, spec, 2, False)
+    rows = contacts(rows, spec.email_pos, emails, spec, 3, True)
+    out = [d.join(c).strip().split(d) for _, c in rows]
+    split_name = lambda c: len(c) > spec.max_cells and c[name + 1] not in spec.content_after_name
+    return [[*c[:name], " ".join(c[name:name + 2]), *c[name + 2:]] if split_name(c) else c for c in out]

@@ -1,4 +1,6 @@
 """Masking: stable across runs, shared dictionaries, injective, null as 'nan'."""
+from pyspark.sql import functions as F
+
 from sparkprep.operators import mask as M
 from sparkprep.session import work_path
 
@@ -25,11 +27,31 @@ def test_mask_keyed(spark):
     assert got == [hashlib.sha256(b"sa").hexdigest(), hashlib.sha256(b"snan").hexdigest()]
 
 
-def test_mask_shuffle_path_matches_broadcast(spark):
+def test_mask_interleaved_runs_agree(spark):
+    """Two first runs side by side: whoever commits first, the keys are the same."""
     refs = work_path(spark, "test-dicts", unique=True)
     df = spark.range(200).selectExpr("id", "cast(id % 7 as string) as v")
-    a = {r.id: r.v for r in M.mask_columns(df, refs, {"v": "d"}).collect()}
-    b = {r.id: r.v for r in M.mask_columns(df, refs, {"v": "d"}, broadcast_limit=0).collect()}
-    assert a == b and len(set(a.values())) == 7
-    plan = M.mask_columns(df, refs, {"v": "d"}, broadcast_limit=0)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
+    secret = M.secret_of(spark, refs)
+    a = df.select("id", M.key_of(F.col("v"), "d", secret).alias("v"))      # run A has keys, nothing committed yet
+    b = M.mask_columns(df, refs, {"v": "d"})                               # run B begins and commits
+    M.extend_dictionaries(df, refs, {"v": "d"}, M.secret_of(spark, refs))  # then A commits
+    got = {r.id: r.v for r in a.collect()}
+    assert got == {r.id: r.v for r in b.collect()} and len(set(got.values())) == 7
+    d = M.read_dictionary(spark, refs, "d")
+    assert sorted(r.value for r in d.collect()) == [str(i) for i in range(7)]
+
+
+def test_mask_is_a_projection(spark):
+    refs = work_path(spark, "test-dicts", unique=True)
+    df = spark.range(10).selectExpr("id", "cast(id as string) as v", "'x' as w")
+    out = M.mask_columns(df, refs, {"v": "d", "w": "e"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert M.secret_of(spark, refs) == M.secret_of(spark, refs)
+
+
+def test_dictionaries_give_other_keys(spark):
+    refs = work_path(spark, "test-dicts", unique=True)
+    df = spark.createDataFrame([("a", "a")], "x string, y string")
+    r = M.mask_columns(df, refs, {"x": "d", "y": "e"}).first()
+    assert r.x != r.y

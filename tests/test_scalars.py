@@ -167,3 +167,22 @@ def test_look_back_fixture_units(spark):
         D.look_back_interval("fortnight", 1)
     with pytest.raises(ValueError):
         D.look_back_interval("date_part", 1, "QUARTER")
+
+
+def test_dates_do_not_depend_on_the_time_zone(spark):
+    """01:30 on the day clocks go forward does not exist in Lisbon."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2020-03-29 01:30:00",), ("2020-10-25 01:30:00",), ("1900-01-01 00:00:00",)], "v string")
+    try:
+        for zone in ("Europe/Lisbon", "America/Sao_Paulo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in df.select(D.clean_date("v", "%Y-%m-%d %H:%M:%S")).collect()]
+            assert got == ["20200329_013000", "20201025_013000", "19000101_000000"]
+            assert str(df.select(D.clean_date("v", "%Y-%m-%d %H:%M:%S", as_timestamp=True)).first()[0]) == "2020-03-29 01:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_anchor_template_must_be_whole():
+    with pytest.raises(ValueError):
+        D.anchor_python(__import__("datetime").datetime(2020, 1, 1), "yyyxmm01_000000")

@@ -66,22 +66,38 @@ def test_first_seen_combines_map_side(spark):
     assert len(hot) == len(set(hot))
 
 
-def test_hot_value_mask_join(spark):
+def test_hot_value_mask(spark):
+    """Masking moves no rows; its values are combined in each task first."""
     from sparkprep.operators import mask as M
     from sparkprep.session import work_path
 
     refs = work_path(spark, "test-skew-dicts", unique=True)
     df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None))
                                    .otherwise((F.col("id") % 500).cast("string")).alias("v"))
-
-    def run():
-        out = M.mask_columns(df, refs, {"v": "d"}, broadcast_limit=0)
-        rows = out.collect()
-        return rows, out._jdf.queryExecution().executedPlan().toString()
-
-    rows, plan = _with_conf(spark, SKEW_CONF, run)
+    rows = M.mask_columns(df, refs, {"v": "d"}).collect()
     by_key = {}
     for r in rows:
         by_key.setdefault(r.v, set()).add(None if r.id % 3 == 0 else str(r.id % 500))
     assert len(rows) == 30000 and all(len(vs) == 1 for vs in by_key.values()) and len(by_key) == 501
-    assert "SortMergeJoin" in plan and "skew=true" in plan
+    plan = M.column_values(df, {"v": "d"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2  # one before the shuffle
+
+
+def test_right_join_with_shared_names_can_be_split(spark):
+    main = spark.range(30000).select(F.col("id").alias("oid"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997).alias("k"))
+    uni = spark.range(1100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    main.createOrReplaceTempView("sp_skew_main2")
+    uni.createOrReplaceTempView("sp_skew_uni2")
+
+    def run(how):
+        df = R.restrict_to_universe(main, uni, ["k:k"], how)
+        key = lambda t: tuple((x is None, x or 0) for x in t)
+        got = sorted((tuple(r) for r in df.collect()), key=key)
+        want = sorted((tuple(r) for r in spark.sql(
+            f"select m.*, u.* from sp_skew_main2 m {how} join sp_skew_uni2 u on m.k = u.k").collect()), key=key)
+        assert got == want
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for how in ("right", "full"):
+        plan = _with_conf(spark, SKEW_CONF, lambda: run(how))  # noqa: B023
+        assert "skew=true" in plan and "RightOuter" not in plan and "FullOuter" not in plan

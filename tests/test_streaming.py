@@ -1,5 +1,5 @@
 """Standardisation on a stream: row-wise operators and foreachBatch."""
-from pyspark.sql import functions as F
+import pytest
 
 from sparkprep.session import work_path
 from sparkprep.streaming import standardize as ST
@@ -22,8 +22,15 @@ def test_stream_row_wise_and_batches(spark):
     assert got == [("ana", 1234.56, 7), ("rui", 12.3, 0)]
 
     dst = work_path(spark, "test-stream-out", unique=True)
-    q2 = ST.start_standardize(spark.readStream.schema(schema).parquet(src), types, dst,
-                              trigger={"availableNow": True})
-    q2.awaitTermination(120)
+    ck = work_path(spark, "test-stream-ck2", unique=True)
+    for extra in (None, ("Eva", "2,00", "9")):
+        # The second start goes on where the first has ended.
+        if extra:
+            spark.createDataFrame([extra], schema).write.mode("append").parquet(src)
+        q2 = ST.start_standardize(spark.readStream.schema(schema).parquet(src), types, dst, checkpoint=ck,
+                                  trigger={"availableNow": True})
+        q2.awaitTermination(120)
     res = sorted((r.name, r.amount, r.qty) for r in spark.read.parquet(dst).collect())
-    assert res == [("ana", 1234.56, 7), ("rui", 12.3, 0)]
+    assert res == [("ana", 1234.56, 7), ("eva", 2.0, 9), ("rui", 12.3, 0)]
+    with pytest.raises((TypeError, ValueError)):
+        ST.start_standardize(spark.readStream.schema(schema).parquet(src), types, dst)
