@@ -57,17 +57,29 @@ with l as (select doc_id, {duck_phones('text')} as nums from documents)
 select doc_id, cast(unnest(generate_series(0, len(nums) - 1)) as bigint) as pos, unnest(nums) as phone from l""")
 def extract_phones(spark, sf_dir):
     """D4 over whole document texts, one row per number found."""
-    docs = table(spark, sf_dir, "documents", balanced=True)
+    docs = table(spark, sf_dir, "documents")
     return _explode(docs, "doc_id", C.phone_numbers("text"), "phone")
 
 
+# Addresses are rare in the texts, so each document gets some more around
+# its text: several in a row, upper case, blanks and signs before and after,
+# unknown endings, an ending inside a longer domain.
+_MAILS_SPARK = """concat_ws(' ', case doc_id % 6
+    when 0 then concat('Write to ( A.B', cast(doc_id as string), '@Mail.PT or c', cast(doc_id % 7 as string), '@shop.es;x@y.com')
+    when 1 then concat('<user', cast(doc_id as string), '@host.internal> and ', cast(doc_id as string), '@x.org.uk')
+    when 2 then concat('a@b@c.de @', cast(doc_id as string), '@k.biz@')
+    when 3 then concat('é', cast(doc_id as string), '@mañana.eu ..z@q.net') end, text,
+  case when doc_id % 4 = 0 then concat(source, '@', lang, '.com') end)"""
+_MAILS_DUCK = _MAILS_SPARK.replace(" as string)", " as varchar)")
+
+
 @query("extract_emails", oracle=f"""
-with l as (select doc_id, {duck_emails('text')} as mails from documents)
+with d as (select doc_id, {_MAILS_DUCK} as t from documents), l as (select doc_id, {duck_emails('t')} as mails from d)
 select doc_id, cast(unnest(generate_series(0, len(mails) - 1)) as bigint) as pos, unnest(mails) as email from l""")
 def extract_emails(spark, sf_dir):
-    """D6 over whole document texts, one row per address found."""
-    docs = table(spark, sf_dir, "documents", balanced=True)
-    return _explode(docs, "doc_id", C.emails("text"), "email")
+    """D6 over whole document texts and addresses around them, one row per address found."""
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{_MAILS_SPARK} as t")
+    return _explode(docs, "doc_id", C.emails("t"), "email")
 
 
 # ------------------------------------------------------------ dirty lines
@@ -114,7 +126,7 @@ _LINE_DUCK = """concat_ws(';',
 
 def contact_lines(spark, sf_dir):
     """``(line_no, line)``: a header line and one dirty line per customer."""
-    cust = table(spark, sf_dir, "customer", balanced=True)
+    cust = table(spark, sf_dir, "customer")
     header = spark.range(1).select(F.lit(0).cast("bigint").alias("line_no"), F.lit(_HEADER_LINE).alias("line"))
     body = cust.select((F.col("c_custkey") + 1).cast("bigint").alias("line_no"), F.expr(_LINE_SPARK).alias("line"))
     return header.unionByName(body)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import mask as M
 from ..plans import process as P
 from ..session import work_path
+from ..sources import snapshots as SN
 from .common import query, table
 from .standardize import (MESSY_CUSTOMER_DUCK, _DUCK_TAX, _MESSY_CUSTOMER_SPARK, _duck_clean_string,
                           _split_select, duck_float_oracle)
@@ -93,7 +94,7 @@ F1_TYPES = {
 
 
 def messy_table(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer", balanced=True)
+    cust = table(spark, sf_dir, "customer")
     return cust.selectExpr(*[e.strip() for e in _split_select(_MESSY_CUSTOMER_SPARK)], *_F1_EXTRA_SPARK) \
         .select(*F1_COLUMNS)
 
@@ -159,3 +160,64 @@ def process_source(spark, sf_dir):
     }
     result = P.process_source(spark, spec, src_time="20240102_000000")
     return result.data.drop("snapshot")
+
+
+@query("process_query_source", oracle="""with u as (select distinct c_custkey, c_nationkey from customer where c_nationkey < 10),
+m as (select o_custkey, o_orderdate, o_totalprice from orders
+      where o_orderdate >= timestamp '1998-01-01' - interval 3 month and o_orderdate < timestamp '1998-01-01' and o_orderstatus <> 'P')
+select c_custkey as cliente, n.n_name as pais, cast(extract(month from o_orderdate) as bigint) as periodo, count(*) as encomendas
+from m join u on o_custkey = c_custkey join nation n on n.n_nationkey = u.c_nationkey group by 1, 2, 3""")
+def process_query_source(spark, sf_dir):
+    """F2 on a query input: two steps, with time anchor, look-back, date
+    part, substituted values, an auxiliary snapshot and a universe."""
+    base = work_path(spark, "process", _key(sf_dir), unique=True)
+    SN.write_snapshot(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), f"{base}/output",
+                      "nations", "19970101_000000")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("sp_q_orders")
+    table(spark, sf_dir, "customer").where("c_nationkey < 10").select("c_custkey", "c_nationkey").distinct() \
+        .createOrReplaceTempView("sp_q_universe")
+    spec = {
+        "raw_source": {"type": {"specifics": "query"}, "load_parameters": {"query": [
+            {"view": "sp_q_recent", "sql": """select * from IDENTIFIER(:source) where o_orderstatus <> :without
+                and o_orderdate >= cast(:since as timestamp_ntz) - cast(:interval_dif as interval)
+                and o_orderdate < cast(:since as timestamp_ntz)"""},
+            {"view": "", "sql": """select c_custkey, n.name, date_part(:date_part, o_orderdate), count(*)
+                from select_universe join sp_q_nations n on n.id = c_nationkey group by 1, 2, 3"""}]}},
+        "query_manipulation": {
+            "apply_on_1": {"time": {"since": {"format": "%Y-%m-%d %H:%M:%S", "ref": "yyyy0101_000000"}},
+                           "substitute_values": {"source": "sp_q_orders", "without": "P"},
+                           "time_groups": {"date_part": "MONTH"},
+                           "time_difference": {"interval_dif": "date_part", "interval_t": 3}},
+            "apply_on_2": {"insert_into": {"sp_q_nations": {"clean_source": "nations", "cols_needed": "n_nationkey, n_name",
+                                                            "create_table": {"queries_cols_name": "id,name",
+                                                                             "queries_cols_type": "bigint, string"}}},
+                           "select_universe": {"type_join": "inner join", "main_table": "sp_q_recent",
+                                               "selected_universe_table": "sp_q_universe", "join_on": ["o_custkey:c_custkey"]}},
+            "apply_on_all": {"time_groups": {"date_part": "MONTH"}}},
+        "data_types": {"names": "Cliente,\n Pais, Periodo,Encomendas", "n_client_cols": "Cliente", "int_cols": "Periodo, Encomendas"},
+        "processed_source": {"save_parameters": {"path": f"{base}/output", "tag": "orders_by_period"}},
+    }
+    return P.process_source(spark, spec, src_time="19980615_000000").data.drop("snapshot")
+
+
+@query("process_two_row_header", oracle=f"""select cast(p_size as bigint) as s_qty_2019,
+  cast(cast(round(p_retailprice * 100) as bigint) as double) as s_price_2019, cast(p_size * 2 as bigint) as s_qty_2020,
+  cast(cast(round(p_retailprice * 100) as bigint) * 2 as double) as s_price_2020, {_duck_clean_string('p_brand')} as b_name
+from part""")
+def process_two_row_header(spark, sf_dir):
+    """F2 on a folder of files with a two-row header; classes grouped by micro tag."""
+    base = work_path(spark, "process", _key(sf_dir), unique=True)
+    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    cells = [F.col("p_partkey"), F.col("p_size"), cents, F.col("p_size") * 2, cents * 2, F.col("p_brand")]
+    # One column of whole lines; the two header lines sort before the rows.
+    body = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("n"), F.concat_ws(";", *cells).alias("line"))
+    head = spark.createDataFrame([(-2, "Key;Stock 2019;;Stock 2020;;Brand"), (-1, "id;qty;price;qty;price;name")], "n bigint, line string")
+    head.unionByName(body).orderBy("n").select("line").write.text(f"{base}/input/parts_20240101_000000.csv")
+    spec = {
+        "raw_source": {"type": {"specifics": "file"},
+                       "load_parameters": {"path": f"{base}/input", "file_name": "parts", "delimiter": ";", "multilevel": True}},
+        "data_types": {"macro_tags_names": "Stock, Brand", "micro_tags_names": "s,b", "duplicated_macro_tag": "year",
+                       "int_cols": {"s": "qty_2019,\n qty_2020"}, "float_cols": {"s": "price_2019,price_2020"}, "str_cols": {"b": "name"}},
+        "processed_source": {"save_parameters": {"path": f"{base}/output", "tag": "parts"}},
+    }
+    return P.process_source(spark, spec, src_time="20240102_000000").data.drop("snapshot")

@@ -1,8 +1,8 @@
 """Queries for snapshots (A6-A12) and the auxiliary-source join.
 
-The order history is written once per process and table directory as one
-snapshot per month of ``o_orderdate`` into the shared folder
-(``spark.checkpoint.dir``); the readers then resolve snapshots from it."""
+Each query writes the order history, one snapshot per month of
+``o_orderdate``, into the shared folder (``spark.checkpoint.dir``) and resolves
+snapshots from it, so its time includes the writing."""
 
 from __future__ import annotations
 
@@ -17,7 +17,6 @@ from ..session import work_path
 from ..sources import snapshots as SN
 from .common import query, table
 
-_WRITTEN: dict[tuple, str] = {}
 _MONTH_SNAPSHOT_DUCK = "strftime(date_trunc('month', o_orderdate), '%Y%m%d_%H%M%S')"
 
 
@@ -26,28 +25,21 @@ def _key(sf_dir: str) -> str:
 
 
 def order_history(spark, sf_dir) -> str:
-    """Path of the monthly order snapshots (written on first use)."""
-    k = ("orders", sf_dir, spark.sparkContext.applicationId)
-    if k not in _WRITTEN:
-        path = SN.snapshot_path(work_path(spark, "history", _key(sf_dir), unique=True), "orders")
-        orders = table(spark, sf_dir, "orders")
-        month = F.date_format(F.date_trunc("month", "o_orderdate"), D.OUT_SPARK)
-        _WRITTEN[k] = SN.write_snapshots_by(orders, path, month)
-    return _WRITTEN[k]
+    """Path of monthly order snapshots, written by each call."""
+    path = SN.snapshot_path(work_path(spark, "history", _key(sf_dir), unique=True), "orders")
+    month = F.date_format(F.date_trunc("month", "o_orderdate"), D.OUT_SPARK)
+    return SN.write_snapshots_by(table(spark, sf_dir, "orders"), path, month)
 
 
 def customer_snapshots(spark, sf_dir) -> str:
     """Root with two snapshots of tag ``customer`` (the second lower-cases
-    the segment), written with the single-snapshot writer."""
-    k = ("customer", sf_dir, spark.sparkContext.applicationId)
-    if k not in _WRITTEN:
-        root = work_path(spark, "sources", _key(sf_dir), unique=True)
-        cust = table(spark, sf_dir, "customer")
-        SN.write_snapshot(cust, root, "customer", "20240101_000000", product="aux")
-        SN.write_snapshot(cust.withColumn("c_mktsegment", F.lower("c_mktsegment")), root, "customer",
-                          "20240215_120000", product="aux")
-        _WRITTEN[k] = root
-    return _WRITTEN[k]
+    the segment), written with the single-snapshot writer by each call."""
+    root = work_path(spark, "sources", _key(sf_dir), unique=True)
+    cust = table(spark, sf_dir, "customer")
+    SN.write_snapshot(cust, root, "customer", "20240101_000000", product="aux")
+    SN.write_snapshot(cust.withColumn("c_mktsegment", F.lower("c_mktsegment")), root, "customer",
+                      "20240215_120000", product="aux")
+    return root
 
 
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
@@ -95,21 +87,57 @@ def snapshot_named(spark, sf_dir):
     return SN.read_named(spark, catalog, "customers").select("c_custkey", "c_name", "c_mktsegment", "snapshot")
 
 
+@query("snapshot_schema_change", oracle="""select c_custkey, c_name, c_nationkey + 1 as c_region from customer
+where c_custkey % 2 = 0""")
+def snapshot_schema_change(spark, sf_dir):
+    """The newest snapshot has a column more than the first, which a
+    second write of the same name has replaced by no rows."""
+    root, cust = work_path(spark, "schema", _key(sf_dir), unique=True), table(spark, sf_dir, "customer")
+    SN.write_snapshot(cust.select("c_custkey", "c_name"), root, "customer", "20240101_000000")
+    SN.write_snapshot(cust.select("c_custkey", "c_name").limit(0), root, "customer", "20240101_000000")
+    new = cust.where("c_custkey % 2 = 0").select("c_custkey", "c_name", (F.col("c_nationkey") + 1).alias("c_region"))
+    SN.write_snapshot(new, root, "customer", "20240201_000000")
+    path = SN.snapshot_path(root, "customer")
+    old = SN.read_as_of(spark, path, "20240115_000000").select("c_custkey", "c_name", F.lit(0).alias("c_region"))
+    return SN.read_latest(spark, path).drop("snapshot").unionByName(old)
+
+
+@query("snapshot_parts", oracle="""select c_custkey, c_mktsegment, case when c_nationkey < 12 then 'low' else 'whole' end as part
+from customer where c_nationkey < 12 union all select c_custkey, c_mktsegment, 'whole' from customer""")
+def snapshot_parts(spark, sf_dir):
+    """A part's snapshots beside those of its tag; both are read."""
+    root, cust = work_path(spark, "parts", _key(sf_dir), unique=True), table(spark, sf_dir, "customer")
+    cust = cust.select("c_custkey", "c_mktsegment", "c_nationkey")
+    SN.write_snapshot(cust.drop("c_nationkey"), root, "customer", "20240101_000000")
+    SN.write_snapshot(cust.where("c_nationkey < 12").drop("c_nationkey"), root, "customer", "20240201_000000", part="low")
+    whole = SN.read_latest(spark, SN.snapshot_path(root, "customer")).withColumn("part", F.lit("whole"))
+    low = SN.read_latest(spark, SN.snapshot_path(root, "customer", part="low")).withColumn("part", F.lit("low"))
+    return whole.unionByName(low).drop("snapshot")
+
+
 _RUN = _dt.datetime(2001, 9, 1)
 
 
-@query("stale_customers", oracle="""select o_custkey, strftime(max(o_orderdate), '%Y%m%d_%H%M%S') as last_order,
-  date_diff('day', max(o_orderdate), timestamp '2001-09-01') as days_elapsed
-from orders group by o_custkey having date_diff('day', max(o_orderdate), timestamp '2001-09-01') > 365""")
+_UNITS = ("day", "week", "month", "year", "hour")
+_UNIT_DUCK = "case o_custkey % 6 " + " ".join(f"when {i} then '{u}'" for i, u in enumerate(_UNITS)) + " end"
+_ELAPSED_DUCK = " ".join(f"when '{u}' then date_sub('{u}', last, timestamp '2001-09-01')" for u in _UNITS)
+
+
+@query("stale_customers", oracle=f"""with l as (
+  select o_custkey, {_UNIT_DUCK} as unit, cast(o_custkey % 40 * 12 as integer) as rate, max(o_orderdate) as last
+  from orders group by o_custkey)
+select o_custkey, unit, rate, strftime(last, '%Y%m%d_%H%M%S') as last_order from l
+where unit is null or (case unit {_ELAPSED_DUCK} end) > rate""")
 def stale_customers(spark, sf_dir):
-    """A12 as a table operator: customers whose last order is more than 365
-    whole days before the run date."""
+    """A12 as a table operator: customers whose last order is more than
+    ``rate`` whole units before the run date; without a unit always stale."""
+    units = F.array(*[F.lit(u) for u in _UNITS], F.lit(None).cast("string"))
     last = (table(spark, sf_dir, "orders").groupBy("o_custkey")
             .agg(F.max("o_orderdate").alias("last_snapshot"))
-            .withColumns({"unit": F.lit("day"), "rate": F.lit(365)}))
+            .withColumns({"unit": F.element_at(units, (F.col("o_custkey") % 6 + 1).cast("int")),
+                          "rate": (F.col("o_custkey") % 40 * 12).cast("int")}))
     out = SN.stale_sources(last, _RUN).where("stale")
-    return out.select("o_custkey", F.date_format("last_snapshot", D.OUT_SPARK).alias("last_order"),
-                      D.elapsed_units(F.col("last_snapshot"), F.lit(_RUN), "day").alias("days_elapsed"))
+    return out.select("o_custkey", "unit", "rate", F.date_format("last_snapshot", D.OUT_SPARK).alias("last_order"))
 
 
 @query("aux_join", oracle="""select o_orderkey, c.c_custkey as cust_id, lower(c.c_mktsegment) as segment

@@ -183,3 +183,38 @@ def test_process_source_test_mode(spark):
     assert [c for c in res.data.columns if c != "snapshot"] == ["Nome", "Qtd"]
     normal = P.process_source(spark, spec, src_time="20240102_000000")
     assert [c for c in normal.data.columns if c != "snapshot"] == ["nome", "qtd"]
+
+
+def test_process_source_trims_lists_and_passes_on_error(spark):
+    base = work_path(spark, "test-lists", unique=True)
+    (spark.createDataFrame([("Ana", "1", "1,5"), ("Rui", "2", "x")], "name string, qty string, amount string").write.option("header", True)
+     .csv(f"{base}/in/src_20240101_000000.csv"))
+    spec = _spec(base)
+    spec["data_types"] = {"str_cols": "name,\n ", "int_cols": " qty", "float_cols": "amount "}
+    spec["on_error"] = "quarantine"
+    got = P.process_source(spark, spec, src_time="20240102_000000").data
+    assert sorted((r.name, r.qty, r.amount, r._errors) for r in got.collect()) == [("ana", 1, 1.5, []), ("rui", 2, 0.0, ["amount"])]
+
+
+def test_input_is_parsed_once(spark, monkeypatch):
+    """Flags, dictionaries and output read the kept input, not the source."""
+    base = work_path(spark, "test-once", unique=True)
+    (spark.createDataFrame([("Ana", "1", "1,5")], "name string, qty string, amount string").write.option("header", True)
+     .csv(f"{base}/in/src_20240101_000000.csv"))
+    spec = _spec(base)
+    spec["data_types"]["float_cols"] = "amount"
+    spec["mask_data"] = {"references_path": f"{base}/refs", "mask_cols": {"name": "names"}}
+    seen = []
+    monkeypatch.setattr(P, "standardize_table", lambda df, *a, f=P.standardize_table: (seen.append(df.inputFiles()), f(df, *a))[1])
+    res = P.process_source(spark, spec, src_time="20240102_000000")
+    assert seen and all("/side/" in f for f in seen[0])
+    assert res.data.first().amount == 1.5
+
+
+def test_freshness_survives_parts_and_reports_errors(spark):
+    base = work_path(spark, "test-gate", unique=True)
+    (spark.createDataFrame([("Ana", "1")], "name string, qty string").write.option("header", True).csv(f"{base}/in/src_20240101_000000.csv"))
+    spec = _spec(base)
+    assert P.process_source(spark, spec, now=dt.datetime(2024, 3, 1)).status == "written"
+    assert P.process_source(spark, spec, now=dt.datetime(2024, 3, 1), date_part="north").status == "written"
+    assert P.process_source(spark, spec, now=dt.datetime(2024, 3, 2)).status == "fresh"

@@ -73,6 +73,35 @@ def test_read_named_modes_and_csv(spark):
     a, b = SN.read_named(spark, {"both": {"root": r, "product": "p", "tags": ["a", "a"]}}, "both")
     assert _one(a) == _one(b) == {TAGS[2]}
     csv_latest = SN.read_named(spark, cat, "csv")
-    assert [(r_.id, r_.tag) for r_ in csv_latest.collect()] == [("0", TAGS[2])]
+    assert [(r_.id, r_.tag) for r_ in csv_latest.collect()] == [(0, TAGS[2])]  # types are inferred
     with pytest.raises(KeyError):
         SN.read_named(spark, cat, "nope")
+
+
+def test_empty_rerun_replaces_old_rows(spark):
+    r = work_path(spark, "test-empty", unique=True)
+    SN.write_snapshot(spark.range(3), r, "a", TAGS[0])
+    SN.write_snapshot(spark.range(0), r, "a", TAGS[0])
+    df = SN.read_latest(spark, SN.snapshot_path(r, "a"))
+    assert df.columns == ["id", "snapshot"] and df.count() == 0
+
+
+def test_lookup_opens_only_the_chosen_folder(spark, root):
+    plan = SN.list_snapshots(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    files = SN.read_as_of(spark, root, "20240220_000000").inputFiles()
+    assert files and all(f"snapshot={TAGS[1]}/" in f for f in files)
+
+
+def test_parts_do_not_disturb_the_tag(spark):
+    r = work_path(spark, "test-parts", unique=True)
+    SN.write_snapshot(spark.range(2), r, "a", TAGS[0])
+    SN.write_snapshot(spark.range(5), r, "a", TAGS[1], part="north")
+    assert SN.read_latest(spark, SN.snapshot_path(r, "a")).count() == 2
+    assert SN.read_snapshots(spark, SN.snapshot_path(r, "a")).count() == 2
+    assert SN.read_latest(spark, SN.snapshot_path(r, "a", part="north")).count() == 5
+
+
+def test_missing_is_an_error(spark):
+    with pytest.raises(FileNotFoundError):
+        SN.read_latest(spark, work_path(spark, "test-none", unique=True))
