@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WORD_CLASS, spread
+from .common import WORD_CLASS
 
 PARTS = 64
 WEIGHTS = (5, 2, 1)
@@ -41,10 +41,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(f"{WORD_CLASS}+")), F.lit(0)).cast("long")
 
 
+def _number_of(text: Column) -> Column:
+    """32 bits of a digest, which any SQL engine can compute too."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long")
+
+
 def offset_of(source: Column, seed: int) -> Column:
     """A fixed number in [0, 1) for a source, in steps of 2**-32."""
     name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")))
-    return F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+    return _number_of(name).cast("double") / F.lit(float(2**32))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -98,7 +103,7 @@ def copies(rows: DataFrame, slim: DataFrame, weights=WEIGHTS, cap: float = CAP,
     """Adds source_size, target and n_copies to ``rows`` (of ``_walk``).
     ``slim`` has doc_id, source, skey and size of the same rows."""
     # The size band is the bit length of the size, so the walk needs no sampled bounds.
-    place = {"band": F.length(F.bin("size")), "part": spread("doc_id", parts)}
+    place = {"band": F.length(F.bin("size")), "part": _number_of(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts}
     targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     targets = targets.withColumn("skey", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")))
     counts = slim.withColumns(place).groupBy("skey", "band", "part").agg(F.count(F.lit(1)).alias("n"))

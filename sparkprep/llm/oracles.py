@@ -8,3 +8,27 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)
 """
+
+_NUMBER = "cast('0x' || substr(sha256({0}), 1, 8) as bigint)"
+ORACLE_SQL["op4_mixing"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+s AS (SELECT source, cast(sum(size) AS bigint) AS source_size FROM d GROUP BY source),
+p AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM s),
+rounds(i, words, unit) AS (
+  SELECT 0, cast(sum(source_size) AS bigint), cast(sum(w) AS bigint) FROM p
+  UNION ALL
+  SELECT i + 1, words2, unit2 FROM (
+    SELECT r.i, r.words, r.unit,
+      (SELECT cast(sum(source_size) - 3 * coalesce(sum(source_size) FILTER (WHERE w * r.words / r.unit > 3 * source_size), 0) AS bigint) FROM p) AS words2,
+      (SELECT cast(sum(w) FILTER (WHERE w * r.words / r.unit <= 3 * source_size) AS bigint) FROM p) AS unit2
+    FROM rounds r) WHERE unit2 > 0 AND (words2 <> words OR unit2 <> unit) AND i < 1000),
+last AS (SELECT words, unit FROM rounds ORDER BY i DESC LIMIT 1),
+t AS (SELECT source, source_size, least(w * words / unit, cast(3 * source_size AS double)) AS target FROM p, last),
+k AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::double END AS rate,
+    {_NUMBER.format("'11:' || coalesce('s' || d.source, 'n')")} / 4294967296.0::double AS u,
+    row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)), {_NUMBER.format("cast(doc_id as varchar)")} % 64, size, doc_id) AS k
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, cast(floor(rate) + floor(k * (rate - floor(rate)) + u) - floor((k - 1) * (rate - floor(rate)) + u) AS bigint) AS n_copies FROM k)
+SELECT doc_id, cast(size AS bigint) AS size, source_size, target, cast(size * n_copies AS bigint) AS taken, n_copies FROM c
+"""
