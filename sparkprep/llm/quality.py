@@ -1,7 +1,7 @@
 """Operator 8, quality rules learned by gradient-boosted trees.
 
 Every text is turned into a row of statistics. Trees are boosted on a bounded
-sample of labelled rows (the ``SAMPLE`` documents whose ids hash lowest, read
+sample of labelled rows (about ``SAMPLE`` documents whose ids hash lowest, read
 once to the driver as rows of ``len(FEATURES)`` numbers), then flattened into
 numpy arrays of nodes: feature, threshold, children, value. Scoring walks all
 rows of a batch down all trees level by level.
@@ -23,7 +23,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from .common import exact, labelled_documents, slices, strings
 
 SAMPLE = 8000
@@ -161,8 +160,7 @@ def _split(binned, g, h, falling, low, high, ridge, least, bins):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
-    rows = labelled_documents(docs, labels, sample).where("text IS NOT NULL")
-    rows = materialize(rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample))
+    rows = labelled_documents(docs, labels, sample)
 
     def task(batches):
         import pyarrow as pa

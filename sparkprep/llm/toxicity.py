@@ -5,11 +5,12 @@ category gets the probabilities of the earlier ones as features; while it is
 trained these come out of fold (each row's from a model that has not seen it),
 so that it doesn't learn to trust them more than it can later on.
 
-Training uses a bounded sample of labelled rows: the ``SAMPLE`` rows whose ids
-hash lowest. Words and beginnings of words become features if their presence tells a category apart
-(chi-squared over the sample, counted by Spark), ``WORDS`` for each category;
-five shape figures of a text come along. The fit runs on the driver over
-``SAMPLE`` x features numbers; scoring reads every text whole, in the tasks.
+Training uses a bounded sample of labelled rows: about ``SAMPLE`` rows whose
+ids hash lowest. Words and beginnings of words become features if their
+presence tells a category apart (chi-squared over the sample, counted by
+Spark), ``WORDS`` for each category; five shape figures of a text come along.
+The fit runs on the driver over ``SAMPLE`` x features numbers; scoring reads
+every text whole, in the tasks.
 
 The labels table names one toxicity category and low quality, so the chain is
 ``junk`` (quality 0), ``toxic`` (toxic 1) and ``severe``: toxic documents with
@@ -193,12 +194,12 @@ def select_words(sample: DataFrame, labels: list[str], per_label: int = WORDS) -
     return list(found)
 
 
-def train(labelled: DataFrame, junk: Column, toxic: Column, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Chain:
-    """``labelled`` has an id, a text and what the two conditions need."""
+def train(labelled: DataFrame, junk: Column, toxic: Column, id_col: str = "doc_id", text_col: str = "text") -> Chain:
+    """``labelled`` has an id, a text and what the two conditions need; all of it is learned from."""
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                            junk.cast("int").alias("junk"), toxic.cast("int").alias("toxic"))
     rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL AND junk IS NOT NULL AND toxic IS NOT NULL")
-    rows = materialize(rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample))
+    rows = materialize(rows)
     words = select_words(rows, ["junk", "toxic"])
     model = Chain(CHAIN, {w: i for i, w in enumerate(words)}, np.zeros(5), np.ones(5))
 
@@ -263,4 +264,4 @@ def drop_toxic(df: DataFrame, model: Chain, text_col: str = "text") -> DataFrame
 
 
 def train_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
-    return train(labelled_documents(docs, labels, sample), F.col("quality") == 0, F.col("toxic") == 1, sample=sample)
+    return train(labelled_documents(docs, labels, sample), F.col("quality") == 0, F.col("toxic") == 1)
