@@ -198,14 +198,19 @@ def repair_excess_cells(rows: DataFrame, spec: LineSpec) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D5, D7
+def _placed(cells: Column, pos: int, vals: Column, blank_when_none: bool) -> Column:
+    """The cells with the first value found in its place; none found ->
+    unchanged or ''."""
+    none = _set(cells, pos, F.lit("")) if blank_when_none else cells
+    return F.when(F.size(vals) >= 1, _set(cells, pos, F.try_element_at(vals, F.lit(1)))).otherwise(none)
+
+
 def contacts_map(rows: DataFrame, pos: int, extract, blank_when_none: bool) -> DataFrame:
     """Narrow part of D5/D7: the first value found stays in the cell
-    (``__vals`` keeps all of them); none found -> unchanged or ''."""
+    (``__vals`` keeps all of them)."""
     c = F.col("cells")
     staged = bind(rows, "__vals", extract(_cell(c, pos)))
-    none = _set(c, pos, F.lit("")) if blank_when_none else c
-    return staged.withColumn("cells", F.when(F.size("__vals") >= 1, _set(c, pos, F.element_at("__vals", 1)))
-                             .otherwise(none))
+    return staged.withColumn("cells", _placed(c, pos, F.col("__vals"), blank_when_none))
 
 
 def contacts_copies(mapped: DataFrame, pos: int, entity_pos: int, gen: int) -> DataFrame:
@@ -295,12 +300,15 @@ def repair_rows(lines: DataFrame, spec: LineSpec, materialize: bool = True) -> D
     m = m.withColumnsRenamed({"cells": "__cells_p", "__vals": "__vals_p"})
     m = contacts_map(m.withColumn("cells", F.col("__cells_p")), spec.email_pos, C.emails, True)
     m = m.withColumnRenamed("__vals", "__vals_e")
+    # One cell array travels with a candidate: the later steps' cells follow
+    # from it and from the values found.
     cand = m.where((F.col("__diff") > 0) | (F.size("__vals_p") >= 2) | (F.size("__vals_e") >= 2))
-    cand = _materialize(cand.select("ord", "__cells_x", "__diff", "__entity", "__pulled", "__cells_p", "__vals_p",
-                                    F.col("cells").alias("__cells_e"), "__vals_e"), materialize)
+    cand = _materialize(cand.select("ord", "__cells_x", "__diff", "__entity", "__pulled", "__vals_p", "__vals_e"), materialize)
+    cells_p = _placed(F.col("__cells_x"), spec.phone_pos, F.col("__vals_p"), False)
+    cells_e = _placed(cells_p, spec.email_pos, F.col("__vals_e"), True)
 
     def step_rows(cells, vals):
-        return cand.select("ord", F.col(cells).alias("cells"), F.col(vals).alias("__vals"))
+        return cand.where(F.size(vals) >= 2).select("ord", cells.alias("cells"), F.col(vals).alias("__vals"))
 
     def via(rows, pos, extract, blank):
         return contacts_map(rows.select("ord", "cells"), pos, extract, blank)
@@ -310,11 +318,11 @@ def repair_rows(lines: DataFrame, spec: LineSpec, materialize: bool = True) -> D
     c1 = _materialize(excess_copies(cand.where(F.col("__diff") > 0).select(
         "ord", F.col("__cells_x").alias("cells"), "__diff", "__entity", "__pulled"), spec), materialize)
     c1p = via(c1, spec.phone_pos, C.phone_numbers, False)
-    c2 = _materialize(contacts_copies(step_rows("__cells_p", "__vals_p").unionByName(c1p.select("ord", "cells", "__vals")),
+    c2 = _materialize(contacts_copies(step_rows(cells_p, "__vals_p").unionByName(c1p.select("ord", "cells", "__vals")),
                                       spec.phone_pos, spec.id_pos, GEN_PHONES), materialize)
     c1e = via(c1p, spec.email_pos, C.emails, True)
     c2e = via(c2, spec.email_pos, C.emails, True)
-    e_cands = (step_rows("__cells_e", "__vals_e").unionByName(c1e.select("ord", "cells", "__vals"))
+    e_cands = (step_rows(cells_e, "__vals_e").unionByName(c1e.select("ord", "cells", "__vals"))
                .unionByName(c2e.select("ord", "cells", "__vals")))
     c3 = contacts_copies(e_cands, spec.email_pos, spec.id_pos, GEN_EMAILS)
     rows = (m.select("ord", "cells").unionByName(c1e.select("ord", "cells"))
