@@ -58,20 +58,18 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataF
     Round by round, the words that capped sources can't take go to the others
     by weight, until none is above its cap. A round is one aggregate over the
     table of sources; each round caps one more source at least, in practice
-    there are two or three. Places in code-point order come from a count of
-    smaller names per first character and a window inside it, so that a
-    very long list of sources is not one window."""
-    first = F.coalesce(F.substring("source", 1, 1), F.lit(""))
-    keyed = sizes.withColumns({"first": first, "none": F.col("source").isNull()})
-    heads = keyed.groupBy("none", "first").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("none", "first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    place = F.col("before") + F.row_number().over(Window.partitionBy("none", "first").orderBy("source")) - 1
-    weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
-    heads = heads.withColumn("before", before).select(
-        F.col("none").alias("none_"), F.col("first").alias("first_"), "before")
-    placed = materialize(
-        keyed.join(heads, (F.col("none") == F.col("none_")) & (F.col("first") == F.col("first_")))
-        .withColumn("place", place).select("source", "source_size", weight.cast("long").alias("weight")))
+    there are two or three. The places in code-point order are counted range by
+    range, so that a very long list of sources is not one window."""
+    # Sources in ranges, sorted inside; a row's id has its range and its place there.
+    ordered = sizes.withColumn("none", F.col("source").isNull()).repartitionByRange("none", "source")
+    ordered = ordered.sortWithinPartitions("none", "source").withColumn("mid", F.monotonically_increasing_id())
+    ordered = materialize(ordered).withColumns({"range": F.shiftright("mid", 33), "inner": F.col("mid").bitwiseAND((1 << 33) - 1)})
+    ranges = ordered.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.col("before") + F.col("inner")
+    weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
+    placed = materialize(ordered.join(ranges.select("range", before.alias("before")), "range")
+                         .select("source", "source_size", weight.cast("long").alias("weight")))
 
     total = placed.agg(F.sum("source_size").alias("t")).first()["t"] or 0
     share = (0, 1)  # words for each unit of weight, as a fraction of whole numbers

@@ -26,7 +26,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -200,7 +200,8 @@ def near_duplicates(df: DataFrame, words: int = 4, bits: int = 4, id_col: str =
     nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = materialize(components(link_fingerprints(nodes.select("fp"), bits)))
     named = roots.join(nodes, roots["node"] == nodes["fp"])
-    names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Written, so that Spark can split a hot component's side of the join.
+    names = materialize(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
     of_node = roots.join(names, "root").select(F.col("node").alias("fp"), "component_id")
     labels = materialize(nodes.join(of_node, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
     return docs.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
@@ -224,5 +225,6 @@ def drop_near_copies(df: DataFrame, words: int = 4, bits: int = 4, id_col: str =
     rows = flat.withColumns({"k_hash": F.xxhash64(f"c{cols.index(text_col)}"), "r_id": F.col(f"c{cols.index(id_col)}")})
     kept = rows.join(keep.withColumnRenamed("k_hash", "w_hash"),
                      (F.col("k_hash") == F.col("w_hash")) & F.col("r_id").eqNullSafe(F.col("k_id")), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("k_hash", "r_id").orderBy(*flat.columns))
-    return kept.withColumn("turn", turn).where("turn = 1").select(*flat.columns).toDF(*cols)
+    # Equal rows, combined before the shuffle: one of them.
+    one = kept.groupBy("k_hash", "r_id").agg(F.max(F.struct(*flat.columns)).alias("row"))
+    return one.select(*[f"row.{c}" for c in flat.columns]).toDF(*cols)
