@@ -78,7 +78,8 @@ def type_coverage(df: DataFrame, spec: dict) -> DataFrame:
     ``n_unparsable`` (values the declared date/float/int standardiser
     rejects; 0 for classes that cannot fail). The parse check runs the
     standardisers in quarantine mode; all counts come from one aggregate
-    (partial per task, one row per task shuffled)."""
+    (partial per task, one row per task shuffled). Declared float columns
+    need their flags first, which is one more aggregate, run by this call."""
     from . import standardize as S
 
     pairs = declared_classes(spec)

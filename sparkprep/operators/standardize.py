@@ -97,8 +97,8 @@ def float_flags(df: DataFrame, cols: list[str]) -> dict[str, dict[str, int]]:
 
 def floats(df: DataFrame, cols: list[str], optional: int = 1, decimal: str | None = None,
            on_error: str = "fail", flags: dict[str, dict[str, int]] | None = None) -> DataFrame:
-    """C3. The column-wide flags come from one aggregate over the input, or
-    are given (declared in the spec, e.g. on a stream). They enter the plan
+    """C3. The column-wide flags come from one aggregate over the input, run
+    by this call (keep an input that is costly to read again), or are given (declared in the spec, e.g. on a stream). They enter the plan
     as literals, so the optimizer folds away the rules that do not apply and
     the rows are transformed in one pass of narrow projections: no join, no
     shuffle of rows."""
