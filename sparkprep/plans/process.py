@@ -30,10 +30,16 @@ log = logging.getLogger(__name__)
 
 
 def standardize_table(df: DataFrame, data_types: dict, mask_data: dict | None = None,
-                      on_error: str = "fail") -> DataFrame:
+                      on_error: str = "fail", keep_input: bool = False) -> DataFrame:
     """wildcards -> coverage warnings -> dates, floats, tax ids, strings,
     ints, client numbers -> mask -> names. A column listed under two classes
-    is transformed twice, as in the reference."""
+    is transformed twice, as in the reference.
+
+    Float flags, dictionaries and the output each read the input. With
+    ``keep_input`` an input that is costly to read again (parsed text, a join)
+    is written once to the shared folder, and each reads the columns it needs."""
+    if keep_input and (data_types.get("float_cols") or mask_data):
+        df = materialize(df)
     spec = NM.expand_wildcards(data_types, df.columns)
     declared: dict[str, int] = {}
     for c, _ in NM.declared_classes(spec):
@@ -261,11 +267,7 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
                                    multi_line=bool(load.get("multi_line")), long_rows=load.get("long_rows", "drop"), **cells)
         df = H.drop_unnamed(df)
 
-    if types.get("float_cols") or spec.get("mask_data"):
-        # Float flags, dictionaries and the output each read the input: it is
-        # parsed and repaired once, and each reads the columns it needs.
-        df = materialize(df)
-    df = standardize_table(df, types, spec.get("mask_data"), on_error)
+    df = standardize_table(df, types, spec.get("mask_data"), on_error, keep_input=True)
     file_type, delimiter = save.get("file_type", "parquet"), save.get("delimiter", ",")
     SN.write_snapshot(df, save["path"], save["tag"], date_tag, product, date_part, file_type, delimiter)
     return RunResult("written", date_tag, out_path, SN.read_snapshot(spark, out_path, date_tag, file_type, delimiter))

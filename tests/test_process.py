@@ -205,9 +205,9 @@ def test_input_is_parsed_once(spark, monkeypatch):
     spec["data_types"]["float_cols"] = "amount"
     spec["mask_data"] = {"references_path": f"{base}/refs", "mask_cols": {"name": "names"}}
     seen = []
-    monkeypatch.setattr(P, "standardize_table", lambda df, *a, f=P.standardize_table: (seen.append(df.inputFiles()), f(df, *a))[1])
+    monkeypatch.setattr(P.S, "transform", lambda df, *a, f=P.S.transform, **k: (seen.append(df.inputFiles()), f(df, *a, **k))[1])
     res = P.process_source(spark, spec, src_time="20240102_000000")
-    assert seen and all("/side/" in f for f in seen[0])
+    assert seen and all("/side/" in f for files in seen for f in files)
     assert res.data.first().amount == 1.5
 
 
