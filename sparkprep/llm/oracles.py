@@ -32,3 +32,18 @@ k AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / s
 c AS (SELECT *, cast(floor(rate) + floor(k * (rate - floor(rate)) + u) - floor((k - 1) * (rate - floor(rate)) + u) AS bigint) AS n_copies FROM k)
 SELECT doc_id, cast(size AS bigint) AS size, source_size, target, cast(size * n_copies AS bigint) AS taken, n_copies FROM c
 """
+
+ORACLE_SQL["op10_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+win AS (SELECT doc_id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS t
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS p FROM d)),
+start AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY t) AS least FROM win) WHERE least < doc_id),
+mark AS (SELECT word.*, max(start.p) OVER (PARTITION BY word.doc_id ORDER BY word.p) AS last
+  FROM word LEFT JOIN start ON word.doc_id = start.doc_id AND word.p = start.p),
+kept AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE last >= p - 49) AS n_removed,
+    string_agg(word, ' ' ORDER BY p) FILTER (WHERE last IS NULL OR last < p - 49) AS t
+  FROM mark GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
