@@ -11,8 +11,6 @@ from ..session import materialize
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

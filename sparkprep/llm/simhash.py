@@ -7,8 +7,8 @@ Search. Of two halves of 32 bits, one differs in ``bits // 2`` bits or less.
 For each half every distinct fingerprint emits all variants of the half within
 half of that radius: two halves that are close meet in a variant between them.
 The variants are shuffled, and fingerprints that meet are compared in all 64
-bits. With 4 bits a fingerprint emits 66 short rows. (Balls around the whole
-fingerprint would need 2,081 rows, some 30 KB for a document.)
+bits. With 4 bits a fingerprint emits 66 short rows. Balls around the whole
+fingerprint (``pieces=1``) take 2,081 rows, some 30 KB for a document.
 
 Fingerprints that share a variant are never paired row by row: a run is
 searched breadth first, each found member compared at once with those not yet
@@ -38,6 +38,8 @@ BLOCK = 8192
 #: Runs up to this are compared pair by pair, all runs of a batch at once.
 SMALL = 8
 HALF = 32
+#: Pieces of a fingerprint whose variants are shuffled: 2 halves, or 1 for the whole.
+PIECES = 2
 
 
 def fingerprint(text: bytes, words: int, seed: int = SEED, chunk: int = 1 << 15) -> bytes:
@@ -77,15 +79,20 @@ def fingerprints(df: DataFrame, words: int, id_col: str = "doc_id", text_col: st
     return docs.mapInArrow(task, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
-def variants(fps: DataFrame, bits: int) -> DataFrame:
-    """(key, fp): every variant within the half radius, for both halves."""
-    radius = (bits // 2 + 1) // 2
-    masks = [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(HALF), r)]
-    low = F.col("fp").bitwiseAND(F.lit((1 << HALF) - 1))
-    high = F.shiftrightunsigned("fp", HALF)
-    of = lambda half, tag: F.transform(
-        F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: half.bitwiseXOR(m).bitwiseOR(F.lit(tag << HALF)))
-    return fps.select(F.explode(F.concat(of(low, 0), of(high, 1))).alias("key"), "fp")
+def variants(fps: DataFrame, bits: int, pieces: int = PIECES) -> DataFrame:
+    """(key, fp): for each piece of the fingerprint (two halves, or one whole)
+    every variant within half the radius that a close pair keeps in some piece."""
+    width, radius = 64 // pieces, (bits // pieces + 1) // 2
+    masks = [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(width), r)]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    flips = F.array(*[F.lit(signed(m)).cast("long") for m in masks])
+    around = lambda value: F.transform(flips, lambda m: value.bitwiseXOR(m))
+    if pieces == 1:
+        return fps.select(F.explode(around(F.col("fp"))).alias("key"), "fp")
+    low, high = F.col("fp").bitwiseAND(F.lit((1 << HALF) - 1)), F.shiftrightunsigned("fp", HALF)
+    # A bit above the half tells the halves apart.
+    keys = F.concat(around(low), around(high.bitwiseOR(F.lit(1 << HALF))))
+    return fps.select(F.explode(keys).alias("key"), "fp")
 
 
 def _linked(run: np.ndarray, bits: int):
@@ -136,7 +143,7 @@ def _meet(bits: int, block: int):
             a.append(x)
             b.append(y)
         x, y = np.concatenate(a or [fps[:0]]), np.concatenate(b or [fps[:0]])
-        return out(x, y, np.full(len(x), -1, np.int64), np.zeros(len(x), np.int32))
+        return out(x, y, np.zeros(len(x), np.int64), np.full(len(x), -1, np.int32))
 
     def task(batches):
         keys, fps, parts = np.empty(0, np.int64), np.empty(0, np.uint64), 0
@@ -170,14 +177,14 @@ def _meet(bits: int, block: int):
     return task
 
 
-def link_fingerprints(fps: DataFrame, bits: int, block: int = BLOCK) -> DataFrame:
+def link_fingerprints(fps: DataFrame, bits: int, block: int = BLOCK, pieces: int = PIECES) -> DataFrame:
     """(a, b): links that connect just the fingerprints of one component.
     ``fps`` has distinct values of fp."""
-    met = variants(fps, bits).repartition("key").sortWithinPartitions("key", "fp")
+    met = variants(fps, bits, pieces).repartition("key").sortWithinPartitions("key", "fp")
     met = materialize(met.mapInArrow(_meet(bits, block), "a bigint, b bigint, key bigint, part int"))
-    links = met.where("key < 0").select("a", "b")
+    links = met.where("part < 0").select("a", "b")
     # Members of long runs: every pair of blocks becomes a group.
-    members = met.where("key >= 0").select("key", F.col("a").alias("fp"), "part")
+    members = met.where("part >= 0").select("key", F.col("a").alias("fp"), "part")
     lengths = members.groupBy("key").agg(F.max("part").alias("last"))
     other = members.join(lengths, "key").where("last > 0").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("last")))).where("other <> part")
@@ -192,13 +199,14 @@ def link_fingerprints(fps: DataFrame, bits: int, block: int = BLOCK) -> DataFram
     return links.unionByName(pairs.groupBy("key", "lo", "hi").applyInArrow(both, "a bigint, b bigint"))
 
 
-def near_duplicates(df: DataFrame, words: int = 4, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, words: int = 4, bits: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                    pieces: int = PIECES) -> DataFrame:
     """doc_id, text_hash, fp, component_id for each row."""
     if not 0 <= bits < HALF:
         raise ValueError("bits must be from 0 to 31")
     docs = materialize(fingerprints(df, words, id_col, text_col))
     nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = materialize(components(link_fingerprints(nodes.select("fp"), bits)))
+    roots = materialize(components(link_fingerprints(nodes.select("fp"), bits, pieces=pieces)))
     named = roots.join(nodes, roots["node"] == nodes["fp"])
     # Written, so that Spark can split a hot component's side of the join.
     names = materialize(named.groupBy("root").agg(F.min("first_id").alias("component_id")))

@@ -58,8 +58,8 @@ def test_against_all_pairs(spark):
     assert {d: c for d, (_, c) in got.items()} == plain_components(want, 4)
 
 
-@pytest.mark.parametrize("block", [3, 8192])
-def test_ball_of_fingerprints(spark, block):
+@pytest.mark.parametrize("block,pieces,bits", [(3, 2, 4), (8192, 2, 4), (8192, 1, 4), (40, 1, 3), (8192, 2, 7), (8192, 2, 0)])
+def test_ball_of_fingerprints(spark, block, pieces, bits):
     """A dense ball of fingerprints; small blocks force the block-pair path."""
     rnd = random.Random(1)
     fps = set()
@@ -71,10 +71,8 @@ def test_ball_of_fingerprints(spark, block):
             fps.add(x)
     fps = {i: x for i, x in enumerate(sorted(fps))}
     df = spark.createDataFrame([(int(np.uint64(x).astype(np.int64)),) for x in fps.values()], "fp bigint")
-    old = simhash.SMALL
-    links = simhash.link_fingerprints(df, 4, block)
+    links = simhash.link_fingerprints(df, bits, block, pieces)
     back = {int(np.uint64(x).astype(np.int64)): i for i, x in fps.items()}
-    assert old == simhash.SMALL
     label = {i: i for i in fps}
     pairs = [(back[r.a], back[r.b]) for r in links.collect()]
     changed = True
@@ -85,7 +83,7 @@ def test_ball_of_fingerprints(spark, block):
             if label[a] != low or label[b] != low:
                 label[a] = label[b] = low
                 changed = True
-    assert label == plain_components(fps, 4)
+    assert label == plain_components(fps, bits)
 
 
 def test_long_chain_of_links(spark):
