@@ -169,7 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
             shapes = [np.array(statistics(t)[1]).tobytes() for t in strings(piece.column("text"))]
             yield pa.RecordBatch.from_arrays([piece.column("quality").cast(pa.int32()), pa.array(shapes, pa.binary())], ["y", "x"])
 
-    got = rows.mapInArrow(task, "y int, x binary").orderBy("y", "x").collect()
+    # In one order whatever the tasks' order, so that sums come out the same.
+    got = sorted(rows.mapInArrow(task, "y int, x binary").collect(), key=lambda r: (r.y, bytes(r.x)))
     x = np.array([np.frombuffer(r.x) for r in got]).reshape(len(got), len(FEATURES))
     return boost(x, np.array([r.y > 0 for r in got], float), {FEATURES.index(f) for f in FALLING})
 
