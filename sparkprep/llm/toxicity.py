@@ -213,7 +213,9 @@ def train(labelled: DataFrame, junk: Column, toxic: Column, id_col: str = "doc_i
                                              ["fold", "junk", "toxic", "x"])
 
     got = rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int"))
-    got = got.mapInArrow(task, "fold int, junk int, toxic int, x binary").orderBy("fold", "junk", "toxic", "x").collect()
+    got = got.mapInArrow(task, "fold int, junk int, toxic int, x binary").collect()
+    # In one order whatever the tasks' order, so that sums come out the same.
+    got.sort(key=lambda r: (r.fold, r.junk, r.toxic, bytes(r.x)))
     x = np.array([np.frombuffer(r.x, "<f4") for r in got], np.float64).reshape(len(got), len(words) + 5)
     fold = np.array([r.fold for r in got], int)
     y = np.array([(r.junk, r.toxic) for r in got], float).reshape(len(got), 2)
