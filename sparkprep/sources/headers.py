@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from itertools import accumulate
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: lis
 
     # The two header lines are the first lines of the first file by name,
     # where the numbering across files begins too.
-    first = min(_scan(spark, path, encoding).inputFiles())
+    first = unquote(min(_scan(spark, path, encoding).inputFiles()))  # Spark lists paths URL-encoded
     head = [r["line"] for r in _scan(spark, first, encoding).select("line").limit(2).collect()]
     if len(head) < 2:
         raise ValueError("a two-row header needs two header lines")

@@ -140,8 +140,8 @@ def test_raw_lines_blank_lines_in_any_charset(spark):
 
 def test_two_row_header_on_a_folder(spark):
     """The header is in the first file by name, also if a later one is larger."""
-    d = tempfile.mkdtemp(prefix="sparkprep-src-")
-    with open(os.path.join(d, "a.csv"), "w") as f:
+    d = tempfile.mkdtemp(prefix="sparkprep %41 src-")
+    with open(os.path.join(d, "a b.csv"), "w") as f:
         f.write("Sales 2019,,Sales 2020,\nq1,q2,q1,q2\n")
     with open(os.path.join(d, "b.csv"), "w") as f:
         f.writelines(f'{i},"say ""{i}""",{i},4\n' for i in range(2000))
