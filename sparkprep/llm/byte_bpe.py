@@ -30,7 +30,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import Memo, exact, slices, strings
+from .common import Memo, bounded_batches, exact, slices, strings
 
 REMEMBERED = 800_000
 #: White space other than single blanks and line feeds between other characters.
@@ -219,6 +219,7 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
 
 
 def _run(df, ranks_path, pattern, id_col, value_col, schema, work) -> DataFrame:
+    bounded_batches(df)
     rows = exact(df, doc_id=id_col, text=value_col)
     tokens = read_ranks(ranks_path)
     shared = df.sparkSession.sparkContext.broadcast((tokens, PerfectHash(tokens)))

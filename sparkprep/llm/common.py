@@ -60,6 +60,19 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int) -> DataF
     return exact(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
 
 
+#: Text that goes to a Python worker in one Arrow batch.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Has the session cut Arrow batches by bytes: ten thousand rows, Spark's
+    own measure, are too much memory where texts are long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(key) != str(BATCH_BYTES):
+        conf.set(key, str(BATCH_BYTES))
+
+
 def slices(batches, max_bytes: int = 4 << 20, text_col: str = "text"):
     """Arrow record batches cut into pieces of about ``max_bytes`` of text, so
     that what a task holds beside a batch stays small."""

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import exact, labelled_documents, slices, strings
+from .common import bounded_batches, exact, labelled_documents, slices, strings
 
 SAMPLE = 8000
 WINDOW = 5
@@ -160,6 +160,7 @@ def _split(binned, g, h, falling, low, high, ridge, least, bins):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
+    bounded_batches(docs)
     rows = labelled_documents(docs, labels, sample)
 
     def task(batches):
@@ -177,6 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
 
 def judge(df: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """doc_id, the base counts, base_failed, p_good, kept for each row."""
+    bounded_batches(df)
     docs = exact(df, doc_id=id_col, text=text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

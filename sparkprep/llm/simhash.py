@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import exact, slices, texts
+from .common import bounded_batches, exact, slices, texts
 from .components import components
 
 SEED = 42
@@ -65,6 +65,7 @@ def fingerprint(text: bytes, words: int, seed: int = SEED, chunk: int = 1 << 15)
 
 def fingerprints(df: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, fp (the 64 bits as a signed number) for each row."""
+    bounded_batches(df)
     docs = exact(df, doc_id=id_col, text=text_col).withColumn("text_hash", F.xxhash64("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

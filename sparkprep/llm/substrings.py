@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SPACE_CLASS, exact, slices, texts
+from .common import SPACE_CLASS, bounded_batches, exact, slices, texts
 
 WINDOW = 50
 PREFIX = 8
@@ -286,6 +286,7 @@ def _remove(batches):
 
 
 def _found(df: DataFrame, id_col: str, text_col: str, window: int, prefix: int, hot: int):
+    bounded_batches(df)
     docs = exact(df, doc_id=id_col, text=text_col).withColumns(
         {"rid": F.xxhash64("doc_id", "text"), "ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))})
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, exact, slices, strings
+from .common import Memo, bounded_batches, exact, slices, strings
 
 BLANK = "▁"
 FAR = np.int64(1) << 62
@@ -184,6 +184,7 @@ def count_tokens(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     """doc_id, n_bytes, n_tokens, over_limit for each row. The model is read
     on the driver and sent to the tasks (its size is the vocabulary's)."""
     spark: SparkSession = df.sparkSession
+    bounded_batches(df)
     docs = exact(df, doc_id=id_col, text=text_col)
     model = spark.sparkContext.broadcast(read_model(model_path))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import Memo, exact, labelled_documents, slices, strings
+from .common import Memo, bounded_batches, exact, labelled_documents, slices, strings
 
 SAMPLE = 8000
 WORDS = 200
@@ -199,6 +199,7 @@ def train(labelled: DataFrame, junk: Column, toxic: Column, id_col: str = "doc_i
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                            junk.cast("int").alias("junk"), toxic.cast("int").alias("toxic"))
     rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL AND junk IS NOT NULL AND toxic IS NOT NULL")
+    bounded_batches(labelled)
     rows = materialize(rows)
     words = select_words(rows, ["junk", "toxic"])
     model = Chain(CHAIN, {w: i for i, w in enumerate(words)}, np.zeros(5), np.ones(5))
@@ -233,6 +234,7 @@ def train(labelled: DataFrame, junk: Column, toxic: Column, id_col: str = "doc_i
 
 def score(df: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, a probability for each category, toxic, kept."""
+    bounded_batches(df)
     docs = exact(df, doc_id=id_col, text=text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -251,6 +253,7 @@ def score(df: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str = "
 
 def drop_toxic(df: DataFrame, model: Chain, text_col: str = "text") -> DataFrame:
     """The rows that are not rejected, with their columns; each text is scored where its row is."""
+    bounded_batches(df)
     place, cols = df.columns.index(text_col), df.columns
     flat = df.toDF(*[f"c{k}" for k in range(len(cols))])
     toxic = CHAIN.index("toxic")
