@@ -90,6 +90,16 @@ def slices(batches, max_bytes: int = 4 << 20, text_col: str = "text"):
             yield batch.slice(start)
 
 
+_ASCII_OTHERS = bytes(c for c in range(128) if not 65 <= c <= 90)
+
+
+def capitals(text: str) -> int:
+    """Upper case letters among all characters of a text."""
+    if text.isascii():
+        return len(text.encode().translate(None, _ASCII_OTHERS))
+    return sum(map(str.isupper, text))
+
+
 class Memo(dict):
     """A bounded table of results by key; emptied when full."""
 

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, exact, labelled_documents, slices, strings
+from .common import bounded_batches, capitals, exact, labelled_documents, slices, strings
 
 SAMPLE = 8000
 WINDOW = 5
@@ -67,7 +67,7 @@ def statistics(text: str) -> tuple[list[int], list[float]]:
     lines = [x for x in text.split("\n") if x.strip(BLANKS)]
     dup, rep = len(lines) - len(set(lines)), repeated_words(words)
     letters = text.translate(_NO_MARKS)
-    upper, digits = sum(map(str.isupper, text[::5])) * 5, sum(map(text.count, "0123456789"))
+    upper, digits = capitals(text), sum(map(text.count, "0123456789"))
     short = sum(len(x) < 30 for x in lines)
     shape = [np.log1p(n), chars / max(n, 1), symbols / max(chars, 1), dup / max(len(lines), 1), rep / max(n, 1),
              len(set(words)) / max(n, 1), upper / max(chars, 1), digits / max(chars, 1),

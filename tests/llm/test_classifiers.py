@@ -179,3 +179,10 @@ def test_quality_on_labels(spark):
     assert quality.judge(spark.createDataFrame([], SCHEMA), trees).collect() == []
     clash = df.select("*", F.lit("x").alias("n_words"), F.lit("y").alias("Text"), F.lit(1).alias("kept"))
     assert quality.judge(clash, trees).count() == 900
+
+
+def test_quality_counts_capitals_of_the_whole_text():
+    at = quality.FEATURES.index("upper_share")
+    for text, share in (("aBBBBaBBBBaa", 8 / 12), ("Baaaa", 0.2), ("xÄÉßxx", 2 / 6), ("", 0.0), ("@[`{AZ", 2 / 6)):
+        assert quality.statistics(text)[1][at] == pytest.approx(share)
+        assert quality.statistics(" " + text)[1][at] == pytest.approx(share)
