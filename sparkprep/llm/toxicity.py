@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import Memo, bounded_batches, exact, labelled_documents, slices, strings
+from .common import Memo, bounded_batches, capitals, exact, labelled_documents, slices, strings
 
 SAMPLE = 8000
 WORDS = 200
@@ -61,7 +61,7 @@ def _shape(text: str, words: list[str]) -> list[float]:
     n, letters = len(words), sum(map(len, words))
     blanks = text.count(" ") + text.count("\n")
     return [np.log1p(n), letters / (n + 1), len(set(words)) / (n + 1),
-            (len(text) - letters - blanks) / (len(text) + 1), sum(map(str.isupper, text[::7])) / (len(text) / 7 + 1)]
+            (len(text) - letters - blanks) / (len(text) + 1), capitals(text) / (len(text) + 1)]
 
 
 @dataclass

@@ -186,3 +186,9 @@ def test_quality_counts_capitals_of_the_whole_text():
     for text, share in (("aBBBBaBBBBaa", 8 / 12), ("Baaaa", 0.2), ("xÄÉßxx", 2 / 6), ("", 0.0), ("@[`{AZ", 2 / 6)):
         assert quality.statistics(text)[1][at] == pytest.approx(share)
         assert quality.statistics(" " + text)[1][at] == pytest.approx(share)
+
+
+def test_toxicity_counts_capitals_of_the_whole_text():
+    for text, n in (("aBBBBBBaBBBBBBa", 12), ("Baaaaaa", 1), ("xÄÉßxx", 2), ("", 0)):
+        assert toxicity._shape(text, [])[-1] == pytest.approx(n / (len(text) + 1))
+        assert toxicity._shape(" " + text, [])[-1] == pytest.approx(n / (len(text) + 2))
