@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, class_lm, exact_dedup, html_text, mixing, quality, simhash, substrings, token_counts, toxicity
+from ..session import materialize, work_path
+from . import (byte_bpe, class_lm, exact_dedup, html_text, merkle, mixing, quality, sequence_files, simhash, substrings, token_counts,
+               toxicity, turns)
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -79,3 +81,21 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(table(spark, sf_dir, "conversations")), table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sequence_files.write_sequences(table(spark, sf_dir, "documents"), work_path(spark, "sequences", unique=True),
+                                          tokenizer_path("byte_bpe_50k.json"))
+    found = sequence_files.with_starts(materialize(sequence_files.read_documents(spark, path)))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed_text=merkle.without_line_feeds("doc_id", "text"))
