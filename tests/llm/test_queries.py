@@ -25,6 +25,11 @@ COLUMNS = {
     "op8_quality": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
                     "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op9_toxicity": {"doc_id": "bigint", "toxic": "boolean", "kept": "boolean"},
+    "op11_conversation_repair": {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint",
+                                 "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
+    "op12_sequence_files": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op13_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string",
+                             "folded_root": "string", "verified": "boolean"},
     "op10_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
 }
 
@@ -54,8 +59,9 @@ def test_names():
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_one_row_for_each_row(spark, sf_dir, result, name):
-    table, key = ("pages", "page_id") if name == "op3_html_text" else ("documents", "doc_id")
-    want = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key).collect())
+    table, key = {"op3_html_text": ("pages", "page_id"), "op11_conversation_repair": ("conversations", "conv_id")}.get(name, ("documents", "doc_id"))
+    ids = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key)
+    want = sorted(r[0] for r in (ids.distinct() if table == "conversations" else ids).collect())
     assert sorted(r[key] for r in result(name)) == want
 
 

@@ -112,7 +112,7 @@ def every_script(kinds):
             last, cost, roles = "", 0, ""
             for n, op, kind in itertools.zip_longest(ins, ops, kinds):
                 for _ in range(n):
-                    last = names[last]
+                    last = names.get(last, "u")
                     roles, cost = roles + last, cost + 3
                 if op is None:
                     break
