@@ -5,8 +5,8 @@ followed by an end id, and packs the ids one after the other into sequences of
 ``length`` ids. A file is an Arrow IPC file: batches of ``BATCH`` sequences with
 
 * ``ids``: fixed-size list of unsigned integers (16 bits if all ids fit),
-* ``mask``: fixed-size list of bytes, 1 for an id, 0 for the padding that fills
-  a file's last sequence,
+* ``mask``: fixed-size list of bits, true for an id, false for the padding that
+  fills a file's last sequence,
 * ``docs``: the documents that begin in the sequence, as (doc_id, place of the
   first id in the file).
 
@@ -23,51 +23,198 @@ and then the line separator, which here is the closing mark of Arrow files.
 
 Results for the cases at the edge: a null text is empty and gives the end id
 alone; null ids come first; equal ids are ordered by a hash of their text;
-repeated rows are encoded each; a text of more than a million characters is
-encoded in pieces, cut before a blank between two other characters, where the
-vocabulary's pattern always begins a pre-token; an empty table gives no file
+repeated rows are encoded each; very long texts go to the library in pieces (see
+``Encoder``); an empty table gives no file
 with sequences and no rows; further columns are not looked at."""
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import zlib
+from array import array
 from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, exact, slices, strings
+from .common import Memo, bounded_batches, exact, slices, strings
 
 LENGTH = 2048
 FILE_IDS = 1 << 22
 #: Sequences of a batch.
 BATCH = 256
-#: Text that goes to the tokenizer at once; an encoding takes some hundred bytes an id.
-PIECE_BYTES = 1 << 18
+#: Text that a task encodes at once.
+PIECE_BYTES = 1 << 23
+#: What a worker remembers of pieces, besides their number.
+REMEMBERED_BYTES = 1 << 25
 LONG_TEXT = 1 << 20
+LONG_PIECE = 1 << 18
 #: Fixed value: what an Arrow file ends with.
 CLOSING = "ARROW1"
 
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
-_TOKENIZERS: dict[str, object] = {}
+#: White space beside white space; a blank within or at the end of such a run.
+_RUN = re.compile(r"\s\s")
+_WORD = re.compile(r" \S+")
+_BLANK_IN_RUN = re.compile(r"\s (?:\s|\Z)")
 
 
-def _tokenizer(text: str):
-    if text not in _TOKENIZERS:
+class Encoder:
+    """The library's ids of texts, from its ids of their pieces.
+
+    The byte-level pattern begins a pre-token at a blank or line feed that stands
+    between two other characters, and at the last blank of a run of white space;
+    merges don't cross pre-tokens. So a text is cut there, and the library
+    encodes each distinct piece once for as long as a worker remembers it. A text
+    with a blank elsewhere in a run is encoded whole, as all texts are if the
+    tokenizer isn't of this kind. A long one is then still cut, before blanks
+    between two visible characters, as an encoding takes some hundred bytes an id."""
+
+    def __init__(self, definition: str, id_type: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
 
-        _TOKENIZERS.clear()
-        _TOKENIZERS[text] = Tokenizer.from_str(text)
-    return _TOKENIZERS[text]
+        self.tokenizer = Tokenizer.from_str(definition)
+        told = json.loads(definition)
+        before = told.get("pre_tokenizer") or {}
+        self.cuts = (told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                     and not before.get("add_prefix_space") and told.get("truncation") is None and told.get("padding") is None
+                     and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])
+                                 for t in told.get("added_tokens", [])))
+        self.id_type, self.code = id_type, {"<u2": "H", "<u4": "I"}[id_type]
+        if self.cuts:
+            # A byte-level token has a character for each byte.
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.sizes = np.zeros(max(vocabulary.values()) + 2, np.int64)
+            for token, i in vocabulary.items():
+                self.sizes[i] = len(token)
+        self.added = [t["content"] for t in told.get("added_tokens", [])]
+        # Pieces of plain texts, as an Arrow array with the ids of all in one; others in a table.
+        import pyarrow as pa
+
+        self.remembered, self.known = remembered, Memo(remembered // 4)
+        self.pieces, self.flat, self.size = pa.array([], pa.large_string()), np.zeros(0, id_type), np.zeros(0, np.int64)
+        self.marks = dict(zip(".,;:!?", self._library(list(".,;:!?"))))
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words with a blank before them, as one text for the
+        library; a token's bytes tell where the words end."""
+        out = []
+        for at in range(0, len(words), 1024):
+            some = words[at:at + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.id_type)
+            ends = np.cumsum([len(w.encode()) for w in some])
+            ends = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()
+            out += [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of these distinct pieces."""
+        new = set(pieces).difference(self.known)
+        if self.known.full(len(new)):
+            new = set(pieces)
+        new = list(new)
+        self.known.update(zip(new, self._encode(new) if self.cuts else self._library(new)))
+        out = [self.known[p] for p in pieces]
+        for p in new:
+            if len(p) > 256:
+                del self.known[p]
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian integers of ``id_type``."""
+        out: list = [None] * len(texts)
+        plain = [i for i, t in enumerate(texts) if self.cuts and not _RUN.search(t)]
+        for i, ids in zip(plain, self._plain([texts[i] for i in plain]) if plain else ()):
+            out[i] = ids
+        parts = {}
+        for i, t in enumerate(texts):
+            if out[i] is None:
+                if self.cuts and not _BLANK_IN_RUN.search(t):
+                    head, *rest = t.split(" ")
+                    parts[i] = [head, *(" " + p for p in rest)]
+                else:
+                    parts[i] = list(_pieces(t)) if self.cuts else [t]
+        every = list(set().union(*parts.values()))
+        known = dict(zip(every, self._ids(every)))
+        for i, ps in parts.items():
+            out[i] = b"".join(map(known.__getitem__, ps))
+        return out
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Texts without white space beside white space: each blank and line feed
+        begins a piece. Arrow splits the texts and numbers the distinct pieces;
+        numpy puts their ids in the texts' order."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        firsts, pieces = split.offsets.to_numpy(), split.flatten()
+        coded = pc.dictionary_encode(pieces)
+        places = self._remember(coded.dictionary)
+        # What a text begins with has no blank before it.
+        heads = pieces.take(pa.array(firsts[:-1])).to_pylist()
+        every = dict.fromkeys(heads)
+        every = dict(zip(every, self._ids(list(every))))
+        first = [every[h] for h in heads]
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(first), self.id_type)])
+        size = np.concatenate([self.size, np.fromiter(map(len, first), np.int64, len(first)) // flat.itemsize])
+        begin = np.cumsum(size) - size
+        index = places[coded.indices.to_numpy()]
+        index[firsts[:-1]] = len(self.size) + np.arange(len(first))
+        taken = size[index]
+        ends = np.cumsum(taken)
+        ids = flat[np.repeat(begin[index] - (ends - taken), taken) + np.arange(ends[-1])] if len(ends) else flat[:0]
+        cuts = np.concatenate([[0], ends])[firsts].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _remember(self, pieces) -> np.ndarray:
+        """The places of distinct pieces in what the worker remembers: pieces that
+        have a blank before them unless they begin with a line feed. Those that
+        are new are encoded; if they don't fit, only the pieces asked for stay."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.pieces), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(self.pieces) + len(new) > self.remembered or self.pieces.nbytes > REMEMBERED_BYTES:
+            kept = at[at >= 0]
+            begin = (np.cumsum(self.size) - self.size)[kept]
+            size = self.size[kept]
+            ends = np.cumsum(size)
+            self.flat = self.flat[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])] if len(ends) else self.flat[:0]
+            self.pieces, self.size = self.pieces.take(pa.array(kept)), size
+            at[at >= 0] = np.arange(len(kept))
+        if len(new):
+            at[new] = len(self.pieces) + np.arange(len(new))
+            found = self._encode([p if p[:1] == "\n" else " " + p for p in pieces.take(pa.array(new)).to_pylist()])
+            self.pieces = pa.concat_arrays([self.pieces, pieces.take(pa.array(new))])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), self.id_type)])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, found), np.int64, len(found)) // self.flat.itemsize])
+        return at
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces. A mark after a letter or digit is a
+        pre-token of its own, so marked words cost no more than the words."""
+        stems = {p: p[:-1] for p in pieces if p[-1:] in self.marks and p[-2:-1].isalnum()}
+        every = [*{p for p in pieces if p not in stems} | set(stems.values())]
+        words = [p for p in every if _WORD.fullmatch(p) and not any(t in p for t in self.added)]
+        found = dict(zip(words, self._words(words)))
+        rest = [p for p in every if p not in found]
+        found.update(zip(rest, self._library(rest)))
+        return [found[stems[p]] + self.marks[p[-1]] if p in stems else found[p] for p in pieces]
 
 
 def _pieces(text: str):
     """A long text cut where a pre-token always begins; others whole."""
     start = 0
     while len(text) - start > LONG_TEXT:
-        cut = _CUT.search(text, start + PIECE_BYTES)
+        cut = _CUT.search(text, start + LONG_PIECE)
         if cut is None:
             break
         yield text[start:cut.start()]
@@ -75,17 +222,16 @@ def _pieces(text: str):
     yield text[start:] if start else text
 
 
-def encode(tokenizer, texts: list[str]) -> list[np.ndarray]:
-    """The library's ids of each text, without begin, end or padding."""
-    out: list = [None] * len(texts)
-    short = [i for i, t in enumerate(texts) if len(t) <= LONG_TEXT]
-    for i, e in zip(short, tokenizer.encode_batch_fast([texts[i] for i in short], add_special_tokens=False)):
-        out[i] = np.array(e.ids, "<u4")
-    for i, t in enumerate(texts):
-        if out[i] is None:
-            out[i] = np.concatenate([np.array(tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids, "<u4")
-                                     for p in _pieces(t)])
-    return out
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def _encoder(definition: str, id_type: str) -> Encoder:
+    """A worker's encoder, found by what the tokenizer is, not by its path."""
+    key = (hashlib.sha256(definition.encode()).digest(), id_type)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(definition, id_type)
+    return _ENCODERS[key]
 
 
 def _file(ids: list[np.ndarray], doc_ids: list, doc_type, id_type, length: int, range_no: int, file_no: int) -> bytes:
@@ -98,13 +244,12 @@ def _file(ids: list[np.ndarray], doc_ids: list, doc_type, id_type, length: int,
     rows = -(-total // length)
     flat = np.zeros(rows * length, id_type)
     np.concatenate(ids, out=flat[:total], casting="unsafe")
-    mask = np.zeros(rows * length, "u1")
-    mask[:total] = 1
+    mask = pa.array(np.arange(rows * length) < total)
     first = np.searchsorted(places, np.arange(rows + 1) * length).astype("i4")
     docs = pa.ListArray.from_arrays(pa.array(first), pa.StructArray.from_arrays(
         [pa.array(doc_ids, doc_type), pa.array(places)], ["doc_id", "place"]))
     batch = pa.RecordBatch.from_arrays(
-        [pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.FixedSizeListArray.from_arrays(pa.array(mask), length), docs],
+        [pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.FixedSizeListArray.from_arrays(mask, length), docs],
         ["ids", "mask", "docs"])
     batch = batch.replace_schema_metadata({"range": str(range_no), "file": str(file_no)})
     sink = pa.BufferOutputStream()
@@ -131,23 +276,22 @@ class SequenceFile:
     def __len__(self) -> int:
         return self._len
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of the i-th sequence, as views on the file."""
+    def __getitem__(self, i: int):
+        """Ids (a numpy array) and mask (an Arrow array of bits) of the i-th
+        sequence, both views on the file."""
         if not -self._len <= i < self._len:
             raise IndexError(i)
         batch, row = divmod(i % self._len, BATCH)
-        return tuple(self._values(batch, c)[row * self.length:(row + 1) * self.length] for c in (0, 1))
-
-    def _values(self, batch: int, column: int) -> np.ndarray:
-        return self._file.get_batch(batch).column(column).flatten().to_numpy(zero_copy_only=True)
+        ids, mask = (self._file.get_batch(batch).column(c).flatten().slice(row * self.length, self.length) for c in (0, 1))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def documents(self):
         """(doc_id, place, ids) of every document, in order. A document that
         lies in one batch is a view on the file."""
         held, begun = [], None
         for b in range(self._batches):
-            ids, mask = self._values(b, 0), self._values(b, 1)
-            ids = ids[:int(np.count_nonzero(mask))]
+            ids, mask = (self._file.get_batch(b).column(c).flatten() for c in (0, 1))
+            ids = ids.to_numpy(zero_copy_only=True)[:mask.true_count]
             base = b * BATCH * self.length
             docs = self._file.get_batch(b).column(2).flatten()
             keys, places = docs.field("doc_id").to_pylist(), docs.field("place").to_pylist()
@@ -172,7 +316,7 @@ def write_sequences(df: DataFrame, path: str, tokenizer_path: str, end_id: int =
     bounded_batches(df)
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
-    most = max(_tokenizer(definition).get_vocab_size(with_added_tokens=True), end_id + 1)
+    most = max(_encoder(definition, "<u4").tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
     id_type = "<u2" if most <= 1 << 16 else "<u4"
     shared = df.sparkSession.sparkContext.broadcast(definition)
     rows = exact(df, doc_id=id_col, text=text_col)
@@ -187,9 +331,9 @@ def write_sequences(df: DataFrame, path: str, tokenizer_path: str, end_id: int =
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = _tokenizer(shared.value)
+        encoder = _encoder(shared.value, id_type)
         no, part = 0, TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], id_type).tobytes()
         ids, doc_ids, held = [], [], 0
 
         def closed():
@@ -197,10 +341,10 @@ def write_sequences(df: DataFrame, path: str, tokenizer_path: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([one], pa.binary())], ["value"])
 
         for piece in slices(batches, PIECE_BYTES):
-            for key, own in zip(piece.column("doc_id").to_pylist(), encode(tokenizer, strings(piece.column("text")))):
-                ids.append(np.concatenate([own, end]).astype(id_type))
+            for key, own in zip(piece.column("doc_id").to_pylist(), encoder.encode(strings(piece.column("text")))):
+                ids.append(np.frombuffer(own + end, id_type))
                 doc_ids.append(key)
-                held += len(own) + 1
+                held += len(ids[-1])
                 if held >= file_ids:
                     yield closed()
                     ids, doc_ids, held, no = [], [], 0, no + 1
@@ -241,21 +385,14 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _doc_type(found: DataFrame):
-    """The Arrow type of the ids of documents, as the first file has it."""
-    def task(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for content in batch.column("content"):
-                schema = pa.ipc.open_file(pa.BufferReader(content.as_buffer())).schema
-                yield pa.RecordBatch.from_arrays([pa.array([schema.serialize().to_pybytes()], pa.binary())], ["schema"])
-
+    """The Arrow type of the ids of documents, as a first file has it at its begin."""
     import pyarrow as pa
 
-    first = found.select("content").limit(1).mapInArrow(task, "schema binary").first()
-    if first is None:
+    first = found.select(F.substring("content", 1, 1 << 16)).head(1)
+    if not first:
         return None
-    return pa.ipc.read_schema(pa.py_buffer(bytes(first[0]))).field("docs").type.value_type.field("doc_id").type
+    # Eight bytes open an Arrow file; its schema follows.
+    return pa.ipc.read_schema(pa.py_buffer(bytes(first[0][0])[8:])).field("docs").type.value_type.field("doc_id").type
 
 
 def with_starts(documents: DataFrame) -> DataFrame:

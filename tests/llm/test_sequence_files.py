@@ -1,5 +1,6 @@
 """Sequence files against the tokenizers library and Arrow's own reader."""
 import glob
+import random
 import zlib
 
 import numpy as np
@@ -60,7 +61,7 @@ def test_files_are_arrow_files_with_equal_sequences(spark):
         assert all(k for row in mask[:-1] for k in row)
         for i in range(len(file)):
             own, kept = file[i]
-            assert own.tolist() == flat[i] and kept.tolist() == mask[i] and not own.flags.owndata
+            assert own.tolist() == flat[i] and kept.to_pylist() == mask[i] and not own.flags.owndata
         assert [t for _, _, d in file.documents() for t in d.tolist()] == ids
         with pytest.raises(IndexError):
             file[len(file)]
@@ -69,13 +70,39 @@ def test_files_are_arrow_files_with_equal_sequences(spark):
     assert everything == [i for _, t in ROWS for i in tok.encode(t or "", add_special_tokens=False).ids + [0]]
 
 
-def test_long_texts_are_cut_where_a_pretoken_begins(monkeypatch):
+TEXTS = ["it's a  b   c d'll e.f 12 34 5,6 " * 30, "x" * 400, " \n a b\n\n c" * 40, "é è ü a<|endoftext|> b " * 20, "a b" * 100, "", " ", "\n", "a ",
+         " a", "a\nb", "a \nb", "a\n b", "a\x1c b", "a\x1c  b", "a\u3000 b \u3000c", "a\n\nb c", "\ta b\r\n c", "<|endoftext|>", "a <|endoftext|>\nb"]
+
+
+def encoder(**kw):
+    with open(PATH, encoding="utf-8") as f:
+        return S.Encoder(f.read(), "<u4", **kw)
+
+
+def same(e, texts):
+    want = [np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.encode(texts) == want
+
+
+def test_pieces_join_to_what_the_library_gives(monkeypatch):
+    rng = random.Random(3)
+    signs = ["a", "Word", "é", " ", " ", " ", "\n", "\n", "\t", "  ", "'s", "12", "!?", "\u3000", "\x1c", "\x85", "<|endoftext|>", "日本"]
+    e = encoder(remembered=500)
+    same(e, TEXTS)
+    for _ in range(40):
+        same(e, ["".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(50)])
+    # Long texts that the library would get whole are cut.
     monkeypatch.setattr(S, "LONG_TEXT", 50)
-    monkeypatch.setattr(S, "PIECE_BYTES", 11)
-    tok = Tokenizer.from_file(PATH)
-    for text in ["it's a  b   c d'll e.f 12 34 5,6 " * 30, "x" * 400, " \n a b\n\n c" * 40, "é è ü a<|endoftext|> b " * 20, "a b" * 100]:
-        assert S.encode(tok, [text])[0].tolist() == tok.encode(text, add_special_tokens=False).ids
-        assert "".join(S._pieces(text)) == text
+    monkeypatch.setattr(S, "LONG_PIECE", 11)
+    same(e, TEXTS)
+    assert all("".join(S._pieces(t)) == t for t in TEXTS) and len(list(S._pieces(TEXTS[0]))) > 5
+
+
+def test_other_tokenizers_get_whole_texts():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        e = S.Encoder(f.read(), "<u4")
+    assert not e.cuts
+    same(e, TEXTS)
 
 
 def test_ties_nulls_and_hot_ids(spark):
