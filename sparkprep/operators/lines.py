@@ -1,8 +1,11 @@
 """Dirty delimited files repaired line by line.
 
-A file is a DataFrame of lines ``(line_no, line)``; line 0 is the header.
+A file is a DataFrame of numbered lines ``(line_no, line)``, of which line 0 is
+the header, or of ordered lines ``(ord, line)`` without the header, as
+``read_ordered_lines`` gives them without counting.
 After splitting, every row is ``(ord ARRAY<BIGINT>, cells ARRAY<STRING>)``.
-``ord`` is the row's place in the file: original lines are ``[0, line_no]``;
+``ord`` is the row's place in the file: original lines are ``[0, line_no]`` or
+``[0] ++ ord``;
 a row generated by step ``g`` from a parent is ``[g] ++ parent.ord ++ [pos]``,
 so generated rows sort after every original row and in the order they were
 made - the order a later step's "first seen" rule depends on.
@@ -85,7 +88,9 @@ def repair_quoted_delimiters_expr(line: Column, delimiter: str, quote: str) -> C
 
 
 def repair_quoted_delimiters(lines: DataFrame, delimiter: str = ";", quote: str = '"') -> DataFrame:
-    """D1 over ``(line_no, line)``; the header (line 0) is left as is."""
+    """D1 over the lines; the header (line 0) is left as is."""
+    if "line_no" not in lines.columns:
+        return lines.withColumn("line", repair_quoted_delimiters_expr(F.col("line"), delimiter, quote))
     return lines.withColumn("line", F.when(F.col("line_no") == 0, F.col("line"))
                             .otherwise(repair_quoted_delimiters_expr(F.col("line"), delimiter, quote)))
 
@@ -96,9 +101,12 @@ def split_cells(line: Column, delimiter: str) -> Column:
 
 def malformed_lines(lines: DataFrame, delimiter: str, width: int | None = None) -> DataFrame:
     """Data lines whose cell count differs from the header's, with that
-    count. The width defaults to the header line's own cell count."""
+    count. The width defaults to that of line 0; ordered lines have no header
+    among them and need it given."""
     n = F.size(split_cells(F.col("line"), delimiter))
-    data = lines.where(F.col("line_no") > 0).withColumn("n_cells", n)
+    if "line_no" not in lines.columns and width is None:
+        raise ValueError("ordered lines need the header's width")
+    data = (lines.where(F.col("line_no") > 0) if "line_no" in lines.columns else lines).withColumn("n_cells", n)
     if width is not None:
         return data.where(F.col("n_cells") != width)
     width = lines.where(F.col("line_no") == 0).select(F.max(n)).scalar()
@@ -107,6 +115,9 @@ def malformed_lines(lines: DataFrame, delimiter: str, width: int | None = None)
 
 def to_rows(lines: DataFrame, delimiter: str) -> DataFrame:
     """Data lines as ``(ord, cells)``."""
+    if "line_no" not in lines.columns:
+        return lines.select(F.concat(F.array(F.lit(0).cast("bigint")), "ord").alias("ord"),
+                            split_cells(F.col("line"), delimiter).alias("cells"))
     return (lines.where(F.col("line_no") > 0)
             .select(F.array(F.lit(0).cast("bigint"), F.col("line_no").cast("bigint")).alias("ord"),
                     split_cells(F.col("line"), delimiter).alias("cells")))

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -66,10 +66,17 @@ def standardize_table(df: DataFrame, data_types: dict, mask_data: dict | None =
 
 @dataclass
 class RunResult:
+    """``counts`` of a written run: ``rows`` in the snapshot, ``rejected`` rows
+    beside it, ``long_rows`` that the reader left out, and under ``failed`` the
+    values by column that got their class's sentinel. All are counted by the jobs
+    that read and write the rows."""
+
     status: str            # 'written' or 'fresh'
     snapshot: str | None
     path: str
     data: DataFrame | None
+    counts: dict = field(default_factory=dict)
+    rejected: DataFrame | None = None
 
 
 def _latest_input(spark: SparkSession, folder: str, prefix: str, limit: str | None = None) -> str:
@@ -118,7 +125,7 @@ def _query_args(spark: SparkSession, params: dict, when: _dt.datetime, date_part
             raise ValueError(f"insert_into {tag}: name a clean_source or prep_source")
         folder = SN.snapshot_path(aux.get("path", save["path"]), aux.get("tag", name), aux.get("product", product))
         declared = aux.get("create_table") or {}
-        SC.register_aux(SN.read_latest(spark, folder, aux.get("file_type", "parquet")), tag, NM.split_list(aux["cols_needed"]),
+        SC.register_aux(SN.read_latest(spark, folder), tag, NM.split_list(aux["cols_needed"]),
                         NM.split_list(declared["queries_cols_name"]) if declared else None,
                         NM.split_list(declared["queries_cols_type"]) if declared else None)
     if params.get("select_universe"):
@@ -201,7 +208,9 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
     Freshness: with no explicit time or input file, the run is skipped while
     the last snapshot is younger than the refresh rate. The input is the
     explicit file, else the newest file of the input folder (or the last one
-    at or before ``src_time``). ``test=True`` writes under
+    at or before ``src_time``). With ``on_error='quarantine'`` rows with a value
+    that failed are kept beside the snapshot (``RunResult.rejected``), not in it.
+    ``test=True`` writes under
     ``data_folder_tests`` and applies the spec's ``tests_params`` overrides
     (``standardize_cols_names``)."""
     if src_time:
@@ -234,10 +243,12 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
     kind = spec["raw_source"].get("type", {})
     multilevel = bool(load.get("multilevel"))
     types = _flat_types(spec["data_types"], multilevel)
+    read = Observation()
     on_error = spec.get("on_error", "fail")
     overrides = spec.get("tests_params") or {}
     if test and overrides.get("standardize_cols_names") is not None:
         types["standardize_cols_names"] = bool(overrides["standardize_cols_names"])
+    counted = False
     if "quality" in kind:
         q = kind["quality"]
         header = NM.split_list(types["names"])
@@ -247,9 +258,9 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
                                content_after_name=(q.get("possible_content_after_name") or "").split(","),
                                max_cells=q.get("max_cells", 26))
         src = file_path or f"{load['path'].rstrip('/')}/{load['file_name']}.{load['file_type']}"
-        lines = RL.read_raw_lines(spark, src, load.get("encoding", "utf-8"), across_files=True)
+        lines, _ = RL.read_ordered_lines(spark, src, load.get("encoding", "utf-8"))
         row_errors = q.get("on_error", "fail")
-        df = L.lines_to_table(lines.drop("file"), line_spec, on_error=row_errors)
+        df = L.lines_to_table(lines, line_spec, on_error=row_errors)
         if row_errors != "fail":
             types["names"] = ",".join(header + ["_extra"])
     elif kind.get("specifics") == "query":
@@ -260,14 +271,31 @@ def process_source(spark: SparkSession, spec: dict, src_time: str = "", file_pat
                  "encoding": load.get("encoding", "utf-8")}
         if multilevel:
             df = H.read_two_row_header(spark, src, NM.split_list(types["macro_tags_names"]),
-                                       NM.split_list(types["micro_tags_names"]), types.get("duplicated_macro_tag"), **cells)
+                                       NM.split_list(types["micro_tags_names"]), types.get("duplicated_macro_tag"),
+                                       multi_line=bool(load.get("multi_line")), long_rows=load.get("long_rows", "drop"),
+                                       counts=read, **cells)
         else:
             names = NM.split_list(types["names"]) if load.get("change_col_names") == "yes" else None
             df = DL.read_delimited(spark, src, load.get("header_row", 0), names=names,
-                                   multi_line=bool(load.get("multi_line")), long_rows=load.get("long_rows", "drop"), **cells)
+                                   multi_line=bool(load.get("multi_line")), long_rows=load.get("long_rows", "drop"),
+                                   counts=read, **cells)
+        counted = load.get("long_rows", "drop") == "drop"
         df = H.drop_unnamed(df)
 
-    df = standardize_table(df, types, spec.get("mask_data"), on_error, keep_input=True)
+    raw_columns = df.columns
+    # Sentinels are counted by the same marks that tell rejected rows.
+    marked = on_error in ("sentinel", "quarantine")
+    df = standardize_table(df, types, spec.get("mask_data"), "quarantine" if marked else on_error, keep_input=True)
+    figures, how = {}, {}
+    if marked and S.ERRORS in df.columns:
+        spec_cols = NM.expand_wildcards(types, raw_columns)
+        figures = {f"failed {c}": F.count_if(F.array_contains(S.ERRORS, c)) for c, tag in NM.declared_classes(spec_cols)
+                   if tag in ("date_cols", "float_cols", "int_cols", "n_client_cols") and c in raw_columns}
+        how = {"rejected": F.size(S.ERRORS) > 0, "reasons": S.ERRORS} if on_error == "quarantine" else {"hidden": S.ERRORS}
     file_type, delimiter = save.get("file_type", "parquet"), save.get("delimiter", ",")
-    SN.write_snapshot(df, save["path"], save["tag"], date_tag, product, date_part, file_type, delimiter)
-    return RunResult("written", date_tag, out_path, SN.read_snapshot(spark, out_path, date_tag, file_type, delimiter))
+    SN.write_snapshot(df, save["path"], save["tag"], date_tag, product, date_part, file_type, delimiter, figures=figures, **how)
+    seen = SN.commit_of(spark, out_path, date_tag)["figures"]
+    counts = {"rows": seen["rows"], "rejected": seen["rejected"], "long_rows": read.get["long_rows"] if counted else 0,
+              "failed": {k.removeprefix("failed "): n for k, n in seen.items() if k.startswith("failed ")}}
+    return RunResult("written", date_tag, out_path, SN.read_snapshot(spark, out_path, date_tag), counts,
+                     SN.read_rejected(spark, out_path, date_tag))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import contacts as C
 from ..functions.text import EDGE_SPACE
 from ..operators import lines as L
+from ..session import work_path
+from ..sources import raw_lines as RL
 from .common import query, table
 
 _ENDS = C.EMAIL_ENDINGS
@@ -272,3 +274,34 @@ def contacts_table(spark, sf_dir):
     """The whole repair chain, then named columns (surplus cells kept in _extra)."""
     table_ = L.lines_to_table(contact_lines(spark, sf_dir), CONTACT_SPEC, keep_order=True, on_error="keep")
     return table_.withColumn("ord", _ord_key()).withColumnRenamed("ord", "ord_key")
+
+
+def _contact_file(spark, sf_dir) -> str:
+    """The dirty contact file as text, in parts."""
+    path = work_path(spark, "text", unique=True) + "/contacts"
+    contact_lines(spark, sf_dir).orderBy("line_no").select("line").write.text(path)
+    return path
+
+
+@query("malformed_file", oracle=f"""with {_D_LINES}, {_D_REPAIRED}
+select line, cast(len(string_split(line, ';')) as integer) as n_cells from repaired
+where line_no > 0 and len(string_split(line, ';')) <> {CONTACT_SPEC.width}""")
+def malformed_file(spark, sf_dir):
+    """D2 on a file: the header's width is read with the first line, the lines are scanned once."""
+    lines, header = RL.read_ordered_lines(spark, _contact_file(spark, sf_dir))
+    lines = L.repair_quoted_delimiters(lines, ";", '"')
+    return L.malformed_lines(lines, ";", width=len(header.split(";"))).select("line", "n_cells")
+
+
+@query("contacts_file", oracle=f"""with {_D_LINES}, {_D_REPAIRED}, {_D_ROWS}, {_d_excess('rows0', 'ex')},
+  {_d_explode('ex', 'ph', _PH, duck_phones, 2, False)}, {_d_explode('ph', 'em', _EM, duck_emails, 3, True)},
+  {_d_strip_merge('em', 'mg')}
+select cast(ord[1] as bigint) as step, {_TABLE_COLS},
+  case when len(cells) > {CONTACT_SPEC.width} then array_to_string(cells[{CONTACT_SPEC.width + 1}:], ';') end as _extra
+from mg""")
+def contacts_file(spark, sf_dir):
+    """D9 on a file: ordered lines through the whole chain. The text is scanned
+    twice (candidates, output) and nothing is counted or numbered."""
+    lines, _ = RL.read_ordered_lines(spark, _contact_file(spark, sf_dir))
+    found = L.lines_to_table(lines, CONTACT_SPEC, keep_order=True, on_error="keep")
+    return found.withColumn("ord", F.col("ord")[0]).withColumnRenamed("ord", "step")

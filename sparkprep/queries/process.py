@@ -162,6 +162,44 @@ def process_source(spark, sf_dir):
     return result.data.drop("snapshot")
 
 
+_Q_QTY = "case when c_custkey % 7 = 0 then '99999999999999999999' else cast(c_custkey % 100 as varchar) end"
+_Q_DAY = "case when c_custkey % 10 = 3 then '31/02/2020' else '28/02/2020' end"
+_Q_BAD = "c_custkey % 5 <> 4 and (c_custkey % 7 = 0 or c_custkey % 10 = 3)"
+
+
+@query("process_quarantine", oracle=f"""with f as (select count(*) filter (where c_custkey % 5 <> 4 and not ({_Q_BAD})) as n_rows,
+  count(*) filter (where {_Q_BAD}) as n_rejected, count(*) filter (where c_custkey % 5 = 4) as n_long,
+  count(*) filter (where c_custkey % 5 <> 4 and c_custkey % 7 = 0) as n_failed_qty,
+  count(*) filter (where c_custkey % 5 <> 4 and c_custkey % 10 = 3) as n_failed_day from customer)
+select c_custkey as key, case when c_custkey % 7 = 0 then 0 else c_custkey % 100 end as qty,
+  case when c_custkey % 10 = 3 then '' else '20200228_000000' end as day,
+  case when {_Q_BAD} then concat_ws(',', case when c_custkey % 10 = 3 then 'day' end, case when c_custkey % 7 = 0 then 'qty' end) else '' end as reasons,
+  f.* from customer, f where c_custkey % 5 <> 4""")
+def process_quarantine(spark, sf_dir):
+    """rows with a failed value are kept beside the snapshot, with their
+    reasons; over-long rows are left out; all are counted by the write itself."""
+    base = work_path(spark, "process", _key(sf_dir), unique=True)
+    cust = table(spark, sf_dir, "customer")
+    # A fifth of the lines have a cell too many.
+    more = F.when(F.col("c_custkey") % 5 == 4, F.lit(";x")).otherwise(F.lit(""))
+    spec = {
+        "raw_source": {"type": {"specifics": "file"}, "load_parameters": {"path": f"{base}/input", "file_name": "customers", "delimiter": ";"}},
+        "data_types": {"n_client_cols": "key", "int_cols": "qty", "date_cols": {"cols": "day", "global_format": "%d/%m/%Y"}},
+        "on_error": "quarantine",
+        "processed_source": {"save_parameters": {"path": f"{base}/output", "tag": "customers"}},
+    }
+    cells = F.concat_ws(";", F.col("c_custkey"), F.expr(_Q_QTY.replace("varchar", "string")), F.expr(_Q_DAY))
+    body = cust.select(F.col("c_custkey").alias("n"), F.concat(cells, more).alias("line"))
+    head = spark.createDataFrame([(0, "key;qty;day")], "n bigint, line string")
+    lines = head.unionByName(body).repartition(1).sortWithinPartitions("n").select("line")
+    lines.write.text(f"{base}/input/customers_20240101_000000.csv")
+    done = P.process_source(spark, spec, src_time="20240102_000000")
+    n = {f"n_{k}": v for k, v in done.counts.items() if k in ("rows", "rejected")}
+    n |= {"n_long": done.counts["long_rows"], **{f"n_failed_{c}": done.counts["failed"][c] for c in ("qty", "day")}}
+    both = (done.data.withColumn("reasons", F.lit("")).unionByName(done.rejected.withColumn("reasons", F.array_join("_errors", ",")).drop("_errors")))
+    return both.drop("snapshot").withColumns({k: F.lit(v).cast("bigint") for k, v in n.items()})
+
+
 @query("process_query_source", oracle="""with u as (select distinct c_custkey, c_nationkey from customer where c_nationkey < 10),
 m as (select o_custkey, o_orderdate, o_totalprice from orders
       where o_orderdate >= timestamp '1998-01-01' - interval 3 month and o_orderdate < timestamp '1998-01-01' and o_orderstatus <> 'P')

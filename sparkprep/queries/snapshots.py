@@ -87,21 +87,65 @@ def snapshot_named(spark, sf_dir):
     return SN.read_named(spark, catalog, "customers").select("c_custkey", "c_name", "c_mktsegment", "snapshot")
 
 
-@query("snapshot_schema_change", oracle="""select c_custkey, c_name, c_nationkey + 1 as c_region from customer
-where c_custkey % 2 = 0""")
+@query("snapshot_schema_change", oracle="""select c_custkey, c_name, c_nationkey + 1 as c_region from customer""")
 def snapshot_schema_change(spark, sf_dir):
     """The newest snapshot has a column more than the first, which a
     second write of the same name has replaced by no rows."""
     root, cust = work_path(spark, "schema", _key(sf_dir), unique=True), table(spark, sf_dir, "customer")
     SN.write_snapshot(cust.select("c_custkey", "c_name"), root, "customer", "20240101_000000")
     SN.write_snapshot(cust.select("c_custkey", "c_name").limit(0), root, "customer", "20240101_000000")
-    new = cust.where("c_custkey % 2 = 0").select("c_custkey", "c_name", (F.col("c_nationkey") + 1).alias("c_region"))
+    new = cust.select("c_custkey", "c_name", (F.col("c_nationkey") + 1).alias("c_region"))
     SN.write_snapshot(new, root, "customer", "20240201_000000")
     path = SN.snapshot_path(root, "customer")
     old = SN.read_as_of(spark, path, "20240115_000000").select("c_custkey", "c_name", F.lit(0).alias("c_region"))
     return SN.read_latest(spark, path).drop("snapshot").unionByName(old)
 
 
+@query("snapshot_commit", oracle="""select c_custkey, c_name, c_acctbal, '20240201_000000' as snapshot, 2::bigint as n_snapshots,
+  false as stale, 'kept' as seen from customer
+union all select c_custkey, c_name, c_acctbal, '20240101_000000', 2, false, 'first' from customer where c_nationkey < 10""")
+def snapshot_commit(spark, sf_dir):
+    """Two snapshots stand; then a re-run of the newest and the first
+    write of a later one fail in their last rows. Neither is seen: the listing
+    has two snapshots, the newest has its rows, and so has the one before; the
+    freshness gate goes by the newest that stands."""
+    root, cust = work_path(spark, "commit", _key(sf_dir), unique=True), table(spark, sf_dir, "customer")
+    cust = cust.select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    SN.write_snapshot(cust.where("c_nationkey < 10").drop("c_nationkey"), root, "customer", "20240101_000000")
+    SN.write_snapshot(cust.drop("c_nationkey"), root, "customer", "20240201_000000")
+    fails = F.when(F.col("c_nationkey") >= 0, F.raise_error(F.lit("a write that fails on purpose"))).otherwise(F.col("c_name"))
+    bad = cust.withColumn("c_name", fails.cast("string")).drop("c_nationkey")
+    for name in ("20240201_000000", "20240301_000000"):
+        try:
+            SN.write_snapshot(bad, root, "customer", name)
+        except Exception as e:  # the failure is what this query is about
+            if "fails on purpose" not in str(e):
+                raise
+        else:
+            raise AssertionError("the write should fail")
+    path = SN.snapshot_path(root, "customer")
+    names = SN.snapshot_names(spark, path)
+    gate = spark.createDataFrame([(_dt.datetime.strptime(names[-1], SN.TAG_FORMAT), "day", 7)], "last_snapshot timestamp, unit string, rate int")
+    stale = SN.stale_sources(gate, _dt.datetime(2024, 2, 5)).select("stale")
+    both = (SN.read_latest(spark, path).withColumn("seen", F.lit("kept"))
+            .unionByName(SN.read_as_of(spark, path, "20240131_000000").withColumn("seen", F.lit("first"))))
+    return both.withColumn("n_snapshots", F.lit(len(names)).cast("bigint")).withColumn("stale", stale.scalar())
+
+
+@query("snapshot_text", oracle="""select c_custkey, concat('00', cast(c_custkey as varchar)) as code,
+  concat(c_name, chr(10), '"x";', c_mktsegment) as note, case when c_custkey % 3 = 0 then null when c_custkey % 3 = 1 then '' else '1e5' end as rate,
+  '20240101_000000' as snapshot from customer""")
+def snapshot_text(spark, sf_dir):
+    """A6, A8 on text: a CSV snapshot comes back with the types, leading zeros,
+    line breaks, quotes, empty and missing cells it was written with."""
+    root, cust = work_path(spark, "text", _key(sf_dir), unique=True), table(spark, sf_dir, "customer")
+    rate = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 3 == 1, F.lit("")).otherwise(F.lit("1e5"))
+    out = cust.select("c_custkey", F.concat(F.lit("00"), F.col("c_custkey").cast("string")).alias("code"),
+                      F.concat("c_name", F.lit('\n"x";'), "c_mktsegment").alias("note"), rate.alias("rate"))
+    SN.write_snapshot(out, root, "customer", "20240101_000000", file_type="csv", delimiter=";")
+    return SN.read_latest(spark, SN.snapshot_path(root, "customer"))
+
+
 @query("snapshot_parts", oracle="""select c_custkey, c_mktsegment, case when c_nationkey < 12 then 'low' else 'whole' end as part
 from customer where c_nationkey < 12 union all select c_custkey, c_mktsegment, 'whole' from customer""")
 def snapshot_parts(spark, sf_dir):

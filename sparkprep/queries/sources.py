@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
 from ..operators import names as NM
 from ..operators import standardize as S
-from ..session import work_path
+from ..session import materialize, work_path
 from ..sources import delimited as DL
 from ..sources import headers as H
 from ..sources import raw_lines as RL
@@ -59,6 +60,86 @@ def read_delimited_multiline(spark, sf_dir):
     return DL.read_delimited(spark, path, multi_line=True)
 
 
+@query("read_delimited_multiline_split", oracle="""select cast(o_orderkey as varchar) as key,
+  case o_orderkey % 4 when 0 then concat(o_orderstatus, chr(10), chr(10), '"', o_orderpriority, '"') when 1 then concat('"', o_orderstatus, ',', chr(10))
+    when 2 then chr(10) else concat(o_orderpriority, ', 5" x') end as note, o_orderstatus as status from orders""")
+def read_delimited_multiline_split(spark, sf_dir):
+    """A1: one file, nearly every row with line breaks in a cell, read by many
+    tasks: the file is cut into splits of about a sixteenth of it."""
+    path = work_path(spark, "csv", _key(sf_dir), unique=True) + "/orders"
+    k = F.col("o_orderkey") % 4
+    note = (F.when(k == 0, F.concat("o_orderstatus", F.lit('\n\n"'), "o_orderpriority", F.lit('"')))
+            .when(k == 1, F.concat(F.lit('"'), "o_orderstatus", F.lit(",\n"))).when(k == 2, F.lit("\n"))
+            .otherwise(F.concat("o_orderpriority", F.lit(', 5" x'))))
+    orders = table(spark, sf_dir, "orders")
+    orders.select(F.col("o_orderkey").alias("key"), note.alias("note"), F.col("o_orderstatus").alias("status")).coalesce(1) \
+        .write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    with _small_splits(spark, size // 16):
+        return materialize(DL.read_delimited(spark, path, multi_line=True, na_values=[]))
+
+
+@contextmanager
+def _small_splits(spark, size: int):
+    """Splits of ``size`` bytes for what is read inside."""
+    keys = {"spark.sql.files.maxPartitionBytes": str(max(size, 64)), "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _write_in(spark, lines, path: str, charset: str, line_end: str = "\n") -> None:
+    """One text file in a charset: the text sink writes a string's bytes as they are."""
+    RL.allow_charset(spark, charset)
+    encoded = F.encode(F.col("line"), charset).cast("string")
+    lines.select(encoded.alias("value")).coalesce(1).write.options(lineSep=line_end, encoding=charset).text(path)
+
+
+# Text with characters whose bytes look like a line feed beside others.
+_WIDE_DUCK = """case c_custkey % 4 when 0 then concat(c_name, chr(2565), chr(19968)) when 1 then '' when 2 then concat(chr(2570), chr(256), ' ', c_mktsegment)
+  else concat(c_mktsegment, chr(128512), chr(2560), chr(11), chr(2560)) end"""
+
+
+def _wide_text():
+    k, c = F.col("c_custkey") % 4, F.concat
+    return (F.when(k == 0, c("c_name", F.lit("\u0a05\u4e00"))).when(k == 1, F.lit("")).when(k == 2, c(F.lit("\u0a0a\u0100 "), "c_mktsegment"))
+            .otherwise(c("c_mktsegment", F.lit("\U0001f600\u0a00\u000b\u0a00"))))
+
+
+@query("raw_lines_utf16", oracle=f"""select 'utf-16le' as charset, c_custkey as line_no, {_WIDE_DUCK} as line from customer
+union all select 'utf-16be', c_custkey, {_WIDE_DUCK} from customer
+union all select 'utf-32be', c_custkey, {_WIDE_DUCK} from customer""")
+def raw_lines_utf16(spark, sf_dir):
+    """A2 in UTF-16 and UTF-32, with blank lines and text whose bytes hold false
+    line feeds; each file is read in several splits."""
+    lines = table(spark, sf_dir, "customer").orderBy("c_custkey").select(_wide_text().alias("line"))
+    out = None
+    for charset in ("utf-16le", "utf-16be", "utf-32be"):
+        path = work_path(spark, "text", _key(sf_dir), unique=True) + "/wide"
+        _write_in(spark, lines, path, charset)
+        size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+        with _small_splits(spark, size // 8):
+            one = materialize(RL.read_raw_lines(spark, path, charset).select(F.lit(charset).alias("charset"), "line_no", "line"))
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+@query("read_delimited_utf16", oracle=f"""select cast(c_custkey as varchar) as key, case when c_custkey % 4 = 1 then null else {_WIDE_DUCK} end as note
+from customer""")
+def read_delimited_utf16(spark, sf_dir):
+    """A1 in UTF-16, lines ended by CRLF."""
+    path = work_path(spark, "csv", _key(sf_dir), unique=True) + "/wide"
+    head = spark.createDataFrame([(0, "key;note")], "n bigint, line string")
+    body = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("n"), F.concat(F.col("c_custkey").cast("string"), F.lit(";"), _wide_text()).alias("line"))
+    _write_in(spark, head.unionByName(body).orderBy("n"), path, "utf-16le", "\r\n")
+    return DL.read_delimited(spark, path, delimiter=";", encoding="utf-16")
+
+
 # ------------------------------------------------------------------ A2
 @query("raw_lines", oracle=f"""select 0::bigint as line_no, '{_HEADER_LINE}' as line
 union all select c_custkey + 1, {_LINE_DUCK} from customer""")
@@ -134,6 +215,24 @@ def flatten_header_last(spark, sf_dir):
     return H.flatten_multilevel_header(_two_row_header(spark, sf_dir), ["Stock"], ["s"])
 
 
+@query("flatten_header_quoted", oracle=f"""select case when p_partkey % 3 = 0 then concat(p_brand, chr(10), '"', p_type, '"') else p_brand end as b_name,
+  case when p_partkey % 5 = 0 then null else cast(p_size as varchar) end as s_qty_2019, cast(p_size * 2 as varchar) as s_qty_2020
+from part where p_partkey % 7 <> 0""")
+def flatten_header_quoted(spark, sf_dir):
+    """A5 from a file, its body by A1's rules: line breaks and quotes in cells,
+    NA literals, blank lines between, rows with a cell too many left out."""
+    path = work_path(spark, "csv", _key(sf_dir), unique=True) + "/parts"
+    quoted = F.concat(F.lit('"'), "p_brand", F.lit('\n""'), "p_type", F.lit('"""'))
+    name = F.when(F.col("p_partkey") % 3 == 0, quoted).otherwise(F.col("p_brand"))
+    size = F.when(F.col("p_partkey") % 5 == 0, F.lit("N/A")).otherwise(F.col("p_size").cast("string"))
+    extra = F.when(F.col("p_partkey") % 7 == 0, F.lit(";x")).when(F.col("p_partkey") % 4 == 0, F.lit("\n")).otherwise(F.lit(""))
+    body = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("n"), F.concat(
+        F.concat_ws(";", size, (F.col("p_size") * 2).cast("string"), name), extra).alias("line"))
+    head = spark.createDataFrame([(-2, "Stock 2019;Stock 2020;Brand"), (-1, "qty;qty;name")], "n bigint, line string")
+    head.unionByName(body).orderBy("n").select("line").write.text(path)
+    return H.read_two_row_header(spark, path, ["Stock", "Brand"], ["s", "b"], "year", delimiter=";", multi_line=True)
+
+
 # ------------------------------------------------------------------ B1
 _MESSY_NAMES = ["Nº Cliente", "Nome Completo", "País", "Saldo (€)", "Segmento Mercado"]
 

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     # JIT's 8000-bytecode limit HotSpot would interpret them, so let Spark
     # fall back to per-expression code for such stages instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A write parted by few values (good and rejected rows, months) keeps one
+    # open file per value instead of sorting each task's rows by it.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
@@ -74,13 +77,64 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder, sorted: one directory listing, through
     the file system that the path belongs to. A missing folder is empty."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, place = _place(spark, path)
     if not fs.exists(place):
         return []
     return sorted(f.getPath().getName() for f in fs.listStatus(place))
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def rename_folder(spark: SparkSession, old: str, new: str) -> None:
+    """One rename of a folder to a new path; its parent is made if need be."""
+    fs, source = _place(spark, old)
+    target = _place(spark, new)[1]
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"could not rename {old} to {new}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _place(spark, path)
+    fs.delete(place, True)
+
+
+def modified(spark: SparkSession, path: str) -> float | None:
+    """When the file or folder was last changed (seconds since 1970); None if it isn't there."""
+    fs, place = _place(spark, path)
+    return fs.getFileStatus(place).getModificationTime() / 1000 if fs.exists(place) else None
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a small text file in place, whole or not at all: it is written
+    beside its place and then renamed over what is there."""
+    aside = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    fs, place = _place(spark, aside)
+    out = fs.create(place, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm, target = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    kinds = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kinds, 1)
+    how[0] = kinds.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(place, target, how)
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None if it isn't there."""
+    fs, place = _place(spark, path)
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def materialize(df):
     """Write ``df`` once as a parquet table in the shared folder and return
     it read back: later plans start from the files, so they neither

@@ -60,25 +60,44 @@ def _year(header: str, kind: str) -> str:
 
 def read_two_row_header(spark, path: str, macro_tags: list[str], micro_tags: list[str],
                         duplicated_macro_tag: str | None = None, delimiter: str = ",", quote: str = '"',
-                        encoding: str = "utf-8") -> DataFrame:
-    """A5 straight from a delimited file whose first two lines are the top
-    and sub headers. Only those two lines reach the driver; the body is
-    parsed on the executors."""
+                        encoding: str = "utf-8", multi_line: bool = False, long_rows: str = "drop", counts=None) -> DataFrame:
+    """A5 straight from delimited files; the first two lines of the first file
+    by name are the top and sub headers. Only those two lines reach the driver.
+    The body is read by the rules of ``read_delimited``: blank lines are skipped,
+    NA literals are null, over-long rows dropped (or failed), an open quote fails
+    unless ``multi_line`` lets cells have line breaks."""
     from . import delimited as DL
-    from .raw_lines import _scan, read_raw_lines
+    from .raw_lines import WIDE_CHARSETS, _charset, _scan, wide_lines
 
-    # The two header lines are the first lines of the first file by name,
-    # where the numbering across files begins too.
-    first = unquote(min(_scan(spark, path, encoding).inputFiles()))  # Spark lists paths URL-encoded
-    head = [r["line"] for r in _scan(spark, first, encoding).select("line").limit(2).collect()]
+    if long_rows not in ("drop", "fail"):
+        raise ValueError("long_rows must be 'drop' or 'fail' here")
+    name = min(spark.read.text(path).inputFiles(), default=None)
+    if name is None:
+        raise ValueError(f"no file in {path}")
+    name = unquote(name)  # Spark lists paths URL-encoded
+    charset = _charset(encoding)
+    # The file's name as rows have it.
+    shown = spark.read.text(name).select(F.col("_metadata.file_path").alias("file")).first()
+    in_first = F.col("file") == F.lit(shown["file"] if shown else "")
+    if charset in WIDE_CHARSETS or (multi_line and quote):
+        if multi_line and charset in WIDE_CHARSETS:
+            raise ValueError("multi_line isn't offered for a two-row header in UTF-16 or UTF-32")
+        rows = DL.quoted_records(spark, path, encoding, delimiter, quote) if multi_line else wide_lines(spark, path, charset)[0]
+        rows = rows.where("row_no IS NOT NULL")
+        head = [r["line"] for r in rows.where(in_first & (F.col("row_no") < 2)).orderBy("row_no").select("line").collect()]
+        lines = rows.where(~in_first | (F.col("row_no") >= 2))
+    else:
+        # The first file is scanned by itself: the ids of its header lines hold for that scan.
+        own = _scan(spark, name, encoding, skip_blank=True)
+        top = own.where(F.col("__block") == 0).select("__mid", "line").limit(2).collect()
+        head = [r["line"] for r in top]
+        after = top[-1]["__mid"] if top else -1
+        lines = own.where((F.col("__block") != 0) | (F.col("__mid") > after)).select("line").unionByName(
+            _scan(spark, path, encoding, skip_blank=True).where(~in_first).select("line"))
     if len(head) < 2:
         raise ValueError("a two-row header needs two header lines")
-    lines = read_raw_lines(spark, path, encoding, across_files=True)
-    top = DL.unnamed_blanks(DL._parse_header(head[0], delimiter, quote))
+    names = DL.unnamed_blanks(DL._parse_header(head[0], delimiter, quote))
     sub = DL._parse_header(head[1], delimiter, quote)
-    schema = ", ".join(f"`__c{i}` string" for i in range(len(top)))
-    body = (lines.where(F.col("line_no") >= 2)
-            .select(F.from_csv("line", schema, DL.csv_options(delimiter, quote)).alias("r")).select("r.*"))
-    body = body.toDF(*DL.dedupe_names(top))
+    body = DL.parse_lines(lines.select("line"), DL.dedupe_names(names), delimiter, quote, None, long_rows, counts, whole=multi_line)
     return flatten_multilevel_header(body, macro_tags, micro_tags, duplicated_macro_tag,
-                                     sub_header=sub + [""] * (len(top) - len(sub)))
+                                     sub_header=sub + [""] * (len(names) - len(sub)))

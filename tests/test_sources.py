@@ -114,7 +114,7 @@ def test_read_delimited_long_rows(spark):
     p = _write("a,b\n1,2\n3,4,5,6\n7\n")
     assert [tuple(r) for r in DL.read_delimited(spark, p).collect()] == [("1", "2"), ("7", None)]
     kept = DL.read_delimited(spark, p, long_rows="keep")
-    assert [tuple(r) for r in kept.collect()] == [("1", "2", None), ("3", "4", "5"), ("7", None, None)]
+    assert [tuple(r) for r in kept.collect()] == [("1", "2", None), ("3", "4", "5,6"), ("7", None, None)]
     with pytest.raises(Exception, match="more than 2 cells"):
         DL.read_delimited(spark, p, long_rows="fail").collect()
 
@@ -148,3 +148,87 @@ def test_two_row_header_on_a_folder(spark):
     df = H.read_two_row_header(spark, d, ["Sales"], ["s"], "year")
     assert df.columns == ["s_q1_2019", "s_q2_2019", "s_q1_2020", "s_q2_2020"]
     assert df.count() == 2000 and df.where("s_q1_2019 = '7'").first()["s_q2_2019"] == 'say "7"'
+
+
+BREAKS = ('a,b,c\r\n1,"x\r\ny",2\n\n  \n3,"say ""hi""\n\n, ""z""",4\n5" pipe,q"r,6\n"","",7\n8,"one, two",9\n'
+          '10,"""quoted"" at the start",11\n"12\n",,\n13,"a\n\nb\n\n\nc",x\n14,plain,y')
+
+
+@pytest.mark.parametrize("split", [None, 11, 40])
+def test_line_breaks_in_cells_in_any_splits(spark, split):
+    """One file read in splits of a few bytes equals the plain reader."""
+    import csv
+    import io
+
+    want = [r for r in csv.reader(io.StringIO(BREAKS.replace("\r\n", "\n"))) if any(x.strip() for x in r)][1:]
+    p = _write(BREAKS)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        df = DL.read_delimited(spark, p, multi_line=True, na_values=[])
+        got = sorted(tuple(x or "" for x in r) for r in df.collect())
+        assert got == sorted(map(tuple, want))
+        assert split is None or df.rdd.getNumPartitions() > 4
+        # A header below, on a folder of two such files.
+        d = tempfile.mkdtemp(prefix="sparkprep-src-")
+        for i in range(2):
+            with open(os.path.join(d, f"f{i}.csv"), "w", newline="") as f:
+                f.write('note "x"\n\n' + BREAKS)
+        both = DL.read_delimited(spark, d, header_row=1, multi_line=True, na_values=[])
+        assert both.columns == ["a", "b", "c"]
+        assert sorted(tuple(x or "" for x in r) for r in both.collect()) == sorted(map(tuple, want * 2))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
+def test_quote_open_at_the_end_of_the_file(spark):
+    with pytest.raises(Exception, match="not closed at the end"):
+        DL.read_delimited(spark, _write('a,b\n1,"x\n2,y\n'), multi_line=True).collect()
+
+
+WIDE = "k,v\r\n\u0a05\u4e00,\u0a0a\u0100\n\n  \nΩ,\U0001f600\n\u0a00\u000b\u0a00,é\nlast,\u0d0a"
+
+
+@pytest.mark.parametrize("name,mark", [("utf-16-le", b""), ("utf-16-be", b""), ("utf-16", b"\xff\xfe"), ("utf-16", b"\xfe\xff"),
+                                       ("utf-32-le", b""), ("utf-32-be", b""), ("utf-32", b"\x00\x00\xfe\xff")])
+@pytest.mark.parametrize("split,end", [(17, ""), (50, "\u0a0d"), (31, "\n"), (None, "\n\n")])
+def test_wide_charsets_in_any_splits(spark, name, mark, split, end):
+    codec = name if not mark else f"{name}-{'le' if mark[0] == 255 else 'be'}"
+    d = tempfile.mkdtemp(prefix="sparkprep-src-")
+    p = os.path.join(d, "f.txt")
+    with open(p, "wb") as f:
+        f.write(mark + (WIDE + end).encode(codec))
+    encoding = name if mark else name.replace("-le", "le").replace("-be", "be")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = sorted((r.line_no, r.line) for r in RL.read_raw_lines(spark, p, encoding).collect())
+        text = (WIDE + end).replace("\r\n", "\n")
+        assert got == list(enumerate((text[:-1] if text.endswith("\n") else text).split("\n")))
+        rows = DL.read_delimited(spark, p, encoding=encoding)
+        assert rows.columns == ["k", "v"]
+        assert sorted(tuple(r) for r in rows.collect()) == sorted(
+            tuple(x.split(",")) for x in text.split("\n")[1:] if x.strip())
+        skipped = RL.read_raw_lines(spark, p, encoding, skip_blank=True, across_files=True).where("line_no = 2").first()["line"]
+        assert skipped == "Ω,\U0001f600"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
+def test_two_row_header_by_the_rules_of_delimited(spark):
+    text = 'Sales 2019,,Sales 2020,\nq1,q2,q1,q2\n\n1,NA,3,4\n5,6,7,8,9\n"x, y",2,3\n'
+    df = H.read_two_row_header(spark, _write(text), ["Sales"], ["s"], "year")
+    assert sorted(tuple(r) for r in df.collect()) == [("1", None, "3", "4"), ("x, y", "2", "3", None)]
+    with pytest.raises(Exception, match="more than 4 cells"):
+        H.read_two_row_header(spark, _write(text), ["Sales"], ["s"], "year", long_rows="fail").collect()
+    broken = 'Sales 2019,,Sales 2020,\nq1,q2,q1,q2\n1,"a\nb",3,4\n'
+    with pytest.raises(Exception, match="not closed"):
+        H.read_two_row_header(spark, _write(broken), ["Sales"], ["s"], "year").collect()
+    df = H.read_two_row_header(spark, _write(broken), ["Sales"], ["s"], "year", multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("1", "a\nb", "3", "4")]
