@@ -21,20 +21,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from heapq import heapify, heappop, heappush
-from itertools import repeat
 from struct import pack
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import Memo, bounded_batches, exact, slices, strings
+from .common import bounded_batches, exact, slices, strings
+from .pieces import RUN, PieceTable
 
-REMEMBERED = 800_000
-#: White space other than single blanks and line feeds between other characters.
-_ODD = re.compile(r"[^\S \n]|[ \n](?=\s)|^\s|\s\Z")
+REMEMBERED = 400_000
+# Fixed value: the pattern for which texts may be cut before blanks and line feeds.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Marks that the pattern puts into one pre-token when they follow letters.
 MARKS = ".,;:!?"
 
@@ -109,7 +108,8 @@ class Codec:
         self.rank = {t: i for i, t in enumerate(tokens)}  # of the pairs that the heap meets
         self.single = [self.rank[bytes((b,))] for b in range(256)]
         self.two = [self.rank.get(bytes(divmod(x, 256)), -1) for x in range(1 << 16)]
-        self.memo = Memo(REMEMBERED)
+        self.cuts = pattern == PATTERN
+        self.plain = PieceTable(lambda pieces: list(map(self._piece, pieces)), "<u4", REMEMBERED)
 
     def id_of(self, piece: bytes) -> int:
         """The id of a whole token, -1 if it is none."""
@@ -155,39 +155,29 @@ class Codec:
             out += self.merge(b) if i < 0 else [i]
         return pack(f"<{len(out)}I", *out)
 
-    def _part(self, part: str) -> bytes:
-        """The ids of what follows a blank, or of a line feed with what follows it."""
-        if part[0] == "\n":
-            return self._ids(self.pattern.findall(part))
-        word = part.rstrip(MARKS)
-        if not word.isalpha():
-            return self._ids(self.pattern.findall(" " + part))
-        if len(word) == len(part):
-            return self._ids((" " + word,))
-        # Letters, then marks: two pre-tokens, and the word is often known by itself.
-        memo = self.memo
-        if word not in memo:
-            memo[word] = self._ids((" " + word,))
-        return memo[word] + self._ids((part[len(word):],))
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a blank or line feed and what follows it, or of what a text begins with."""
+        if piece[:1] != " ":
+            return self._ids(self.pattern.findall(piece))
+        word = piece.rstrip(MARKS)
+        if not word[1:].isalpha():
+            return self._ids(self.pattern.findall(piece))
+        # Letters, then perhaps marks: two pre-tokens.
+        return self._ids((word, piece[len(word):]) if len(word) < len(piece) else (word,))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        # A blank or line feed between two other characters begins a pre-token
-        # (a line feed is one on its own), so what lies between is looked up as
-        # a whole. Other white space leaves the text to the pattern alone.
-        if _ODD.search(text):
-            return self._ids(self.pattern.findall(text))
-        head, *parts = text.replace("\n", " \n").split(" ")
-        memo = self.memo
-        new = [p for p in set(parts) if p not in memo]
-        if new:
-            if memo.full(2 * len(new)):
-                new = set(parts)
-            for p in new:
-                memo[p] = self._part(p)
-        return self._ids(self.pattern.findall(head)) + b"".join(map(memo.__getitem__, parts))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Texts that can be cut are put together from their
+        distinct pieces; white space beside white space, or another pattern than
+        the one the cuts are known for, leaves a text to the pattern alone."""
+        out: list = [None] * len(texts)
+        plain = [i for i, t in enumerate(texts) if self.cuts and not RUN.search(t)]
+        for i, ids in zip(plain, self.plain([texts[i] for i in plain])):
+            out[i] = ids
+        return [self._ids(self.pattern.findall(t)) if ids is None else ids for t, ids in zip(texts, out)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -198,22 +188,22 @@ _CODECS: dict[tuple, Codec] = {}
 
 def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (binary: little-endian unsigned 32-bit), for each row."""
-    return _run(df, ranks_path, pattern, id_col, text_col, "ids binary", lambda c, t: (c.encode(t),))
+    return _run(df, ranks_path, pattern, id_col, text_col, "ids binary", lambda c, ts: [(ids,) for ids in c.encode_all(ts)])
 
 
 def decode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id, text for each row of ``encode_documents``. Ids that end inside
     a character give U+FFFD there, as the reference library's decoder does."""
     return _run(df, ranks_path, pattern, id_col, ids_col, "text string",
-                lambda c, t: (c.decode(t).decode("utf-8", "replace"),))
+                lambda c, ts: [(c.decode(t).decode("utf-8", "replace"),) for t in ts])
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: a digest of the ids, and of the bytes they decode to."""
 
-    def both(codec, text):
-        ids = codec.encode(text)
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
+    def both(codec, texts):
+        return [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest())
+                for ids in codec.encode_all(texts)]
 
     return _run(df, ranks_path, pattern, id_col, text_col, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", both)
 
@@ -222,6 +212,8 @@ def _run(df, ranks_path, pattern, id_col, value_col, schema, work) -> DataFrame:
     bounded_batches(df)
     rows = exact(df, doc_id=id_col, text=value_col)
     tokens = read_ranks(ranks_path)
+    # A worker's codec is found by what the file holds, not by its path.
+    content = hashlib.sha256(b"".join(len(t).to_bytes(4) + t for t in tokens)).digest()
     shared = df.sparkSession.sparkContext.broadcast((tokens, PerfectHash(tokens)))
     kind = rows.schema["doc_id"].dataType.simpleString()
     binary = rows.schema["text"].dataType.simpleString() == "binary"
@@ -230,15 +222,16 @@ def _run(df, ranks_path, pattern, id_col, value_col, schema, work) -> DataFrame:
     def task(batches):
         import pyarrow as pa
 
-        key = (ranks_path, pattern)
+        key = (content, pattern)
         if key not in _CODECS:
+            _CODECS.clear()
             _CODECS[key] = Codec(*shared.value, pattern)
         types = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
         kinds = [types[c.split()[1]] for c in schema.split(", ")]
         for piece in slices(batches):
             column = piece.column("text")
             values = [b"" if x is None else x for x in column.to_pylist()] if binary else strings(column)
-            out = list(map(work, repeat(_CODECS[key]), values))
+            out = work(_CODECS[key], values)
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
 

@@ -46,18 +46,20 @@ def texts(column) -> list[bytes]:
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, text, quality, toxic) of a sample of the labels: of N labelled
+    """(doc_id, text, quality, toxic), one row an id, of a sample of the labels: of N labelled
     ids those whose hash is in the lowest ``sample / N`` of all hashes, so
     about ``sample`` (all, if there are fewer), the same ones in every run, and
     without a sort. The sampled side is what is broadcast. A document labelled
-    twice is toxic if one label says so, and of the lower quality; labels
-    without a document, null labels and null ids are left out."""
+    twice is toxic if one label says so, and of the lower quality; of rows that
+    repeat an id the least text counts, so the rows are no more than the ids;
+    labels without a document, null labels and null ids are left out."""
     rows = exact(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
     each = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     n = max(1, rows.agg(F.approx_count_distinct("doc_id", 0.01)).first()[0])
     share = F.lit(int(2**31 * min(1.0, sample / n)) if n > sample else 2**31)
     chosen = materialize(each.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < share))
-    return exact(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
+    found = exact(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
+    return found.groupBy("doc_id", "toxic", "quality").agg(F.min("text").alias("text")).select("doc_id", "toxic", "quality", "text")
 
 
 #: Text that goes to a Python worker in one Arrow batch.

@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, bounded_batches, exact, slices, strings
+from .pieces import RUN, PieceTable
 
 LENGTH = 2048
 FILE_IDS = 1 << 22
@@ -48,17 +49,14 @@ FILE_IDS = 1 << 22
 BATCH = 256
 #: Text that a task encodes at once.
 PIECE_BYTES = 1 << 23
-#: What a worker remembers of pieces, besides their number.
-REMEMBERED_BYTES = 1 << 25
 LONG_TEXT = 1 << 20
 LONG_PIECE = 1 << 18
 #: Fixed value: what an Arrow file ends with.
 CLOSING = "ARROW1"
 
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
-#: White space beside white space; a blank within or at the end of such a run.
-_RUN = re.compile(r"\s\s")
 _WORD = re.compile(r" \S+")
+#: A blank within or at the end of a run of white space.
 _BLANK_IN_RUN = re.compile(r"\s (?:\s|\Z)")
 
 
@@ -91,11 +89,7 @@ class Encoder:
             for token, i in vocabulary.items():
                 self.sizes[i] = len(token)
         self.added = [t["content"] for t in told.get("added_tokens", [])]
-        # Pieces of plain texts, as an Arrow array with the ids of all in one; others in a table.
-        import pyarrow as pa
-
-        self.remembered, self.known = remembered, Memo(remembered // 4)
-        self.pieces, self.flat, self.size = pa.array([], pa.large_string()), np.zeros(0, id_type), np.zeros(0, np.int64)
+        self.plain, self.known = PieceTable(self._encode, id_type, remembered), Memo(remembered // 4)
         self.marks = dict(zip(".,;:!?", self._library(list(".,;:!?"))))
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -129,8 +123,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``id_type``."""
         out: list = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.cuts and not _RUN.search(t)]
-        for i, ids in zip(plain, self._plain([texts[i] for i in plain]) if plain else ()):
+        plain = [i for i, t in enumerate(texts) if self.cuts and not RUN.search(t)]
+        for i, ids in zip(plain, self.plain([texts[i] for i in plain])):
             out[i] = ids
         parts = {}
         for i, t in enumerate(texts):
@@ -146,58 +140,6 @@ class Encoder:
             out[i] = b"".join(map(known.__getitem__, ps))
         return out
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        """Texts without white space beside white space: each blank and line feed
-        begins a piece. Arrow splits the texts and numbers the distinct pieces;
-        numpy puts their ids in the texts' order."""
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
-        firsts, pieces = split.offsets.to_numpy(), split.flatten()
-        coded = pc.dictionary_encode(pieces)
-        places = self._remember(coded.dictionary)
-        # What a text begins with has no blank before it.
-        heads = pieces.take(pa.array(firsts[:-1])).to_pylist()
-        every = dict.fromkeys(heads)
-        every = dict(zip(every, self._ids(list(every))))
-        first = [every[h] for h in heads]
-        flat = np.concatenate([self.flat, np.frombuffer(b"".join(first), self.id_type)])
-        size = np.concatenate([self.size, np.fromiter(map(len, first), np.int64, len(first)) // flat.itemsize])
-        begin = np.cumsum(size) - size
-        index = places[coded.indices.to_numpy()]
-        index[firsts[:-1]] = len(self.size) + np.arange(len(first))
-        taken = size[index]
-        ends = np.cumsum(taken)
-        ids = flat[np.repeat(begin[index] - (ends - taken), taken) + np.arange(ends[-1])] if len(ends) else flat[:0]
-        cuts = np.concatenate([[0], ends])[firsts].tolist()
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-
-    def _remember(self, pieces) -> np.ndarray:
-        """The places of distinct pieces in what the worker remembers: pieces that
-        have a blank before them unless they begin with a line feed. Those that
-        are new are encoded; if they don't fit, only the pieces asked for stay."""
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        at = pc.fill_null(pc.index_in(pieces, value_set=self.pieces), -1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(at < 0)
-        if len(self.pieces) + len(new) > self.remembered or self.pieces.nbytes > REMEMBERED_BYTES:
-            kept = at[at >= 0]
-            begin = (np.cumsum(self.size) - self.size)[kept]
-            size = self.size[kept]
-            ends = np.cumsum(size)
-            self.flat = self.flat[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])] if len(ends) else self.flat[:0]
-            self.pieces, self.size = self.pieces.take(pa.array(kept)), size
-            at[at >= 0] = np.arange(len(kept))
-        if len(new):
-            at[new] = len(self.pieces) + np.arange(len(new))
-            found = self._encode([p if p[:1] == "\n" else " " + p for p in pieces.take(pa.array(new)).to_pylist()])
-            self.pieces = pa.concat_arrays([self.pieces, pieces.take(pa.array(new))])
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), self.id_type)])
-            self.size = np.concatenate([self.size, np.fromiter(map(len, found), np.int64, len(found)) // self.flat.itemsize])
-        return at
-
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces. A mark after a letter or digit is a
         pre-token of its own, so marked words cost no more than the words."""

@@ -44,7 +44,7 @@ from .common import SPACE_CLASS, bounded_batches, exact, slices, texts
 
 WINDOW = 50
 PREFIX = 8
-HOT = 50_000
+HOT = 5_000
 ROWS = 20_000
 REMEMBERED = 400_000
 LAST = (1 << 63) - 1

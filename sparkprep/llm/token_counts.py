@@ -16,6 +16,7 @@ are counted whole; null ids and repeated rows are rows like others."""
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -187,15 +188,19 @@ def count_tokens(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     bounded_batches(df)
     docs = exact(df, doc_id=id_col, text=text_col)
     model = spark.sparkContext.broadcast(read_model(model_path))
+    # A worker's merger is found by what the file holds, not by its path.
+    with open(model_path, "rb") as f:
+        content = hashlib.sha256(f.read()).digest()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches):
         import pyarrow as pa
 
-        if model_path not in _MERGERS:
-            _MERGERS[model_path] = Merger(model.value)
-            _MERGERS[model_path].memo = Memo(REMEMBERED)
-        merger, memo = _MERGERS[model_path], _MERGERS[model_path].memo
+        if content not in _MERGERS:
+            _MERGERS.clear()
+            _MERGERS[content] = Merger(model.value)
+            _MERGERS[content].memo = Memo(REMEMBERED)
+        merger, memo = _MERGERS[content], _MERGERS[content].memo
         for piece in slices(batches):
             docs_units = [merger.pretokens(t) for t in strings(piece.column("text"))]
             new = list({u for units in docs_units for u in units if u not in memo})

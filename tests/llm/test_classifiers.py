@@ -192,3 +192,15 @@ def test_toxicity_counts_capitals_of_the_whole_text():
     for text, n in (("aBBBBBBaBBBBBBa", 12), ("Baaaaaa", 1), ("xÄÉßxx", 2), ("", 0)):
         assert toxicity._shape(text, [])[-1] == pytest.approx(n / (len(text) + 1))
         assert toxicity._shape(" " + text, [])[-1] == pytest.approx(n / (len(text) + 2))
+
+
+def test_labelled_rows_are_no_more_than_their_ids(spark):
+    """One labelled id that a third of all rows have is one row of the sample."""
+    from sparkprep.llm.common import labelled_documents
+
+    docs = spark.createDataFrame([(1, f"copy {i % 7}") for i in range(3000)] + [(i, "text") for i in range(2, 80)] + [(90, None)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 100)] + [(1, 0, 1)], "doc_id bigint, quality int, toxic int")
+    rows = labelled_documents(docs, labels, 1000).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1, 80))
+    assert [(r.text, r.quality, r.toxic) for r in rows if r.doc_id == 1] == [("copy 0", 0, 1)]

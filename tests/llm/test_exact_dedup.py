@@ -68,3 +68,10 @@ def test_whole_table_against_sql(spark, sf_dir):
     want = docs.groupBy(F.coalesce("text", F.lit("")).alias("t")).agg(F.max("doc_id").alias("k"), F.count("*").alias("n"))
     assert sorted((r.keep_id, r.group_size) for r in got.where("kept").collect()) == sorted((r.k, r.n) for r in want.collect())
     assert sorted(r.doc_id for r in X.drop_exact_copies(docs).collect()) == sorted(r.k for r in want.collect())
+
+
+def test_a_task_sends_one_row_for_a_text(spark):
+    """Copies with different ids, in three tasks: three rows leave the tasks."""
+    docs = X._hashed(spark.range(0, 6000, 1, 3).select(F.col("id").alias("doc_id"), F.lit("copy").alias("text")), 16)
+    salted = X._local(docs, 16, F.max("doc_id").alias("best"), F.count(F.lit(1)).alias("n"))
+    assert sorted(r.n for r in salted.collect()) == [2000] * 3

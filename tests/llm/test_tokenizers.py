@@ -55,10 +55,21 @@ def test_small_memory_gives_the_same():
     tokens = byte_bpe.read_ranks(RANKS)
     codec = byte_bpe.Codec(tokens, byte_bpe.PerfectHash(tokens), P.PATTERN)
     want = [codec.encode(t) for t in texts()]
-    codec.memo = byte_bpe.Memo(10)
+    codec.plain.remembered = 10
     assert [codec.encode(t) for t in texts()] == want
 
 
+def test_another_pattern_takes_no_shortcut():
+    import tiktoken
+
+    pattern = r"\p{L}+|\s+|[^\s\p{L}]+"
+    tokens = byte_bpe.read_ranks(RANKS)
+    codec = byte_bpe.Codec(tokens, byte_bpe.PerfectHash(tokens), pattern)
+    other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+    for t in ["in the house", "a b\nc d. e", " x  y\n\nz "]:
+        assert np.frombuffer(codec.encode(t), "<u4").tolist() == other.encode_ordinary(t)
+
+
 def test_counts_as_the_library(spark, sf_dir):
     import sentencepiece
 
