@@ -9,12 +9,16 @@ is repeated agrees, and masking itself is a projection without a join. Columns
 naming the same dictionary share its keys; other dictionaries give the same
 value other keys. A null is masked as its text form ``'nan'``.
 
+The secret is no part of a query's plan: expressions take it from a one-row table
+at run time, so neither ``explain`` nor an event log shows it.
+
 The dictionary is kept for reading back. One pass over the table gives the
 distinct ``(dictionary, value)`` pairs of all masked columns, combined in each
 task, and those not yet known are appended. Two runs may both append a value;
 the rows are equal.
 
-``mask_keyed`` is the dictionary-free variant: ``sha2(salt || value)``."""
+``mask_keyed`` is the dictionary-free variant: ``sha2(salt || value)``; the salt
+is kept out of the plan too."""
 
 from __future__ import annotations
 
@@ -65,9 +69,15 @@ def secret_of(spark: SparkSession, references_path: str, wait_seconds: int = 60)
     raise ValueError(f"{place.toString()} is incomplete: the run that made it did not end")
 
 
-def key_of(value: Column, name: str, secret: str) -> Column:
-    """The key of a text value in dictionary ``name``."""
-    return F.substring(F.sha2(F.concat(F.lit(f"{secret}:{len(name)}:{name}:"), value), 256), 1, 32)
+def hidden(spark: SparkSession, text: str) -> Column:
+    """A text as an expression that the plan doesn't show: the value of a
+    one-row table, which is read when the query runs."""
+    return spark.createDataFrame([(text,)], "hidden string").scalar()
+
+
+def key_of(value: Column, name: str, secret: Column) -> Column:
+    """The key of a text value in dictionary ``name``; ``secret`` as ``hidden``."""
+    return F.substring(F.sha2(F.concat(secret, F.lit(f":{len(name)}:{name}:"), value), 256), 1, 32)
 
 
 def read_dictionary(spark: SparkSession, references_path: str, name: str) -> DataFrame:
@@ -95,9 +105,9 @@ def extend_dictionaries(df: DataFrame, references_path: str, mask_cols: dict[str
              if list_folder(spark, dictionary_path(references_path, d))]
     for k in known:
         new = new.join(k, ["dictionary", "value"], "left_anti")
-    key = F.lit(None).cast("string")
+    key, shared = F.lit(None).cast("string"), hidden(spark, secret)
     for d in names:
-        key = F.when(F.col("dictionary") == d, key_of(F.col("value"), d, secret)).otherwise(key)
+        key = F.when(F.col("dictionary") == d, key_of(F.col("value"), d, shared)).otherwise(key)
     new.withColumn("key", key).write.mode("append").partitionBy("dictionary").parquet(references_path)
 
 
@@ -109,10 +119,12 @@ def mask_columns(df: DataFrame, references_path: str, mask_cols: dict[str, str])
             raise KeyError(f"column {c!r} not in the table")
     secret = secret_of(df.sparkSession, references_path)
     extend_dictionaries(df, references_path, mask_cols, secret)
-    return df.withColumns({c: key_of(_as_text(c), d, secret) for c, d in mask_cols.items()})
+    shared = hidden(df.sparkSession, secret)
+    return df.withColumns({c: key_of(_as_text(c), d, shared) for c, d in mask_cols.items()})
 
 
 def mask_keyed(df: DataFrame, cols: list[str], salt: str) -> DataFrame:
     """Deterministic pseudonyms without a dictionary: ``sha2(salt || text, 256)``.
     No shuffle; only as secret as the salt."""
-    return df.withColumns({c: F.sha2(F.concat(F.lit(salt), _as_text(c)), 256) for c in cols})
+    shared = hidden(df.sparkSession, salt)
+    return df.withColumns({c: F.sha2(F.concat(shared, _as_text(c)), 256) for c in cols})

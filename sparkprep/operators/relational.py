@@ -36,6 +36,16 @@ def _bytes_of(df: DataFrame) -> int:
     return row["b"] or 0
 
 
+def _place_of(name: str, columns: list[str]) -> int:
+    """A column's place by its exact name, else by its name in any case if that tells one."""
+    if name in columns:
+        return columns.index(name)
+    found = [i for i, c in enumerate(columns) if c.lower() == name.lower()]
+    if len(found) != 1:
+        raise ValueError(f"key {name!r} names {len(found)} of the columns {columns}")
+    return found[0]
+
+
 def restrict_to_universe(main: DataFrame, universe: DataFrame | None, join_on: list[str] | None = None,
                          how: str = "inner", broadcast_universe: bool = False) -> DataFrame:
     """Join the main table to a universe of entities on ``'left:right'``
@@ -60,8 +70,8 @@ def restrict_to_universe(main: DataFrame, universe: DataFrame | None, join_on: l
     pairs = [tuple(k.strip() for k in p.split(":")) for p in join_on]
     m = main.toDF(*[f"__m{i}" for i in range(len(main.columns))])
     u = universe.toDF(*[f"__u{i}" for i in range(len(universe.columns))])
-    left = [f"__m{main.columns.index(a)}" for a, _ in pairs]
-    right = [f"__u{universe.columns.index(b)}" for _, b in pairs]
+    left = [f"__m{_place_of(a, main.columns)}" for a, _ in pairs]
+    right = [f"__u{_place_of(b, universe.columns)}" for _, b in pairs]
     if broadcast_universe and _bytes_of(u) <= UNIVERSE_BYTES:
         u = F.broadcast(u)
     same = reduce(lambda x, y: x & y, [F.col(a) == F.col(b) for a, b in zip(left, right)])

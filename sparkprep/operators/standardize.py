@@ -95,6 +95,14 @@ def float_flags(df: DataFrame, cols: list[str]) -> dict[str, dict[str, int]]:
     return {c: {k: int(row[f"{p}__{k}"] or 0) for k in FLAG_KEYS} for c, p in names.items()}
 
 
+def merge_flags(a: dict[str, dict[str, int]], b: dict[str, dict[str, int]]) -> dict[str, dict[str, int]]:
+    """The flags of two sets of rows together, from those of each: a greatest
+    value by column and flag, so rows may come in any parts and order. Counts
+    above two tell the rules nothing more, so a column's flags change at most
+    seven times, however many rows are merged."""
+    return {c: {k: min(2, max(a.get(c, {}).get(k, 0), b.get(c, {}).get(k, 0))) for k in FLAG_KEYS} for c in {**a, **b}}
+
+
 def floats(df: DataFrame, cols: list[str], optional: int = 1, decimal: str | None = None,
            on_error: str = "fail", flags: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """C3. The column-wide flags come from one aggregate over the input, run
@@ -128,7 +136,7 @@ CLASS_ORDER = ("date_cols", "float_cols", "nif_cols", "str_cols", "int_cols", "n
 
 
 def transform(df: DataFrame, tag: str, spec: dict, optional: int | None = None,
-              on_error: str = "fail") -> DataFrame:
+              on_error: str = "fail", flags: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """Dispatch one class tag of a ``data_types`` spec to its standardiser.
     ``contact_cols`` is declared but passes through unchanged."""
     types = spec
@@ -140,7 +148,7 @@ def transform(df: DataFrame, tag: str, spec: dict, optional: int | None = None,
         return dates(df, value, opt, on_error)
     cols = split_list(value)
     if tag == "float_cols":
-        return floats(df, cols, opt, types.get("decimal"), on_error)
+        return floats(df, cols, opt, types.get("decimal"), on_error, flags)
     if tag == "nif_cols":
         return tax_ids(df, cols, opt)
     if tag == "str_cols":

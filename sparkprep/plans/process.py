@@ -30,14 +30,16 @@ log = logging.getLogger(__name__)
 
 
 def standardize_table(df: DataFrame, data_types: dict, mask_data: dict | None = None,
-                      on_error: str = "fail", keep_input: bool = False) -> DataFrame:
+                      on_error: str = "fail", keep_input: bool = False, flags: dict | None = None) -> DataFrame:
     """wildcards -> coverage warnings -> dates, floats, tax ids, strings,
     ints, client numbers -> mask -> names. A column listed under two classes
     is transformed twice, as in the reference.
 
     Float flags, dictionaries and the output each read the input. With
     ``keep_input`` an input that is costly to read again (parsed text, a join)
-    is written once to the shared folder, and each reads the columns it needs."""
+    is written once to the shared folder, and each reads the columns it needs.
+    ``flags`` of the float columns may be given, as a stream that has seen more
+    rows than these gives them."""
     if keep_input and (data_types.get("float_cols") or mask_data):
         df = materialize(df)
     spec = NM.expand_wildcards(data_types, df.columns)
@@ -51,7 +53,7 @@ def standardize_table(df: DataFrame, data_types: dict, mask_data: dict | None =
         if n > 1:
             log.warning("column %s is declared %d times", c, n)
     for tag in S.CLASS_ORDER:
-        df = S.transform(df, tag, spec, on_error=on_error)
+        df = S.transform(df, tag, spec, on_error=on_error, flags=flags)
     if mask_data:
         df = M.mask_columns(df, mask_data["references_path"], mask_data["mask_cols"])
     if_needed = spec.get("standardize_cols_names", True)

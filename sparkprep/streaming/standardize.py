@@ -6,7 +6,11 @@ streaming DataFrame. Two operators are column-wide or stateful:
 
 * the float rule decides per column from *all* values (any value with two
   dots, ...). On an unbounded stream "all" never ends, so the flags come from
-  the spec (``float_flags``) or are taken per micro-batch in ``foreachBatch``;
+  the spec (``float_flags``), or ``foreachBatch`` merges each micro-batch's flags
+  with those of all batches before (``merge_flags``). A batch that changes them
+  has the earlier batches, kept as they came, written again under the new ones.
+  So the output is always that of one table with all rows so far, and as flags
+  only grow, that happens a few times in a stream's life;
 * masking extends a persistent dictionary, done per micro-batch in
   ``foreachBatch`` (a batch replayed after a failure finds its values
   already in the dictionary and reuses their keys).
@@ -18,14 +22,17 @@ restart names again each row is in the output once."""
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import names as NM
 from ..operators import standardize as S
 from ..operators.names import split_list
 from ..plans import process as P
+from ..session import list_folder, read_file, replace_file
 
 
 def standardize_stream(stream: DataFrame, data_types: dict, float_flags: dict[str, dict] | None = None,
@@ -52,13 +59,33 @@ def standardize_stream(stream: DataFrame, data_types: dict, float_flags: dict[st
 
 def standardize_batches(data_types: dict, output_path: str, mask_data: dict | None = None,
                         on_error: str = "fail") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function running the whole F1 (float flags and mask
-    per micro-batch) and writing the batch idempotently."""
+    """``foreachBatch`` function running the whole F1 and writing the batch
+    idempotently. With float columns the batches are also kept as they came, in
+    ``<output>/_batches``, and the flags merged so far in ``<output>/_flags.json``."""
+    base = output_path.rstrip("/")
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        out = P.standardize_table(batch, data_types, mask_data, on_error)
+    def write(rows: DataFrame, batch_id: int, flags: dict | None) -> None:
+        out = P.standardize_table(rows, data_types, mask_data, on_error, flags=flags)
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(output_path))
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(base))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cols = [c for c in split_list(NM.expand_wildcards(data_types, batch.columns).get("float_cols") or "") if c in batch.columns]
+        if not cols:
+            write(batch, batch_id, None)
+            return
+        kept = f"{base}/_batches/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(kept)
+        batch = spark.read.schema(batch.schema).parquet(kept)
+        before = json.loads(read_file(spark, f"{base}/_flags.json") or "{}")
+        flags = S.merge_flags(before, S.float_flags(batch, cols))
+        changed = [n for n in list_folder(spark, f"{base}/_batches") if before and flags != before]
+        for name in changed or [f"batch={batch_id}"]:
+            rows = spark.read.schema(batch.schema).parquet(f"{base}/_batches/{name}")
+            write(rows, int(name.split("=")[1]), flags)
+        # Last, so that a batch that fails on the way finds the old flags again and writes all once more.
+        replace_file(spark, f"{base}/_flags.json", json.dumps(flags))
 
     return run
 

@@ -7,40 +7,53 @@ from itertools import takewhile
 ENDS = [".com", ".pt", ".eu", ".biz", ".es", ".org", ".net", ".de"]
 
 
+def _stretches(runs):
+    """Runs of digits glued from the left into the shortest stretches of nine
+    digits or more, and the digits that are left."""
+    for n in range(1, len(runs) + 1):
+        stretch = "".join(runs[:n])
+        if len(stretch) >= 9:
+            more, rest = _stretches(runs[n:])
+            return [stretch] + more, rest
+    return [], "".join(runs)
+
+
 def phones(text):
-    found, acc = [], ""
-    for run in re.findall(r"[0-9]+", text or ""):
-        acc += run
-        if len(acc) >= 9:
-            found.append(acc)
-            acc = ""
-    if acc:
-        if found:
-            prev = found[-1]
-            found.append(prev[:len(prev) - len(acc)] + acc)
-    return ["+" + n if len(n) > 9 else n for n in found]
+    """A number is a stretch; digits left at the end are a variant of the last
+    number that ends with them. More than nine digits have a country's prefix."""
+    numbers, rest = _stretches(re.findall("[0-9]+", text or ""))
+    if numbers and rest:
+        numbers.append(numbers[-1][:-len(rest)] + rest)
+    return [f"+{n}" if len(n) > 9 else n for n in numbers]
+
+
+def _domain(after):
+    """Where a domain ends in the text after an @: behind the ending whose first
+    place is furthest right (not at the very begin); 0 if there is none."""
+    places = {e: after.find(e) for e in ENDS}
+    furthest = max(places, key=places.get)
+    return places[furthest] + len(furthest) if places[furthest] > 0 else 0
+
+
+def _addresses(before, sides):
+    """The addresses of the text ``before`` an @ and the texts on its other ``sides``."""
+    if not sides:
+        return []
+    raw, rest = sides[0], sides[1:]
+    after = "".join(raw.lower().replace("\t", " ").split(" "))
+    end = _domain(after)
+    if not end or end == len(after):
+        # Nothing before the next @ can be a name: it is passed over.
+        later = _addresses(rest[0], rest[1:]) if rest else []
+    else:
+        later = _addresses(after[end:], rest)
+    name = re.sub(r"\A\W+", "", before.lower().replace(" ", "")).encode("ascii", "ignore").decode()
+    return [f"{name}@{after[:end]}"] + later if end and name else later
 
 
 def emails(text):
-    parts = (text or "").split("@")
-    out, prev, skip = [], parts[0], False
-    for part in parts[1:]:
-        if skip:
-            prev, skip = part, False
-            continue
-        bite = part.lower().replace(" ", "").replace("\t", "")
-        hits = [(bite.find(e), e) for e in ENDS if bite.find(e) > 0]
-        if not hits:
-            prev, skip = part, True
-            continue
-        pos, e = max(hits)
-        end = pos + len(e)
-        local = re.sub(r"^[^\w]+", "", prev.lower().replace(" ", ""))
-        local = "".join(ch for ch in local if ord(ch) < 128)
-        if local:
-            out.append(local + "@" + bite[:end])
-        prev, skip = bite[end:], end >= len(bite)
-    return out
+    first, *sides = (text or "").split("@")
+    return _addresses(first, sides)
 
 
 def repair_quotes(line, delim, quote):

@@ -32,7 +32,7 @@ def test_mask_interleaved_runs_agree(spark):
     refs = work_path(spark, "test-dicts", unique=True)
     df = spark.range(200).selectExpr("id", "cast(id % 7 as string) as v")
     secret = M.secret_of(spark, refs)
-    a = df.select("id", M.key_of(F.col("v"), "d", secret).alias("v"))      # run A has keys, nothing committed yet
+    a = df.select("id", M.key_of(F.col("v"), "d", M.hidden(spark, secret)).alias("v"))      # run A has keys, nothing committed yet
     b = M.mask_columns(df, refs, {"v": "d"})                               # run B begins and commits
     M.extend_dictionaries(df, refs, {"v": "d"}, M.secret_of(spark, refs))  # then A commits
     got = {r.id: r.v for r in a.collect()}
@@ -55,3 +55,13 @@ def test_dictionaries_give_other_keys(spark):
     df = spark.createDataFrame([("a", "a")], "x string, y string")
     r = M.mask_columns(df, refs, {"x": "d", "y": "e"}).first()
     assert r.x != r.y
+
+
+def test_no_plan_shows_the_secret(spark):
+    refs = work_path(spark, "test-dicts", unique=True)
+    df = spark.range(10).selectExpr("id", "cast(id as string) as v")
+    for out, secret in ((M.mask_columns(df, refs, {"v": "d"}), M.secret_of(spark, refs)), (M.mask_keyed(df, ["v"], "some-salt-1"), "some-salt-1")):
+        before = out._jdf.queryExecution().toString()
+        assert len({r.v for r in out.collect()}) == 10
+        plans = before + out._jdf.queryExecution().toString() + out._jdf.queryExecution().executedPlan().treeString()
+        assert len(plans) > 200 and secret not in plans

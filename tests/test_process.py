@@ -192,8 +192,16 @@ def test_process_source_trims_lists_and_passes_on_error(spark):
     spec = _spec(base)
     spec["data_types"] = {"str_cols": "name,\n ", "int_cols": " qty", "float_cols": "amount "}
     spec["on_error"] = "quarantine"
-    got = P.process_source(spark, spec, src_time="20240102_000000").data
-    assert sorted((r.name, r.qty, r.amount, r._errors) for r in got.collect()) == [("ana", 1, 1.5, []), ("rui", 2, 0.0, ["amount"])]
+    got = P.process_source(spark, spec, src_time="20240102_000000")
+    assert [(r.name, r.qty, r.amount) for r in got.data.collect()] == [("ana", 1, 1.5)]
+    assert [(r.name, r.qty, r.amount, r._errors) for r in got.rejected.collect()] == [("rui", 2, 0.0, ["amount"])]
+    assert got.counts == {"rows": 1, "rejected": 1, "long_rows": 0, "failed": {"qty": 0, "amount": 1}}
+    assert "_errors" not in got.data.columns
+    # Sentinels stay in the snapshot and are counted.
+    spec["on_error"] = "sentinel"
+    got = P.process_source(spark, spec, src_time="20240103_000000")
+    assert sorted((r.name, r.amount) for r in got.data.collect()) == [("ana", 1.5), ("rui", 0.0)]
+    assert got.counts["failed"] == {"qty": 0, "amount": 1} and got.rejected.count() == 0
 
 
 def test_input_is_parsed_once(spark, monkeypatch):

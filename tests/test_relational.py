@@ -63,3 +63,11 @@ def test_date_parts_and_look_back(spark):
         R.group_by_date_part(df, "t", "QUARTER", F.count("*"))
     kept = R.look_back(df, "t", dt.datetime(2021, 3, 31), "date_part", 1, "MONTH").collect()
     assert sorted(r.t for r in kept) == [dt.datetime(2021, 2, 28), dt.datetime(2021, 3, 1)]
+
+
+def test_universe_keys_in_any_case(spark):
+    main = spark.createDataFrame([(1, "a"), (2, "b")], "Id int, v string")
+    uni = spark.createDataFrame([(2, 3)], "ID int, w int")
+    assert [tuple(r) for r in R.restrict_to_universe(main, uni, ["id:id"]).collect()] == [(2, "b", 2, 3)]
+    with pytest.raises(ValueError, match="names 0"):
+        R.restrict_to_universe(main, uni, ["key:id"])

@@ -186,3 +186,23 @@ def test_dates_do_not_depend_on_the_time_zone(spark):
 def test_anchor_template_must_be_whole():
     with pytest.raises(ValueError):
         D.anchor_python(__import__("datetime").datetime(2020, 1, 1), "yyyxmm01_000000")
+
+
+def test_formats_are_tried_by_shape(spark):
+    """The first format that parses wins, as if all were tried in order; each
+    value is tried only with the formats of its shape."""
+    from functools import reduce
+
+    formats = ["%d/%m/%Y", "%m/%d/%Y", "%Y-%m-%d", "%Y%m%d", "%d %b %Y", "%d/%m/%Y %H:%M", "%Y-%m-%dT%H:%M:%S", "%d.%m.%y", "Q%m-%Y", "%I:%M %p %d/%m/%Y"]
+    values = ["31/12/2020", "12/31/2020", "1/2/2021", "2020-02-30", "2020-2-3", "20200229", "20210229", "3 Mar 2020", "3 Xyz 2020", "1/1/2020 9:05",
+              "2020-01-02T03:04:05", "1.2.69", "1.2.68", "Q3-2020", "q3-2020", "11:05 PM 01/02/2020", "", None, " 1/1/2020", "1/1/2020 ", "99/99/9999",
+              "Q13-2020", "2020--1-1", "٣/٤/2020", "abc", "1/2/20"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    v = F.col("v")
+    one_by_one = F.coalesce(*[D.parse_timestamp(v, f) for f in formats])
+    name = reduce(lambda rest, f: F.when(D.parse_timestamp(v, f).isNotNull(), F.lit(f)).otherwise(rest), reversed(formats), F.lit(None))
+    rows = df.select("v", D.parse_date_value(v, formats).cast("string").alias("a"), one_by_one.cast("string").alias("b"),
+                     D.detect_format(v, formats).alias("c"), name.alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in rows), [r for r in rows if r.a != r.b or r.c != r.d]
+    assert sum(r.a is not None for r in rows) > 10
+    assert [D.format_mask(f) for f in ("%d/%m/%Y", "%Y%m%d", "%d %b %Y", "%Y-%m-%dT%H:%M:%S")] == ["9/9/9", "9", "9 a 9", "9-9-9a9:9:9"]

@@ -73,7 +73,7 @@ def test_read_named_modes_and_csv(spark):
     a, b = SN.read_named(spark, {"both": {"root": r, "product": "p", "tags": ["a", "a"]}}, "both")
     assert _one(a) == _one(b) == {TAGS[2]}
     csv_latest = SN.read_named(spark, cat, "csv")
-    assert [(r_.id, r_.tag) for r_ in csv_latest.collect()] == [(0, TAGS[2])]  # types are inferred
+    assert [(r_.id, r_.tag) for r_ in csv_latest.collect()] == [(0, TAGS[2])]  # types are kept
     with pytest.raises(KeyError):
         SN.read_named(spark, cat, "nope")
 
@@ -105,3 +105,77 @@ def test_parts_do_not_disturb_the_tag(spark):
 def test_missing_is_an_error(spark):
     with pytest.raises(FileNotFoundError):
         SN.read_latest(spark, work_path(spark, "test-none", unique=True))
+
+
+def _failing(spark):
+    """Fails in its last rows, when others have been written."""
+    return spark.range(0, 4000, 1, 4).withColumn("v", F.when(F.col("id") == 3999, F.raise_error(F.lit("broken"))).otherwise(F.lit(1)).cast("int"))
+
+
+def test_failed_runs_are_invisible(spark):
+    r = work_path(spark, "test-commit", unique=True)
+    path = SN.snapshot_path(r, "a")
+    with pytest.raises(Exception, match="broken"):
+        SN.write_snapshot(_failing(spark), r, "a", TAGS[0])
+    assert SN.snapshot_names(spark, path) == [] and not SN.list_folder(spark, f"{path}/{SN.STAGING}")
+    with pytest.raises(FileNotFoundError):
+        SN.read_latest(spark, path)
+    SN.write_snapshot(spark.range(5).withColumn("v", F.lit(7)), r, "a", TAGS[0])
+    for tag in TAGS[:2]:  # a re-run, and a first write
+        with pytest.raises(Exception, match="broken"):
+            SN.write_snapshot(_failing(spark), r, "a", tag)
+    with pytest.raises(Exception, match="broken"):
+        SN.write_snapshots_by(_failing(spark), path, F.lit(TAGS[2]))
+    assert SN.snapshot_names(spark, path) == TAGS[:1]
+    assert [tuple(x) for x in SN.read_latest(spark, path).select("id", "v").orderBy("id").collect()] == [(i, 7) for i in range(5)]
+    assert SN.commit_of(spark, path, TAGS[0])["figures"] == {"rows": 5, "rejected": 0}
+
+
+def test_failed_run_leaves_the_gate_open(spark):
+    from sparkprep.plans import process as P
+
+    base = work_path(spark, "test-gate", unique=True)
+    spark.createDataFrame([("31/02/2020",)], "day string").write.option("header", True).csv(f"{base}/in/src_20240101_000000.csv")
+    spec = {"raw_source": {"load_parameters": {"path": f"{base}/in", "file_name": "src"}, "type": {"specifics": "file"}},
+            "data_types": {"date_cols": {"cols": "day", "global_format": "%d/%m/%Y"}},
+            "processed_source": {"save_parameters": {"path": f"{base}/out", "tag": "src"}}, "conf_file": {"refresh_rate": "day,7"}}
+    with pytest.raises(Exception, match="unparsable"):
+        P.process_source(spark, spec, now=dt.datetime(2024, 3, 1))
+    spec["on_error"] = "quarantine"
+    done = P.process_source(spark, spec, now=dt.datetime(2024, 3, 1))
+    assert done.status == "written" and done.data.count() == 0 and done.rejected.count() == 1
+    assert P.process_source(spark, spec, now=dt.datetime(2024, 3, 2)).status == "fresh"
+
+
+def test_rejected_rows_and_figures_from_one_write(spark):
+    df = spark.range(10).select("id", F.array(F.when(F.col("id") % 3 == 0, F.lit("id"))).alias("why"))
+    for kind in ("parquet", "csv", "orc", "json"):
+        r = work_path(spark, "test-rejected", unique=True)
+        path = SN.write_snapshot(df, r, "a", TAGS[0], file_type=kind, rejected=F.col("why")[0].isNotNull(), reasons="why",
+                                 figures={"odd": F.sum(F.col("id") % 2)})
+        assert SN.read_latest(spark, path).columns == ["id", "snapshot"]
+        assert sorted(x.id for x in SN.read_latest(spark, path).collect()) == [1, 2, 4, 5, 7, 8]
+        assert sorted(x.id for x in SN.read_rejected(spark, path, TAGS[0]).collect()) == [0, 3, 6, 9]
+        assert SN.commit_of(spark, path, TAGS[0])["figures"] == {"rows": 6, "rejected": 4, "odd": 5}
+        assert sorted(x.id for x in SN.read_snapshots(spark, path).collect()) == [1, 2, 4, 5, 7, 8]
+
+
+def test_text_snapshots_keep_their_types(spark):
+    r = work_path(spark, "test-types", unique=True)
+    rows = [("007", 1.5, dt.datetime(2024, 1, 2, 3, 4, 5), None), ("1e5", None, None, ""), ('a\n"b', 2.0, None, " x ")]
+    schema = "code string, n double, at timestamp, note string"
+    path = SN.write_snapshot(spark.createDataFrame(rows, schema), r, "a", TAGS[0], file_type="csv")
+    got = SN.read_latest(spark, path).drop("snapshot")
+    assert got.dtypes == [("code", "string"), ("n", "double"), ("at", "timestamp"), ("note", "string")]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_vacuum_removes_only_what_no_commit_names(spark):
+    r = work_path(spark, "test-vacuum", unique=True)
+    for n in (1, 2):
+        path = SN.write_snapshot(spark.range(n), r, "a", TAGS[0])
+    spark.range(1).write.parquet(f"{path}/{SN.STAGING}/left")
+    assert SN.vacuum_snapshots(spark, path) == []  # all is young
+    gone = SN.vacuum_snapshots(spark, path, older_than_hours=-1)
+    assert len(gone) == 2 and f"{SN.STAGING}/left" in gone
+    assert SN.read_latest(spark, path).count() == 2 and SN.vacuum_snapshots(spark, path, older_than_hours=-1) == []

@@ -34,3 +34,22 @@ def test_stream_row_wise_and_batches(spark):
     assert res == [("ana", 1234.56, 7), ("eva", 2.0, 9), ("rui", 12.3, 0)]
     with pytest.raises((TypeError, ValueError)):
         ST.start_standardize(spark.readStream.schema(schema).parquet(src), types, dst)
+
+
+def test_batches_agree_with_one_table(spark):
+    """The second batch tells that commas group digits: the first is written again under the flags of both."""
+    from sparkprep.plans import process as P
+
+    types = {"str_cols": "name", "float_cols": "amount,rate", "decimal": "."}
+    parts = [[("a", "1,50", "5"), ("b", "12,345", "7.5")], [("c", "1,234,567.89", "10%"), ("d", "3,25", "x1" * 0 + "2")], [("e", "4", "")]]
+    schema = "name string, amount string, rate string"
+    whole = spark.createDataFrame([r for p in parts for r in p], schema)
+    want = sorted(map(tuple, P.standardize_table(whole, types, on_error="sentinel").collect()))
+    dst = work_path(spark, "test-stream-flags", unique=True)
+    run = ST.standardize_batches(types, dst, on_error="sentinel")
+    for i in (0, 1, 1, 2, 0):   # two batches come again, as after a failure
+        run(spark.createDataFrame(parts[i], schema), i)
+    got = spark.read.parquet(dst)
+    assert sorted((r.name, r.amount, r.rate) for r in got.collect()) == want
+    alone = P.standardize_table(spark.createDataFrame(parts[0], schema), types, on_error="sentinel").collect()
+    assert sorted(map(tuple, alone)) != [t for t in want if t[0] in "ab"]
