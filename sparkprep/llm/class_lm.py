@@ -5,14 +5,19 @@ it, times that of the word within its class.
 
 * *Counts.* Words of all training texts are counted, with a partial count in
   each task.
-* *Units.* Exchange clustering moves units: each of the ``WORDS`` most frequent
-  words is one, every other word belongs to the unit of its ending (a hash of
-  its last two bytes, ``ENDINGS`` units), so every word has a class, unseen ones
-  too. One pass counts all neighbouring units of the training texts into a
-  table of at most (WORDS + ENDINGS + 1) squared cells.
-* *Classes.* Sweeps over the units move each to the class with the greatest
-  likelihood of the unit bigrams, until no unit moves. The table has a fixed
-  bound, so this runs on the driver.
+* *First classes.* Exchange clustering moves units: each of the ``WORDS`` most
+  frequent words is one, every other word belongs to the unit of its ending (a
+  hash of its last two bytes, ``ENDINGS`` units). One pass counts all neighbouring
+  units of the training texts into a table of at most (WORDS + ENDINGS + 1)
+  squared cells, and sweeps move each unit to the class with the greatest
+  likelihood, until none moves; the table has a fixed bound, so this runs on the
+  driver. There are more classes the more tokens there are.
+* *Classes of words.* Then each word of the dictionary (``DICTIONARY`` most
+  frequent) is exchanged by itself, ``WORD_SWEEPS`` times: a pass counts the
+  classes before and after every word, tasks add these up for blocks of words and
+  move each to its best class, and the next pass counts the classes that follow
+  each other. A sweep that lowers the likelihood is taken back. Words that are in
+  no dictionary, unseen ones too, have the class of their ending.
 * *Scores.* A text's classes are known in its task. The counts of the
   ``DICTIONARY`` most frequent words are sent to the tasks (a documented bound);
   those of the others are joined by word, as (document, word, times) rows.
@@ -37,8 +42,12 @@ from .common import Memo, bounded_batches, exact, slices, texts
 
 WORDS = 1024
 ENDINGS = 128
+#: Classes of a corpus of a few words; see ``class_count``.
 CLASSES = 48
 SWEEPS = 12
+WORD_SWEEPS = 2
+#: Words whose neighbours one task adds up at once.
+BLOCK = 256
 DICTIONARY = 100_000
 ALPHA = 0.1
 #: Weight of the classes' own frequencies against the classes that follow.
@@ -81,15 +90,18 @@ def frequent_words(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarra
     classes for each doubling), so that no task sorts a share of all words."""
     size = F.floor(F.log2("c") * 16)
     classes = counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()
-    room, least = most, None
+    room, taken = most, F.lit(False)
     for r in classes:
-        room -= r["n"]
-        if room < 0:
+        if r["n"] > room:
+            # Words of one size that don't all fit: those whose hash is low.
+            low = F.pmod(F.xxhash64("word"), F.lit(1 << 31)) < F.lit(int((1 << 31) * room / r["n"]))
+            taken = taken | ((size == r["size"]) & low)
             break
-        least = r["size"]
-    got = counts.where(size >= least).toArrow() if least is not None else counts.limit(0).toArrow()
+        room -= r["n"]
+        taken = size >= r["size"]
+    got = counts.where(taken).toArrow()
     words, n = got.column("word").to_pylist(), got.column("c").to_numpy().astype(float)
-    order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))
+    order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))[:most]
     return [words[i] for i in order], n[order]
 
 
@@ -173,6 +185,135 @@ def class_table(pairs: np.ndarray, of: np.ndarray, classes: int) -> np.ndarray:
     return member.T @ pairs @ member
 
 
+def class_count(tokens: int) -> int:
+    """Classes for a corpus of so many tokens: twice its fifth root, 48 at least."""
+    return max(CLASSES, int(2 * tokens ** 0.2))
+
+
+def likelihood(follow: np.ndarray) -> float:
+    """What of the training texts' log-likelihood depends on the classes."""
+    f = lambda x: float((x * np.log(np.maximum(x, 1.0))).sum())
+    return f(follow) - f(follow.sum(0)) - f(follow.sum(1))
+
+
+def best_classes(before: np.ndarray, after: np.ndarray, follow: np.ndarray) -> np.ndarray:
+    """The class of each word (row) with the greatest likelihood, the classes of
+    all others as they are: ``before`` and ``after`` have how often each class
+    stands there, ``follow`` how often classes follow each other."""
+    step = np.log(follow + 0.5)
+    seen = np.log(follow.sum(1) + 0.5) + np.log(follow.sum(0) + 0.5)
+    score = before @ step + after @ step.T - before.sum(1, keepdims=True) * seen
+    return score[:, :-1].argmax(1)
+
+
+def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_ending: np.ndarray, end: int,
+                follow: np.ndarray | None):
+    """One pass over the training texts under the given classes. Gives how often
+    classes follow each other, and, if that is known already (``follow``), the best
+    class of each dictionary word. The end token's class is ``end``, the last."""
+    spark = docs.sparkSession
+    classes, run = end + 1, uuid.uuid4().hex
+    shared = spark.sparkContext.broadcast((words, class_of, of_ending))
+
+    def task(batches):
+        import pyarrow as pa
+
+        words, class_of, of_ending = shared.value
+        at = _dictionary(run, words)
+        table = np.zeros(classes * classes, np.int64)
+        around = np.zeros(len(words) * 2 * classes if follow is not None else 0, np.int32)
+        for piece in slices(batches):
+            pairs, cells = [], []
+            for text in texts(piece.column("text")):
+                tokens = text.lower().split()
+                place = np.array([at.get(w, -1) for w in tokens], np.int64)
+                own = class_of[place] if len(words) else np.zeros(len(place), np.int64)
+                other = np.flatnonzero(place < 0).tolist()
+                own[other] = of_ending[[ending(tokens[i]) for i in other]]
+                line = np.concatenate([[end], own, [end]])
+                pairs.append(line[:-1] * classes + line[1:])
+                if follow is not None:
+                    known = np.flatnonzero(place >= 0)
+                    first = place[known] * (2 * classes)
+                    cells += [first + line[known], first + classes + line[known + 2]]
+            table += np.bincount(np.concatenate(pairs), minlength=len(table))
+            if cells:
+                cell, count = np.unique(np.concatenate(cells), return_counts=True)
+                around[cell] += count.astype(np.int32)
+        rows = [(-1, np.flatnonzero(table), table[table > 0])]
+        cell = np.flatnonzero(around)
+        cuts = np.searchsorted(cell, np.arange(0, len(around) + 1, BLOCK * 2 * classes)).tolist() + [len(cell)]
+        rows += [(b, cell[i:j] - b * BLOCK * 2 * classes, around[cell[i:j]]) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([c.astype("<i4").tobytes() for _, c, _ in rows], pa.binary()),
+             pa.array([m.astype("<i8" if b < 0 else "<i4").tobytes() for b, _, m in rows], pa.binary())], ["block", "cells", "counts"])
+
+    def merged(batches):
+        import pyarrow as pa
+
+        def done(block, total):
+            if block < 0:
+                where = np.flatnonzero(total)
+                value = total[where]
+            else:
+                some = total.reshape(-1, 2, classes).astype(float)
+                where = np.flatnonzero(some.sum((1, 2)))
+                value = best_classes(some[where, 0], some[where, 1], follow)
+                where = where + block * BLOCK
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(where), min(block, 0)), pa.int32()), pa.array(where, pa.int64()),
+                                               pa.array(value, pa.int64())], ["kind", "at", "value"])
+
+        block, total = None, None
+        for batch in batches:
+            for b, cells, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "cells", "counts"))):
+                if b != block:
+                    if block is not None:
+                        yield done(block, total)
+                    block, total = b, np.zeros(classes * classes if b < 0 else BLOCK * 2 * classes, np.int64)
+                total[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<i8" if b < 0 else "<i4")
+        if block is not None:
+            yield done(block, total)
+
+    part = docs.where("NOT held_out").select("text").mapInArrow(task, "block int, cells binary, counts binary")
+    got = part.repartition("block").sortWithinPartitions("block").mapInArrow(merged, "kind int, at bigint, value bigint").toArrow()
+    kind, where, value = (got.column(c).to_numpy() for c in ("kind", "at", "value"))
+    table = np.zeros(classes * classes)
+    table[where[kind < 0]] = value[kind < 0]
+    moved = class_of.copy()
+    moved[where[kind == 0]] = value[kind == 0]
+    shared.destroy()
+    return table.reshape(classes, classes), moved
+
+
+def _dictionary(run: str, words: list[bytes]) -> dict[bytes, int]:
+    """A worker's places of the dictionary's words."""
+    at = _DICTIONARIES.get(run)
+    if at is None:
+        _DICTIONARIES.clear()
+        at = _DICTIONARIES[run] = {w: i for i, w in enumerate(words)}
+    return at
+
+
+def fit_classes(docs: DataFrame, counts: DataFrame, n_train: int):
+    """The dictionary and its counts, the classes of its words and of endings,
+    and how often classes follow each other in the training texts."""
+    words, word_counts = frequent_words(counts, DICTIONARY)
+    unit_of = {w: i for i, w in enumerate(words[:WORDS])}
+    first_ending, n_classes = len(unit_of), class_count(n_train)
+    pairs = count_unit_pairs(docs, unit_of)
+    of = exchange(pairs, n_classes)
+    follow = class_table(pairs, of, n_classes + 1)
+    ending_class = of[first_ending : first_ending + ENDINGS]
+    word_class = np.array([of[unit_of[w]] if w in unit_of else ending_class[ending(w)] for w in words], np.int64)
+    for _ in range(WORD_SWEEPS if words else 0):
+        _, moved = sweep_words(docs, words, word_class, ending_class, n_classes, follow)
+        after, _ = sweep_words(docs, words, moved, ending_class, n_classes, None) if (moved != word_class).any() else (follow, None)
+        if likelihood(after) <= likelihood(follow):
+            break
+        word_class, follow = moved, after
+    return words, word_counts, word_class, ending_class, follow
+
+
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
     spark = df.sparkSession
@@ -186,28 +327,22 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(is_end, F.col("c"))).alias("ends")).first()
     n_train, n_distinct, n_ends = total["n"] or 0, total["v"] or 0, total["ends"] or 0
 
-    words, word_counts = frequent_words(counts.where(~is_end), DICTIONARY)
-    unit_of = {w: i for i, w in enumerate(words[:WORDS])}
-    first_ending = len(unit_of)
-    pairs = count_unit_pairs(docs, unit_of)
-    of = exchange(pairs)
-    follow = class_table(pairs, of, CLASSES + 1)
-    # Distinct words of a class: its own frequent words and those of its endings.
-    distinct = np.bincount(of, minlength=CLASSES + 1) * 0.0
-    np.add.at(distinct, of[:first_ending], 1)
-    distinct[CLASSES] = 1 if n_ends else 0
+    words, word_counts, word_class, ending_class, follow = fit_classes(docs, counts.where(~is_end), n_train)
+    n_classes = len(follow) - 1
+    # Distinct words of a class: its own dictionary words and those of its endings.
+    distinct = np.bincount(word_class, minlength=n_classes + 1) * 1.0
+    distinct[n_classes] = 1 if n_ends else 0
     by_ending = {r["e"]: r["n"] for r in counts.where(~is_end).groupBy(of_ending.alias("e")).count().withColumnRenamed("count", "n").collect()}
-    for w in words[:WORDS]:
+    for w in words:
         by_ending[ending(w)] -= 1
     for e, n in by_ending.items():
-        distinct[of[first_ending + e]] += n
+        distinct[ending_class[e]] += n
     in_class = follow.sum(0)
-    share = (in_class + 1) / (in_class.sum() + CLASSES + 1)
+    share = (in_class + 1) / (in_class.sum() + n_classes + 1)
     step = np.log10((follow + BETA * share) / (follow.sum(1, keepdims=True) + BETA))
     inside = np.log10(in_class + ALPHA * (distinct + 1))
     # Places: the dictionary's words, then the endings, then the end token.
-    class_of = np.r_[[of[unit_of[w]] if w in unit_of else of[first_ending + ending(w)] for w in words],
-                     of[first_ending : first_ending + ENDINGS], CLASSES].astype(np.int64)
+    class_of = np.r_[word_class, ending_class, n_classes].astype(np.int64)
     log_count = np.r_[np.log10(word_counts + ALPHA), np.zeros(ENDINGS), np.log10(n_ends + ALPHA)]
     known = np.r_[np.ones(len(words), np.int64), np.zeros(ENDINGS, np.int64), int(n_ends > 0)]
     run = uuid.uuid4().hex
@@ -217,10 +352,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         import pyarrow as pa
 
         words, class_of, log_count, known, step, inside = shared.value
-        at = _DICTIONARIES.get(run)
-        if at is None:
-            _DICTIONARIES.clear()
-            at = _DICTIONARIES[run] = {w: i for i, w in enumerate(words)}
+        at = _dictionary(run, words)
         n, end = len(words), len(class_of) - 1
         for piece in slices(batches):
             out, rare, rare_n = [], [], []
@@ -230,7 +362,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 others = [tokens[i] for i in np.flatnonzero(place < 0).tolist()]
                 place[place < 0] = [n + ending(w) for w in others]
                 cls = class_of[place]
-                classes = step[np.r_[CLASSES, cls[:-1]], cls].sum() - inside[cls].sum()
+                classes = step[np.r_[n_classes, cls[:-1]], cls].sum() - inside[cls].sum()
                 out.append((len(place), int(known[place].sum()), float(log_count[place].sum()), float(classes)))
                 each = Counter(others)
                 rare.append(list(each))

@@ -92,3 +92,103 @@ def test_clashing_names_and_long_texts(spark):
     df = spark.createDataFrame([(i, "w%d " % (i % 3) * 20_000, "x", 1.0) for i in range(6)],
                                "doc_id bigint, text string, Text string, score double")
     assert {r.n_tokens for r in L.score_texts(df).collect()} == {20_001}
+
+
+def plain_tables(rows, class_of, end):
+    """How often classes follow each other, and the classes around each word."""
+    follow, before, after = Counter(), Counter(), Counter()
+    for d, t in rows:
+        if d is None or zlib.crc32(str(d).encode()) % 10 == 0:
+            continue
+        words = tokens(t)[:-1]
+        line = [end] + [class_of(w) for w in words] + [end]
+        follow.update(zip(line, line[1:]))
+        for i, w in enumerate(words):
+            before[w, line[i]] += 1
+            after[w, line[i + 2]] += 1
+    return follow, before, after
+
+
+def as_docs(spark, rows):
+    from pyspark.sql import functions as F
+
+    return spark.createDataFrame(rows, SCHEMA).withColumn(
+        "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10, F.lit(0)) == 0)
+
+
+def test_sweep_against_counting(spark, monkeypatch):
+    """Tables of one pass, and each word's class by the definition of its gain."""
+    rows = rows_of_two_languages(150)
+    docs = as_docs(spark, rows).repartition(3)
+    every = sorted({w for _, t in rows for w in tokens(t) if w is not None})
+    words = [w.encode() for w in every[::2]]
+    rnd = random.Random(4)
+    class_of = np.array([rnd.randrange(5) for _ in words], np.int64)
+    of_ending = np.array([rnd.randrange(5) for _ in range(L.ENDINGS)], np.int64)
+    at = dict(zip(words, class_of.tolist()))
+    cls = lambda w: at.get(w.encode(), int(of_ending[L.ending(w.encode())]))
+    follow, before, after = plain_tables(rows, cls, 5)
+    table, _ = L.sweep_words(docs, words, class_of, of_ending, 5, None)
+    assert {(i, j): table[i, j] for i in range(6) for j in range(6) if table[i, j]} == follow
+    monkeypatch.setattr(L, "BLOCK", 7)
+    again, moved = L.sweep_words(docs, words, class_of, of_ending, 5, table)
+    assert (again == table).all()
+    for w, got, old in zip(words, moved.tolist(), class_of.tolist()):
+        w = w.decode()
+        n = sum(before[w, k] for k in range(6))
+        gain = [sum(before[w, k] * math.log(table[k, c] + 0.5) + after[w, k] * math.log(table[c, k] + 0.5) for k in range(6))
+                - n * (math.log(table[c].sum() + 0.5) + math.log(table[:, c].sum() + 0.5)) for c in range(5)]
+        assert got == old if not n else gain[got] == pytest.approx(max(gain))
+
+
+def test_score_by_its_definition(spark):
+    rows = rows_of_two_languages(300)
+    docs, df = as_docs(spark, rows), spark.createDataFrame(rows, SCHEMA)
+    counts = L.count_words(docs)
+    c = {r.word.decode(): r.c for r in counts.collect()}
+    n_train = sum(c.values())
+    words, n, word_class, ending_class, follow = L.fit_classes(docs, counts.where("length(word) > 0"), n_train)
+    end = len(follow) - 1
+    at = {w.decode(): int(k) for w, k in zip(words, word_class)}
+    cls = lambda w: end if w is None else at.get(w, int(ending_class[L.ending(w.encode())]))
+    table, _, _ = plain_tables(rows, cls, end)
+    assert {(i, j): follow[i, j] for i in range(end + 1) for j in range(end + 1) if follow[i, j]} == table
+    into = follow.sum(0)
+    members = Counter(cls(w or None) for w in c)
+    share = (into + 1) / (into.sum() + end + 1)
+    for r in L.score_texts(df).collect():
+        texts = {t for d, t in rows if d == r.doc_id}
+        want = []
+        for t in texts:
+            last, total = end, 0.0
+            for w in tokens(t):
+                k = cls(w)
+                total += math.log10((follow[last, k] + L.BETA * share[k]) / (follow[last].sum() + L.BETA))
+                total += math.log10((c.get("" if w is None else w, 0) + L.ALPHA) / (into[k] + L.ALPHA * (members[k] + 1)))
+                last = k
+            want.append(total)
+        assert any(r.score == pytest.approx(x, rel=1e-9) for x in want)
+
+
+def test_words_of_one_size_are_cut_by_word(spark):
+    """More words that occur once than fit: the dictionary is filled with some of them."""
+    from pyspark.sql import functions as F
+
+    counts = spark.range(5000).select(F.encode(F.concat(F.lit("w"), "id"), "utf-8").alias("word"), F.when(F.col("id") < 10, 9).otherwise(1).cast("long").alias("c"))
+    words, n = L.frequent_words(counts, 1000)
+    assert 900 <= len(words) <= 1000 and (n[:10] == 9).all() and len(set(words)) == len(words)
+    assert L.frequent_words(counts, 1000)[0] == words
+
+
+def test_word_sweeps_raise_the_likelihood(spark):
+    rows = rows_of_two_languages(400)
+    docs = as_docs(spark, rows)
+    counts = L.count_words(docs).where("length(word) > 0")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(L, "WORDS", 4)  # endings alone can't tell the kinds apart
+        m.setattr(L, "ENDINGS", 128)
+        found = []
+        for sweeps in (0, 1, 2):
+            m.setattr(L, "WORD_SWEEPS", sweeps)
+            found.append(L.likelihood(L.fit_classes(docs, counts, 10_000)[4]))
+    assert found[0] <= found[1] <= found[2]
