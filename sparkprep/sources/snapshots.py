@@ -152,6 +152,23 @@ def commit_of(spark: SparkSession, path: str, name: str) -> dict:
     return json.loads(text)
 
 
+def adopt_snapshots(spark: SparkSession, path: str, file_type: str = "parquet", delimiter: str = ",") -> list[str]:
+    """Commits folders ``snapshot=<name>`` that other tools (or this library
+    before it had commits) have finished writing, as their ``_SUCCESS`` file
+    tells. Gives their names; names that are committed already are left."""
+    base, mark, made = path.rstrip("/"), f"{SNAPSHOT}=", []
+    for folder in list_folder(spark, base):
+        name = folder[len(mark):]
+        if folder.startswith(mark) and name not in snapshot_names(spark, path) and "_SUCCESS" in list_folder(spark, f"{base}/{folder}"):
+            options = dict(header=True, sep=delimiter, escape='"', inferSchema=True) if file_type == "csv" else {}
+            schema = spark.read.format(file_type).options(**options).load(f"{base}/{folder}").schema
+            commit = {"run": "", "format": file_type, "delimiter": delimiter, "schema": schema.jsonValue(), f"{SNAPSHOT}_folder": folder,
+                      f"{REJECTED}_folder": None, "written": time.time()}
+            replace_file(spark, f"{base}/{COMMITS}/{name}.json", json.dumps(commit))
+            made.append(name)
+    return made
+
+
 def vacuum_snapshots(spark: SparkSession, path: str, older_than_hours: float = 24.0) -> list[str]:
     """Removes what no commit names: replaced runs and staging folders of
     failed ones, if last changed that long ago (a run that is being written, or
@@ -161,7 +178,7 @@ def vacuum_snapshots(spark: SparkSession, path: str, older_than_hours: float = 2
     named = {c.get(f"{k}_folder") for c in commits.values() for k in (SNAPSHOT, REJECTED)}
     found = [f"{STAGING}/{run}" for run in list_folder(spark, f"{base}/{STAGING}")]
     for folder in list_folder(spark, base):
-        if folder.startswith((f"{SNAPSHOT}=", f"{REJECTED}=")):
+        if folder.startswith((f"{SNAPSHOT}=", f"{REJECTED}=")) and folder not in named:
             found += [f"{folder}/{run}" for run in list_folder(spark, f"{base}/{folder}")]
     old = [f for f in found if f not in named and modified(spark, f"{base}/{f}") <= time.time() - 3600 * older_than_hours]
     for f in old:
@@ -209,8 +226,8 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
         folders = [c[f"{SNAPSHOT}_folder"] for c in group if c[f"{SNAPSHOT}_folder"]]
         one = _load(spark, path, group[0], folders)
         hidden = _hidden(group[0])
-        # Every file lies in <path>/snapshot=<name>/<run>.
-        name = F.regexp_extract(F.col("_metadata.file_path"), f"/{SNAPSHOT}=([^/]+)/[^/]+/[^/]+$", 1) if folders else F.lit("")
+        # Every file lies in <path>/snapshot=<name>/<run>, adopted ones without a run.
+        name = F.regexp_extract(F.col("_metadata.file_path"), f"/{SNAPSHOT}=([^/]+)/(?:[^/]+/)?[^/]+$", 1) if folders else F.lit("")
         one = one.withColumn(SNAPSHOT, name).drop(*hidden)
         whole = one if whole is None else whole.unionByName(one, allowMissingColumns=True)
     rest = [c for c in whole.columns if c != SNAPSHOT]

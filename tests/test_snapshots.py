@@ -179,3 +179,16 @@ def test_vacuum_removes_only_what_no_commit_names(spark):
     gone = SN.vacuum_snapshots(spark, path, older_than_hours=-1)
     assert len(gone) == 2 and f"{SN.STAGING}/left" in gone
     assert SN.read_latest(spark, path).count() == 2 and SN.vacuum_snapshots(spark, path, older_than_hours=-1) == []
+
+
+def test_folders_of_other_tools_are_adopted_when_finished(spark):
+    r = work_path(spark, "test-adopt", unique=True)
+    path = SN.write_snapshot(spark.range(3), r, "a", TAGS[2])
+    spark.range(5).write.parquet(f"{path}/snapshot={TAGS[0]}")
+    spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/snapshot={TAGS[1]}")
+    assert SN.snapshot_names(spark, path) == [TAGS[2]]
+    assert SN.adopt_snapshots(spark, path) == [TAGS[0]] and SN.adopt_snapshots(spark, path) == []
+    assert SN.read_as_of(spark, path, TAGS[1]).count() == 5
+    assert SN.read_snapshots(spark, path).groupBy("snapshot").count().orderBy("snapshot").collect() == [(TAGS[0], 5), (TAGS[2], 3)]
+    SN.vacuum_snapshots(spark, path, older_than_hours=-1)
+    assert SN.read_as_of(spark, path, TAGS[1]).count() == 5
