@@ -148,6 +148,7 @@ way(doc_id, leaf, source_key, g, lvl, pos, proof, folded) AS (
   SELECT doc_id, leaf, source_key, g2, lvl2, pos2, proof || l || r, CASE WHEN up THEN sha256(l || folded || r) ELSE folded END
   FROM way JOIN steps ON steps.g = way.g AND steps.lvl = way.lvl AND steps.pos = way.pos),
 ends AS (SELECT doc_id, leaf, source_key AS g, proof, folded FROM way WHERE g = '^' AND lvl = (SELECT max(lvl) FROM top))
-SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+SELECT doc_id, CASE WHEN ends.g <> '' THEN substr(ends.g, 2) END AS source, leaf, subroot, root, sha256(proof) AS proof_sha256,
+  folded AS folded_root, folded = root AS verified
 FROM ends JOIN sub ON sub.g = ends.g, (SELECT h AS root FROM top WHERE size = 1)
 """
