@@ -14,8 +14,10 @@ tokens and the hash's arrays are sent to the tasks (bounded by the vocabulary).
 A worker remembers results of pre-tokens in a bounded table.
 
 Defined results: null counts as empty and has no ids; any text is encoded
-whole; special tokens do not exist: their strings are ordinary text; null ids
-and repeated rows are rows like others."""
+whole, however long (a task holds it once, with its ids); special tokens do not
+exist: their strings are ordinary text; null ids and repeated rows are rows like
+others; an empty table gives no rows; further columns are not looked at, whatever
+their names."""
 
 from __future__ import annotations
 

@@ -24,8 +24,9 @@ it, times that of the word within its class.
 
 Defined results: null text is empty and has the end token alone; a null id is
 held out; rows that repeat an id are scored each for itself; without training
-texts every count is zero; an empty table gives no rows. Words are compared as
-UTF-8 bytes with A-Z in lower case."""
+texts every count is zero; an empty table gives no rows; a text of any length is
+scored whole by one task; further columns are not looked at. Words are compared
+as UTF-8 bytes with A-Z in lower case."""
 
 from __future__ import annotations
 

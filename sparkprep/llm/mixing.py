@@ -21,7 +21,9 @@ order of weights; null text counts as empty; documents without words are
 emitted at their source's rate and take no words; a source without words has
 target 0 and rate 0; the offset depends on the source's name and ``seed``
 alone, so reruns agree; an empty table gives no rows. A null id counts as an
-id that comes first; rows that repeat an id are documents of their own."""
+id that comes first; rows that repeat an id are documents of their own; a text of
+any length is counted where it is read and not moved by the plan; further columns
+are not looked at, but ``mix`` carries them."""
 
 from __future__ import annotations
 

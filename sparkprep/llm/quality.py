@@ -12,7 +12,9 @@ middle further down.
 
 Defined results: null and empty texts have no words and fail the base rules;
 without labels of both kinds the verdict is the base rules' alone; null ids
-and repeated rows are judged like others; an empty table gives no rows."""
+and repeated rows are judged like others; an empty table gives no rows; a text of
+any length is read whole by one task; further columns are not looked at, whatever
+their names."""
 
 from __future__ import annotations
 

@@ -18,7 +18,9 @@ own, in another task, so that long runs are searched whole too.
 
 Defined results: null counts as empty; texts without words have fingerprint
 zero and link like others; rows that repeat an id are documents of their own;
-a null id never names a component unless all its ids are null."""
+a null id never names a component unless all its ids are null; a text of any
+length is one fingerprint, taken in one task; an empty table gives no rows;
+further columns are not looked at, but ``drop_near_copies`` carries them."""
 
 from __future__ import annotations
 

@@ -27,8 +27,10 @@ Documents with the same words as one with a smaller id lose all words (from
 windows.
 
 Defined results: null counts as empty; a null id comes after all others, and
-rows with the same id (null too) don't remove each other's words; documents
-below ``WINDOW`` words keep all; an empty table gives no rows."""
+rows with the same id (null too) don't remove each other's words; ids that are
+no integers are ranked in their own order; documents below ``WINDOW`` words keep
+all; a text of any length is split into words by one task, but its windows go to
+many; an empty table gives no rows; further columns are not looked at."""
 
 from __future__ import annotations
 
@@ -41,6 +43,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import SPACE_CLASS, bounded_batches, exact, slices, texts
+from .ordered import numbered
 
 WINDOW = 50
 PREFIX = 8
@@ -287,8 +290,14 @@ def _remove(batches):
 
 def _found(df: DataFrame, id_col: str, text_col: str, window: int, prefix: int, hot: int):
     bounded_batches(df)
-    docs = exact(df, doc_id=id_col, text=text_col).withColumns(
-        {"rid": F.xxhash64("doc_id", "text"), "ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))})
+    docs = exact(df, doc_id=id_col, text=text_col).withColumn("rid", F.xxhash64("doc_id", "text"))
+    if docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        rank = F.col("doc_id").cast("long")
+    else:
+        ids = docs.select("doc_id", F.lit("").alias("g")).where("doc_id IS NOT NULL").distinct()
+        docs = docs.join(numbered(ids, [F.col("doc_id")], pos="rank").drop("g"), "doc_id", "left")
+        rank = F.col("rank")
+    docs = docs.select("doc_id", "text", "rid", F.coalesce(rank, F.lit(LAST)).alias("ord"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"rid bigint, doc_id {kind}, ord bigint, n_words bigint, sha binary, hashes array<bigint>"
     counted = materialize(docs.mapInArrow(_first_pass(window, prefix), schema))

@@ -12,7 +12,8 @@ piece has a blank after another character, and around characters that no longer
 piece has (a line feed, say). Both rules are taken from the model's pieces.
 
 Defined results: null counts as empty and has no tokens; texts of any length
-are counted whole; null ids and repeated rows are rows like others."""
+are counted whole; null ids and repeated rows are rows like others; an empty
+table gives no rows; further columns are not looked at, whatever their names."""
 
 from __future__ import annotations
 

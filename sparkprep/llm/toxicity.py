@@ -22,7 +22,9 @@ Defined results: null and empty texts have the probabilities of a text without
 words; labels without a text, null labels and labels of null ids are not
 learned from; a category without both kinds of rows has its base rate as a
 constant probability, and nothing is rejected without toxic examples; null ids
-and repeated rows are scored like others; an empty table gives no rows."""
+and repeated rows are scored like others; an empty table gives no rows; a text of
+any length is read whole by one task; further columns are not looked at, but
+``drop_toxic`` carries them."""
 
 from __future__ import annotations
 

@@ -82,3 +82,12 @@ def test_trees_of_many_rows_at_a_time(spark, monkeypatch):
     monkeypatch.setitem(substrings.__dict__, "ROWS", 3)
     again = sorted((tuple(r) for r in substrings.substring_dedup(spark.createDataFrame(rows, SCHEMA), window=12, prefix=3).collect()), key=key)
     assert got == again == sorted(plain(rows, 12), key=key)
+
+
+def test_text_ids_and_clashing_columns(spark):
+    """Ids that are texts are ranked as texts; further columns don't matter."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [("doc-b", f"start {passage} end"), ("doc-a", f"{passage} tail"), ("doc-c", "short"), ("doc-a", passage), (None, passage), ("Z", f"other {passage}")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id string, text string, TEXT string, ord int")
+    got = sorted((r.n_removed, r.doc_id or "") for r in substrings.substring_dedup(df).collect())
+    assert got == sorted([(60, "doc-b"), (60, "doc-a"), (0, "doc-c"), (60, "doc-a"), (60, ""), (0, "Z")])
