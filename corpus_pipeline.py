@@ -3,7 +3,12 @@
 Each stage takes the documents its predecessor kept and returns documents with
 the columns it got; the last returns the encoded texts. ``run`` writes every
 stage as Parquet in the shared folder and reads it again for the next, so a
-stage never recomputes an earlier one."""
+stage never recomputes an earlier one.
+
+Nulls, empty and very long texts, ties and repeated rows are treated as the
+stages' operators say; further columns of the documents, also such as differ from
+others in case only, go through all stages but the last; empty documents give
+no rows."""
 
 from __future__ import annotations
 
