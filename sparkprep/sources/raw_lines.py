@@ -169,8 +169,8 @@ def _plain_name(name: str) -> str:
 
 
 def _file_ranks(spark: SparkSession, names: list[str]) -> DataFrame:
-    """file, rank by name: one row for each file, which Spark's listing has on the driver."""
-    return spark.createDataFrame([(_plain_name(n), i) for i, n in enumerate(sorted(names))], "__name string, rank bigint")
+    """file, rank in this order: one row for each file, which Spark's listing has on the driver."""
+    return spark.createDataFrame([(_plain_name(n), i) for i, n in enumerate(names)], "__name string, rank bigint")
 
 
 def read_ordered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> tuple[DataFrame, str]:
@@ -179,12 +179,12 @@ def read_ordered_lines(spark: SparkSession, path: str, encoding: str = "utf-8")
     place in the split) sorts as the lines stand; nothing is counted, so the text
     isn't scanned for it. Only the first line reaches the driver, from the first
     split of the first file."""
-    names = [unquote(n) for n in spark.read.text(path).inputFiles()]  # Spark lists paths URL-encoded
+    names = sorted(spark.read.text(path).inputFiles(), key=unquote)  # Spark's names of files are URL-encoded
     if not names:
         raise ValueError(f"no file in {path}")
-    charset, first = _charset(encoding), min(names)
+    charset, first = _charset(encoding), unquote(names[0])
     shown = F.regexp_replace("file", r"^([A-Za-z][A-Za-z0-9+.-]*:)/+", "$1/")
-    in_first = shown == F.lit(_plain_name(first))
+    in_first = shown == F.lit(_plain_name(names[0]))
     if charset in WIDE_CHARSETS:
         rows = wide_lines(spark, path, charset)[0].select("file", F.lit(0).cast("bigint").alias("__block"), F.col("line_no").alias("__mid"), "line")
         head = rows.where(in_first & (F.col("__mid") == 0)).select("__mid", "line").limit(1).collect()

@@ -192,9 +192,9 @@ def test_quote_open_at_the_end_of_the_file(spark):
 WIDE = "k,v\r\n\u0a05\u4e00,\u0a0a\u0100\n\n  \nΩ,\U0001f600\n\u0a00\u000b\u0a00,é\nlast,\u0d0a"
 
 
-@pytest.mark.parametrize("name,mark", [("utf-16-le", b""), ("utf-16-be", b""), ("utf-16", b"\xff\xfe"), ("utf-16", b"\xfe\xff"),
-                                       ("utf-32-le", b""), ("utf-32-be", b""), ("utf-32", b"\x00\x00\xfe\xff")])
-@pytest.mark.parametrize("split,end", [(17, ""), (50, "\u0a0d"), (31, "\n"), (None, "\n\n")])
+@pytest.mark.parametrize("name,mark,split,end", [
+    ("utf-16-le", b"", 17, ""), ("utf-16-be", b"", 50, "\u0a0d"), ("utf-16", b"\xff\xfe", 31, "\n"), ("utf-16", b"\xfe\xff", 17, "\n\n"),
+    ("utf-32-le", b"", 50, "\u0a0d"), ("utf-32-be", b"", 31, "\n"), ("utf-32", b"\x00\x00\xfe\xff", None, ""), ("utf-16-le", b"", None, "\u0a0d")])
 def test_wide_charsets_in_any_splits(spark, name, mark, split, end):
     codec = name if not mark else f"{name}-{'le' if mark[0] == 255 else 'be'}"
     d = tempfile.mkdtemp(prefix="sparkprep-src-")
@@ -232,3 +232,34 @@ def test_two_row_header_by_the_rules_of_delimited(spark):
         H.read_two_row_header(spark, _write(broken), ["Sales"], ["s"], "year").collect()
     df = H.read_two_row_header(spark, _write(broken), ["Sales"], ["s"], "year", multi_line=True)
     assert [tuple(r) for r in df.collect()] == [("1", "a\nb", "3", "4")]
+
+
+def test_ordered_lines_without_counting(spark):
+    """The places sort as the lines stand, over splits and files; nothing is aggregated or moved."""
+    d = tempfile.mkdtemp(prefix="sparkprep %20 src-")
+    want = []
+    for name in ("b file.txt", "a.txt", "c.txt"):
+        lines = [f"{name} {i}" for i in range(700 if name[0] == "b" else 90)]
+        want.append((name, lines))
+        with open(os.path.join(d, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    want = [line for _, lines in sorted(want) for line in lines]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        rows, header = RL.read_ordered_lines(spark, d)
+        assert rows.rdd.getNumPartitions() > 4
+        got = [r.line for r in sorted(rows.collect(), key=lambda r: r.ord)]
+        one, first = RL.read_ordered_lines(spark, os.path.join(d, "a.txt"))
+        plan = one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert header == want[0] and got == want[1:] and first == "a.txt 0"
+    assert not any(x in plan for x in ("Aggregate", "Exchange", "Join", "Sort")) and plan.count("FileScan") == 1
+    wide = os.path.join(d, "w16")
+    with open(wide, "wb") as f:
+        f.write("h;k\n1;ਅ一\n\n2;x\n".encode("utf-16"))
+    rows, header = RL.read_ordered_lines(spark, wide, "utf-16")
+    assert header == "h;k" and [r.line for r in sorted(rows.collect(), key=lambda r: r.ord)] == ["1;ਅ一", "", "2;x"]
+    with pytest.raises(Exception):
+        RL.read_ordered_lines(spark, os.path.join(d, "none"))
