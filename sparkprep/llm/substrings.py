@@ -47,7 +47,7 @@ from .ordered import numbered
 
 WINDOW = 50
 PREFIX = 8
-HOT = 5_000
+HOT = 1_000
 ROWS = 20_000
 REMEMBERED = 400_000
 LAST = (1 << 63) - 1
