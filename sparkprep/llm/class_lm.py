@@ -16,7 +16,7 @@ it, times that of the word within its class.
   frequent) is exchanged by itself, ``WORD_SWEEPS`` times: a pass counts the
   classes before and after every word, tasks add these up for blocks of words and
   move each to its best class, and the next pass counts the classes that follow
-  each other. A sweep that lowers the likelihood is taken back. Words that are in
+  each other (and the neighbours again). A sweep that lowers the likelihood is taken back. Words that are in
   no dictionary, unseen ones too, have the class of their ending.
 * *Scores.* A text's classes are known in its task. The counts of the
   ``DICTIONARY`` most frequent words are sent to the tasks (a documented bound);
@@ -207,11 +207,12 @@ def best_classes(before: np.ndarray, after: np.ndarray, follow: np.ndarray) -> n
     return score[:, :-1].argmax(1)
 
 
-def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_ending: np.ndarray, end: int,
-                follow: np.ndarray | None):
-    """One pass over the training texts under the given classes. Gives how often
-    classes follow each other, and, if that is known already (``follow``), the best
-    class of each dictionary word. The end token's class is ``end``, the last."""
+def count_neighbours(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_ending: np.ndarray, end: int, around_words: bool) -> DataFrame:
+    """One pass over the training texts under the given classes: (block, cells,
+    counts), how often classes follow class c (block -1 - c) and, if asked for, how
+    often each class stands before and after the dictionary's words, by blocks of
+    words. Written, so that both are read from one pass. The end token's class is
+    ``end``, the last."""
     spark = docs.sparkSession
     classes, run = end + 1, uuid.uuid4().hex
     shared = spark.sparkContext.broadcast((words, class_of, of_ending))
@@ -222,7 +223,7 @@ def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_en
         words, class_of, of_ending = shared.value
         at = _dictionary(run, words)
         table = np.zeros(classes * classes, np.int64)
-        around = np.zeros(len(words) * 2 * classes if follow is not None else 0, np.int32)
+        around = np.zeros(len(words) * 2 * classes if around_words else 0, np.int32)
         for piece in slices(batches):
             pairs, cells = [], []
             for text in texts(piece.column("text")):
@@ -233,7 +234,7 @@ def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_en
                 own[other] = of_ending[[ending(tokens[i]) for i in other]]
                 line = np.concatenate([[end], own, [end]])
                 pairs.append(line[:-1] * classes + line[1:])
-                if follow is not None:
+                if around_words:
                     known = np.flatnonzero(place >= 0)
                     first = place[known] * (2 * classes)
                     cells += [first + line[known], first + classes + line[known + 2]]
@@ -241,7 +242,7 @@ def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_en
             if cells:
                 cell, count = np.unique(np.concatenate(cells), return_counts=True)
                 around[cell] += count.astype(np.int32)
-        rows = [(-1, np.flatnonzero(table), table[table > 0])]
+        rows = [(-1 - c, np.flatnonzero(row), row[row > 0]) for c, row in enumerate(table.reshape(classes, classes)) if row.any()]
         cell = np.flatnonzero(around)
         cuts = np.searchsorted(cell, np.arange(0, len(around) + 1, BLOCK * 2 * classes)).tolist() + [len(cell)]
         rows += [(b, cell[i:j] - b * BLOCK * 2 * classes, around[cell[i:j]]) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
@@ -249,20 +250,42 @@ def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_en
             [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([c.astype("<i4").tobytes() for _, c, _ in rows], pa.binary()),
              pa.array([m.astype("<i8" if b < 0 else "<i4").tobytes() for b, _, m in rows], pa.binary())], ["block", "cells", "counts"])
 
-    def merged(batches):
+    found = materialize(docs.where("NOT held_out").select("text").mapInArrow(task, "block int, cells binary, counts binary"))
+    shared.destroy()
+    return found
+
+
+def class_pairs(found: DataFrame, end: int) -> np.ndarray:
+    """How often classes follow each other, added up class by class in tasks."""
+
+    def task(batches):
+        import pyarrow as pa
+
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, cells, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "cells", "counts"))):
+                sums.setdefault(b, np.zeros(end + 1, np.int64))[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))],
+                                         ["block", "row"])
+
+    table = np.zeros((end + 1, end + 1))
+    for r in found.where("block < 0").repartition("block").mapInArrow(task, "block int, row array<bigint>").collect():
+        table[-1 - r["block"]] = r["row"]
+    return table
+
+
+def moved_words(found: DataFrame, class_of: np.ndarray, follow: np.ndarray) -> np.ndarray:
+    """The best class of each dictionary word, found block by block in tasks."""
+    classes = len(follow)
+
+    def task(batches):
         import pyarrow as pa
 
         def done(block, total):
-            if block < 0:
-                where = np.flatnonzero(total)
-                value = total[where]
-            else:
-                some = total.reshape(-1, 2, classes).astype(float)
-                where = np.flatnonzero(some.sum((1, 2)))
-                value = best_classes(some[where, 0], some[where, 1], follow)
-                where = where + block * BLOCK
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(where), min(block, 0)), pa.int32()), pa.array(where, pa.int64()),
-                                               pa.array(value, pa.int64())], ["kind", "at", "value"])
+            some = total.reshape(-1, 2, classes).astype(float)
+            where = np.flatnonzero(some.sum((1, 2)))
+            value = best_classes(some[where, 0], some[where, 1], follow)
+            return pa.RecordBatch.from_arrays([pa.array(where + block * BLOCK, pa.int64()), pa.array(value, pa.int64())], ["at", "value"])
 
         block, total = None, None
         for batch in batches:
@@ -270,20 +293,15 @@ def sweep_words(docs: DataFrame, words: list[bytes], class_of: np.ndarray, of_en
                 if b != block:
                     if block is not None:
                         yield done(block, total)
-                    block, total = b, np.zeros(classes * classes if b < 0 else BLOCK * 2 * classes, np.int64)
-                total[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<i8" if b < 0 else "<i4")
+                    block, total = b, np.zeros(BLOCK * 2 * classes, np.int64)
+                total[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<i4")
         if block is not None:
             yield done(block, total)
 
-    part = docs.where("NOT held_out").select("text").mapInArrow(task, "block int, cells binary, counts binary")
-    got = part.repartition("block").sortWithinPartitions("block").mapInArrow(merged, "kind int, at bigint, value bigint").toArrow()
-    kind, where, value = (got.column(c).to_numpy() for c in ("kind", "at", "value"))
-    table = np.zeros(classes * classes)
-    table[where[kind < 0]] = value[kind < 0]
+    got = found.where("block >= 0").repartition("block").sortWithinPartitions("block").mapInArrow(task, "at bigint, value bigint").toArrow()
     moved = class_of.copy()
-    moved[where[kind == 0]] = value[kind == 0]
-    shared.destroy()
-    return table.reshape(classes, classes), moved
+    moved[got.column("at").to_numpy()] = got.column("value").to_numpy()
+    return moved
 
 
 def _dictionary(run: str, words: list[bytes]) -> dict[bytes, int]:
@@ -306,9 +324,15 @@ def fit_classes(docs: DataFrame, counts: DataFrame, n_train: int):
     follow = class_table(pairs, of, n_classes + 1)
     ending_class = of[first_ending : first_ending + ENDINGS]
     word_class = np.array([of[unit_of[w]] if w in unit_of else ending_class[ending(w)] for w in words], np.int64)
-    for _ in range(WORD_SWEEPS if words else 0):
-        _, moved = sweep_words(docs, words, word_class, ending_class, n_classes, follow)
-        after, _ = sweep_words(docs, words, moved, ending_class, n_classes, None) if (moved != word_class).any() else (follow, None)
+    sweeps = WORD_SWEEPS if words else 0
+    found = count_neighbours(docs, words, word_class, ending_class, n_classes, True) if sweeps else None
+    for i in range(sweeps):
+        moved = moved_words(found, word_class, follow)
+        if (moved == word_class).all():
+            break
+        # What follows what under the new classes, and the words' neighbours for the next sweep.
+        found = count_neighbours(docs, words, moved, ending_class, n_classes, i + 1 < sweeps)
+        after = class_pairs(found, n_classes)
         if likelihood(after) <= likelihood(follow):
             break
         word_class, follow = moved, after

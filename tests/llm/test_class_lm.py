@@ -128,11 +128,12 @@ def test_sweep_against_counting(spark, monkeypatch):
     at = dict(zip(words, class_of.tolist()))
     cls = lambda w: at.get(w.encode(), int(of_ending[L.ending(w.encode())]))
     follow, before, after = plain_tables(rows, cls, 5)
-    table, _ = L.sweep_words(docs, words, class_of, of_ending, 5, None)
+    table = L.class_pairs(L.count_neighbours(docs, words, class_of, of_ending, 5, False), 5)
     assert {(i, j): table[i, j] for i in range(6) for j in range(6) if table[i, j]} == follow
     monkeypatch.setattr(L, "BLOCK", 7)
-    again, moved = L.sweep_words(docs, words, class_of, of_ending, 5, table)
-    assert (again == table).all()
+    found = L.count_neighbours(docs, words, class_of, of_ending, 5, True)
+    assert (L.class_pairs(found, 5) == table).all()
+    moved = L.moved_words(found, class_of, table)
     for w, got, old in zip(words, moved.tolist(), class_of.tolist()):
         w = w.decode()
         n = sum(before[w, k] for k in range(6))
