@@ -171,3 +171,42 @@ def test_open_text_beside_a_teaser_article_stays(spark):
     rows.append((9, "http://h/9", "<div>open</div><main><p>whole</p><article>and more</article></main>"))
     got = run(spark, rows)
     assert got == {**{i: f"first{i} text{i}\n\nteaser\n\nreal{i} text{i}" for i in range(4)}, 9: "whole\n\nand more"}
+
+
+def article(rnd, i, notice, extra=""):
+    words = lambda n: " ".join("w%d" % rnd.randrange(5000) for _ in range(n))
+    return f"<article><h1>T{i}</h1><p>{words(20)}</p><p>{notice}</p>{extra}<p>{words(30)}</p></article>"
+
+
+def test_the_array_decides_main_text_too(spark, monkeypatch):
+    """A notice that a host's articles have goes; lines that fewer share, mirrors and small hosts stay."""
+    rnd = random.Random(5)
+    line = "a line of fourteen words that half of the articles of this host do share"
+    rows = [(i, "http://h/%d" % i, article(rnd, i, NOTICE, f"<p>{line}</p>" if i % 2 else "<p>Summary</p>")) for i in range(40)]
+    rows += [(100 + i, "http://few/%d" % i, article(rnd, i, NOTICE)) for i in range(H.TEXTS - 1)]
+    near = " ".join("m%d" % k for k in range(60))
+    rows += [(200 + i, "http://mirror/%d" % i, f"<article><p>{near}</p><p>copy {i}</p></article>") for i in range(20)]
+    markup = {i: "\n\n".join(t for k, t in H.blocks(p) if k >= H.MAIN) for i, _, p in rows}
+    want = {i: t.replace(NOTICE + "\n\n", "") if i < 100 else t for i, t in markup.items()}
+    for texts in (64, 16, 1):
+        monkeypatch.setattr(H, "GROUP_TEXTS", texts)
+        monkeypatch.setattr(H, "GROUP_LEAST", min(texts, 16))
+        assert run(spark, rows) == want
+
+
+def test_the_array_decides_main_text_beside_open_text(spark):
+    rnd = random.Random(6)
+    rows = [(i, "http://h/%d" % i, article(rnd, i, NOTICE)) for i in range(20)]
+    rows += [(20 + i, "http://h/o%d" % i, f"<div>open{i}</div>" + article(rnd, i, NOTICE)) for i in range(3)]
+    got = run(spark, rows)
+    assert not any(NOTICE in t for t in got.values())
+    assert got[21].startswith("open1\n\nT1\n\nw") and got[3].startswith("T3\n\nw")
+
+
+def test_groups_of_few_main_texts_are_dealt_again(spark):
+    """Pages that differ beside their main text only."""
+    rnd = random.Random(7)
+    texts = [article(rnd, i, NOTICE) for i in range(12)]
+    rows = [(i, "http://h/%d" % i, f"<nav>n{i}</nav>" + texts[i % 12]) for i in range(600)]
+    got = run(spark, rows)
+    assert len(got) == 600 and not any(NOTICE in t for t in got.values()) and all(t.startswith("T") for t in got.values())
