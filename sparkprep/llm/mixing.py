@@ -129,9 +129,15 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mixed corpus: every row as often as the plan emits it, columns as they were."""
-    rows = _walk(df, id_col, text_col, source_col)
-    slim = materialize(rows.select("doc_id", "source", "skey", "size"))
-    out = copies(rows, slim, **how).where("n_copies > 0")
+    """The mixed corpus: every row as often as the plan emits it, columns as they were.
+
+    The plan is made of rows without texts; the texts are not sorted but go by the
+    plan's rows of their partition, which a task holds."""
+    # Written, so the numbers stay.
+    rows = materialize(_walk(df, id_col, text_col, source_col).withColumn("row", F.monotonically_increasing_id()))
+    slim = rows.select("row", "doc_id", "source", "skey", "size", "tie")
+    plan = copies(slim, slim, **how).where("n_copies > 0").select("row", "n_copies")
+    cols = [f"c{k}" for k in range(len(df.columns))]
+    out = rows.select("row", *cols).join(plan.hint("shuffle_hash"), "row")
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
-    return out.select(*[f"c{k}" for k in range(len(df.columns))]).toDF(*df.columns)
+    return out.select(*cols).toDF(*df.columns)

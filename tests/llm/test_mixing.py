@@ -108,3 +108,16 @@ def test_clashing_names(spark):
     df = spark.createDataFrame([(1, "a b", "s", 9, 8, 7)], "doc_id bigint, text string, source string, size int, Text int, n_copies int")
     assert [r.taken for r in M.mix_plan(df).collect()] == [2]
     assert [tuple(r) for r in M.mix(df).collect()] == [(1, "a b", "s", 9, 8, 7)]
+
+
+def test_texts_are_not_sorted(spark):
+    """No window, sort or sort-merge join of ``mix`` has the texts in it."""
+    import re
+
+    plan = M.mix(spark.createDataFrame(documents(4), SCHEMA))._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+    # c1 is the text: where rows are sorted or numbered it is not among the columns.
+    lines = plan.splitlines()
+    at = [i for i, line in enumerate(lines) if re.search(r"\b(Window|Sort)\b", line)]
+    below = [line for i in at for line in lines[i + 1 :] if len(re.match(r"[ :|+-]*", line)[0]) > len(re.match(r"[ :|+-]*", lines[i])[0])]
+    assert at and not any(re.search(r"\bc1#", line) for line in below)
