@@ -5,6 +5,9 @@ it, times that of the word within its class.
 
 * *Counts.* Words of all training texts are counted, with a partial count in
   each task.
+* *Codes.* A pass writes every training text as the places of its words in the
+  dictionary (the ``DICTIONARY`` most frequent words), or their endings, which later passes
+  over the training texts read.
 * *First classes.* Exchange clustering moves units: each of the ``WORDS`` most
   frequent words is one, every other word belongs to the unit of its ending (a
   hash of its last two bytes, ``ENDINGS`` units). One pass counts all neighbouring
@@ -33,13 +36,14 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import Memo, bounded_batches, exact, slices, texts
+from .common import bounded_batches, exact, slices, texts
 
 WORDS = 1024
 ENDINGS = 128
@@ -53,7 +57,7 @@ DICTIONARY = 100_000
 ALPHA = 0.1
 #: Weight of the classes' own frequencies against the classes that follow.
 BETA = 20.0
-#: Words that a worker remembers or counts before it passes them on.
+#: Words that a worker counts before it passes them on.
 HELD = 120_000
 END = b""  # stands for the end token; no word is empty
 
@@ -62,6 +66,13 @@ def ending(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % ENDINGS
 
 
+def _line(sizes: list[int], codes: np.ndarray, end: int) -> np.ndarray:
+    """The codes of texts' words, one text after the other, with ``end`` before, between and after them."""
+    line = np.full(len(codes) + len(sizes) + 1, end, np.int64)
+    line[np.arange(len(codes)) + np.repeat(np.arange(1, len(sizes) + 1), sizes)] = codes
+    return line
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) of the training texts, the end token included."""
 
@@ -106,34 +117,61 @@ def frequent_words(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarra
     return [words[i] for i in order], n[order]
 
 
-def count_unit_pairs(docs: DataFrame, unit_of: dict[bytes, int]) -> np.ndarray:
+def encode_texts(docs: DataFrame, words: list[bytes]) -> DataFrame:
+    """(codes) of each training text, written, so that later passes look no word up
+    again: for a word of the dictionary its place, for another the dictionary's
+    length and the word's ending, as 32-bit integers."""
+    shared, run = docs.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
+
+    def task(batches):
+        import pyarrow as pa
+
+        words = shared.value
+        at = _dictionary(run, words)
+        for piece in slices(batches):
+            lists = [text.lower().split() for text in texts(piece.column("text"))]
+            place = _places(list(chain.from_iterable(lists)), at, len(words)).astype("<i4")
+            cuts = np.cumsum([0] + [len(x) for x in lists]).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([place[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary())], ["codes"])
+
+    coded = materialize(docs.where("NOT held_out").select("text").mapInArrow(task, "codes binary"))
+    shared.destroy()
+    return coded
+
+
+def _places(tokens: list[bytes], at: dict[bytes, int], n: int) -> np.ndarray:
+    """The places of words, for those outside of the dictionary n and their ending."""
+    place = np.fromiter(map(at.get, tokens, repeat(-1)), np.int64, len(tokens))
+    other = np.flatnonzero(place < 0)
+    place[other] = np.fromiter((n + ending(tokens[i]) for i in other.tolist()), np.int64, len(other))
+    return place
+
+
+def _codes(piece) -> tuple[list[int], np.ndarray]:
+    """The sizes of encoded texts and their codes, one text after the other."""
+    got = piece.column("codes").to_pylist()
+    return [len(x) // 4 for x in got], np.frombuffer(b"".join(got), "<i4")
+
+
+def count_unit_pairs(coded: DataFrame, words: list[bytes], most: int) -> np.ndarray:
     """How often each unit follows each other unit in the training texts; the
+    ``most`` first words are units, others go by their ending, and the
     last unit is the end token, which also stands before the first word."""
-    first_ending, n = len(unit_of), len(unit_of) + ENDINGS + 1
+    first_ending, n = min(most, len(words)), min(most, len(words)) + ENDINGS + 1
+    unit_of = np.array([*range(first_ending), *(first_ending + ending(w) for w in words[first_ending:]), *range(first_ending, n - 1)], np.int64)
 
     def task(batches):
         import pyarrow as pa
 
-        memo, cells = Memo(HELD), np.zeros(n * n, np.int64)
-        memo.update(unit_of)
-        for piece in slices(batches):
-            codes = []
-            for text in texts(piece.column("text")):
-                words = text.lower().split()
-                new = {w for w in words if w not in memo}
-                if memo.full(len(new)):
-                    memo.update(unit_of)
-                    new = {w for w in words if w not in memo}
-                for w in new:
-                    memo[w] = first_ending + ending(w)
-                units = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-                codes.append(np.r_[n - 1, units] * n + np.r_[units, n - 1])
-            cells += np.bincount(np.concatenate(codes), minlength=n * n)
+        cells = np.zeros(n * n, np.int64)
+        for piece in slices(batches, text_col="codes"):
+            sizes, codes = _codes(piece)
+            line = _line(sizes, unit_of[codes], n - 1)
+            cells += np.bincount(line[:-1] * n + line[1:], minlength=n * n)
         at = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], ["cell", "n"])
 
-    part = docs.where("NOT held_out").select("text").mapInArrow(task, "cell bigint, n bigint")
-    got = part.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    got = coded.mapInArrow(task, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(n * n)
     pairs[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return pairs.reshape(n, n)
@@ -212,35 +250,26 @@ def count_neighbours(docs: DataFrame, words: list[bytes], class_of: np.ndarray,
     counts), how often classes follow class c (block -1 - c) and, if asked for, how
     often each class stands before and after the dictionary's words, by blocks of
     words. Written, so that both are read from one pass. The end token's class is
-    ``end``, the last."""
-    spark = docs.sparkSession
-    classes, run = end + 1, uuid.uuid4().hex
-    shared = spark.sparkContext.broadcast((words, class_of, of_ending))
+    ``end``, the last. ``docs`` has the texts, or what ``encode_texts`` made of them."""
+    coded = docs if "codes" in docs.columns else encode_texts(docs, words)
+    n, classes = len(words), end + 1
+    shared = docs.sparkSession.sparkContext.broadcast(np.r_[class_of, of_ending].astype(np.int64))
 
     def task(batches):
         import pyarrow as pa
 
-        words, class_of, of_ending = shared.value
-        at = _dictionary(run, words)
         table = np.zeros(classes * classes, np.int64)
-        around = np.zeros(len(words) * 2 * classes if around_words else 0, np.int32)
-        for piece in slices(batches):
-            pairs, cells = [], []
-            for text in texts(piece.column("text")):
-                tokens = text.lower().split()
-                place = np.array([at.get(w, -1) for w in tokens], np.int64)
-                own = class_of[place] if len(words) else np.zeros(len(place), np.int64)
-                other = np.flatnonzero(place < 0).tolist()
-                own[other] = of_ending[[ending(tokens[i]) for i in other]]
-                line = np.concatenate([[end], own, [end]])
-                pairs.append(line[:-1] * classes + line[1:])
-                if around_words:
-                    known = np.flatnonzero(place >= 0)
-                    first = place[known] * (2 * classes)
-                    cells += [first + line[known], first + classes + line[known + 2]]
-            table += np.bincount(np.concatenate(pairs), minlength=len(table))
-            if cells:
-                cell, count = np.unique(np.concatenate(cells), return_counts=True)
+        around = np.zeros(n * 2 * classes if around_words else 0, np.int32)
+        for piece in slices(batches, text_col="codes"):
+            sizes, codes = _codes(piece)
+            line = _line(sizes, shared.value[codes], end)
+            table += np.bincount(line[:-1] * classes + line[1:], minlength=len(table))
+            if around_words:
+                # Words by their places in the line, between what stands before and after them.
+                place = _line(sizes, np.where(codes < n, codes, -1), -1)
+                known = np.flatnonzero(place >= 0)
+                first = place[known] * (2 * classes)
+                cell, count = np.unique(np.concatenate([first + line[known - 1], first + classes + line[known + 1]]), return_counts=True)
                 around[cell] += count.astype(np.int32)
         rows = [(-1 - c, np.flatnonzero(row), row[row > 0]) for c, row in enumerate(table.reshape(classes, classes)) if row.any()]
         cell = np.flatnonzero(around)
@@ -250,7 +279,7 @@ def count_neighbours(docs: DataFrame, words: list[bytes], class_of: np.ndarray,
             [pa.array([b for b, _, _ in rows], pa.int32()), pa.array([c.astype("<i4").tobytes() for _, c, _ in rows], pa.binary()),
              pa.array([m.astype("<i8" if b < 0 else "<i4").tobytes() for b, _, m in rows], pa.binary())], ["block", "cells", "counts"])
 
-    found = materialize(docs.where("NOT held_out").select("text").mapInArrow(task, "block int, cells binary, counts binary"))
+    found = materialize(coded.mapInArrow(task, "block int, cells binary, counts binary"))
     shared.destroy()
     return found
 
@@ -319,19 +348,20 @@ def fit_classes(docs: DataFrame, counts: DataFrame, n_train: int):
     words, word_counts = frequent_words(counts, DICTIONARY)
     unit_of = {w: i for i, w in enumerate(words[:WORDS])}
     first_ending, n_classes = len(unit_of), class_count(n_train)
-    pairs = count_unit_pairs(docs, unit_of)
+    coded = encode_texts(docs, words)
+    pairs = count_unit_pairs(coded, words, WORDS)
     of = exchange(pairs, n_classes)
     follow = class_table(pairs, of, n_classes + 1)
     ending_class = of[first_ending : first_ending + ENDINGS]
     word_class = np.array([of[unit_of[w]] if w in unit_of else ending_class[ending(w)] for w in words], np.int64)
     sweeps = WORD_SWEEPS if words else 0
-    found = count_neighbours(docs, words, word_class, ending_class, n_classes, True) if sweeps else None
+    found = count_neighbours(coded, words, word_class, ending_class, n_classes, True) if sweeps else None
     for i in range(sweeps):
         moved = moved_words(found, word_class, follow)
         if (moved == word_class).all():
             break
         # What follows what under the new classes, and the words' neighbours for the next sweep.
-        found = count_neighbours(docs, words, moved, ending_class, n_classes, i + 1 < sweeps)
+        found = count_neighbours(coded, words, moved, ending_class, n_classes, i + 1 < sweeps)
         after = class_pairs(found, n_classes)
         if likelihood(after) <= likelihood(follow):
             break
@@ -381,15 +411,20 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         n, end = len(words), len(class_of) - 1
         for piece in slices(batches):
             out, rare, rare_n = [], [], []
-            for text in texts(piece.column("text")):
-                tokens = text.lower().split()
-                place = np.array([at.get(w, -1) for w in tokens] + [end], np.int64)
-                others = [tokens[i] for i in np.flatnonzero(place < 0).tolist()]
-                place[place < 0] = [n + ending(w) for w in others]
-                cls = class_of[place]
-                classes = step[np.r_[n_classes, cls[:-1]], cls].sum() - inside[cls].sum()
-                out.append((len(place), int(known[place].sum()), float(log_count[place].sum()), float(classes)))
-                each = Counter(others)
+            lists = [text.lower().split() for text in texts(piece.column("text"))]
+            tokens = list(chain.from_iterable(lists))
+            place = _places(tokens, at, n)
+            other = np.flatnonzero(place >= n)
+            others = [tokens[i] for i in other.tolist()]
+            line = _line([len(x) for x in lists], place, end)
+            cls = class_of[line]
+            steps, ins, logs, knowns = step[cls[:-1], cls[1:]], inside[cls[1:]], log_count[line[1:]], known[line[1:]]
+            a = b = 0
+            cuts = np.searchsorted(other, np.cumsum([0] + [len(x) for x in lists])).tolist()
+            for words_of, i, j in zip(lists, cuts, cuts[1:]):
+                a, b = b, b + len(words_of) + 1
+                out.append((b - a, int(knowns[a:b].sum()), float(logs[a:b].sum()), float(steps[a:b].sum() - ins[a:b].sum())))
+                each = Counter(others[i:j])
                 rare.append(list(each))
                 rare_n.append(list(each.values()))
             cols = list(zip(*out))

@@ -193,3 +193,21 @@ def test_word_sweeps_raise_the_likelihood(spark):
             m.setattr(L, "WORD_SWEEPS", sweeps)
             found.append(L.likelihood(L.fit_classes(docs, counts, 10_000)[4]))
     assert found[0] <= found[1] <= found[2]
+
+
+def test_texts_of_a_batch_are_one_line():
+    """End tokens stand around every text, empty ones too."""
+    assert L._line([2, 0, 1, 0], np.array([5, 6, 7]), 9).tolist() == [9, 5, 6, 9, 9, 7, 9, 9]
+    assert L._line([], np.array([], np.int64), 9).tolist() == [9]
+
+
+def test_sweeps_read_codes(spark, monkeypatch):
+    """Training texts are split into words twice: to be counted and to be encoded."""
+    docs = spark.createDataFrame([("A b b c", False), (None, False), ("zz b", False), ("b q", True)], "text string, held_out boolean")
+    words = [b"b", b"a"]
+    coded = L.encode_texts(docs, words)
+    got = sorted(np.frombuffer(r.codes, "<i4").tolist() for r in coded.collect())
+    assert got == sorted([[1, 0, 0, 2 + L.ending(b"c")], [], [2 + L.ending(b"zz"), 0]])
+    pairs = L.count_unit_pairs(coded, words, 1)  # the second word goes by its ending
+    assert pairs.sum() == 4 + 2 + 3 and pairs[0, 0] == 1 and pairs[-1, -1] == 1 and pairs[-1, 1 + L.ending(b"a")] == 1
+    assert not any("text" in part.columns for part in (coded, L.count_neighbours(coded, words, np.array([0, 1]), np.zeros(L.ENDINGS, np.int64), 2, True)))
