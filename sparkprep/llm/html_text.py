@@ -339,15 +339,16 @@ def _often(n, of):
 
 
 def _group_shares(batches):
-    """Of each group of main texts: how many there are, and the windows that enough of them have."""
+    """Of each group of main texts: how many there are, and the windows that enough
+    of them have; none if it is its host's only group and has too few texts."""
     import pyarrow as pa
 
     for batch in batches:
-        hosts, opens = (batch.column(c).to_pylist() for c in ("host", "open"))
-        for host, opened, group in zip(hosts, opens, batch.column("streams")):
+        hosts, opens, parts = (batch.column(c).to_pylist() for c in ("host", "open", "groups"))
+        for host, opened, several, group in zip(hosts, opens, parts, batch.column("streams")):
             streams = [t.split(" ") for t in group.as_py() if t]
             windows = []
-            if streams:
+            if len(streams) >= (1 if several > 1 else TEXTS):
                 pages, place, begins, _, n = _window_runs(streams)
                 at = np.flatnonzero(begins & _often(n, len(streams))) if len(pages) else pages
                 windows = [" ".join(streams[p][i : i + REPEAT]) for p, i in zip(pages[at].tolist(), place[at].tolist())]
@@ -360,8 +361,8 @@ def _arrays(streams: DataFrame, hosts: DataFrame) -> DataFrame:
     """(host, n, open, windows) of each group; ``hosts`` has the groups of each host."""
     dealt = streams.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("stream"), F.greatest("groups", F.lit(1))))
     # Equal texts of a host once: they are in one group, and few are left of many copies.
-    groups = dealt.groupBy("host", "part").agg(F.collect_set("stream").alias("streams"), F.max("open").alias("open"))
-    return materialize(groups.select("host", "streams", "open").mapInArrow(
+    groups = dealt.groupBy("host", "part").agg(F.collect_set("stream").alias("streams"), F.max("open").alias("open"), F.max("groups").alias("groups"))
+    return materialize(groups.select("host", "streams", "open", "groups").mapInArrow(
         _group_shares, "host string, n bigint, open boolean, windows array<string>"))
 
 

@@ -210,3 +210,13 @@ def test_groups_of_few_main_texts_are_dealt_again(spark):
     rows = [(i, "http://h/%d" % i, f"<nav>n{i}</nav>" + texts[i % 12]) for i in range(600)]
     got = run(spark, rows)
     assert len(got) == 600 and not any(NOTICE in t for t in got.values()) and all(t.startswith("T") for t in got.values())
+
+
+def test_hosts_of_few_texts_hand_no_windows_on(spark):
+    """A crawl of small hosts writes no window of their texts."""
+    rnd = random.Random(8)
+    rows = [(i, f"http://h{i % 40}/{i}", article(rnd, i, NOTICE)) for i in range(80)]
+    pages = H._with_host(spark.createDataFrame(rows, SCHEMA))
+    found = H._arrays(H._main_streams(pages), pages.select("host").distinct().selectExpr("host", "1L AS groups")).collect()
+    assert len(found) == 40 and all(r.n == 2 and not r.windows for r in found)
+    assert run(spark, rows)[5].count(NOTICE) == 1
